@@ -30,7 +30,7 @@ MAX_EPOCHS = 3
 #: Sources (rows of the catalogue of sources) the driver may hold; more is an error, not a cut.
 MAX_SOURCES = 1_000_000
 #: Documents that one bucket of a source holds on average.
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 SEED = 7
 
 _GOLDEN = 0x9E3779B97F4A7C15  # 2**64 / golden ratio, odd
