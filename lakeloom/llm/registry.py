@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import mixture, url_filter
+from lakeloom.llm import language_id, media, mixture, toxicity, url_filter
 
 QUERIES = {
+    "op2_toxicity": toxicity.query,
     "op4_source_mixture": mixture.query,
+    "op6_language_id": language_id.query,
+    "op7_media_column": media.query,
     "op8_url_filter": url_filter.query,
 }
 
