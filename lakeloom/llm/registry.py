@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import language_id, media, mixture, toxicity, url_filter
+from lakeloom.llm import language_id, line_dedup, media, mixture, pieces, toxicity, url_filter
 
 QUERIES = {
+    "op1_sentencepiece": pieces.query,
     "op2_toxicity": toxicity.query,
     "op4_source_mixture": mixture.query,
+    "op5_line_dedup": line_dedup.query,
     "op6_language_id": language_id.query,
     "op7_media_column": media.query,
     "op8_url_filter": url_filter.query,
@@ -14,5 +16,6 @@ QUERIES = {
 
 SQL = {
     "op4_source_mixture": mixture.SQL,
+    "op5_line_dedup": line_dedup.SQL,
     "op8_url_filter": url_filter.SQL,
 }
