@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import language_id, line_dedup, media, mixture, pieces, toxicity, url_filter
+from lakeloom.llm import language_id, line_dedup, media, mixture, pieces, spotsigs, toxicity, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_language_id": language_id.query,
     "op7_media_column": media.query,
     "op8_url_filter": url_filter.query,
+    "op9_spotsigs": spotsigs.query,
 }
 
 SQL = {
