@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import language_id, line_dedup, media, mixture, pieces, spotsigs, toxicity, url_filter
+from lakeloom.llm import language_id, line_dedup, media, mixture, ngram_jaccard, pieces, spotsigs, toxicity, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
@@ -13,10 +13,12 @@ QUERIES = {
     "op7_media_column": media.query,
     "op8_url_filter": url_filter.query,
     "op9_spotsigs": spotsigs.query,
+    "op10_ngram_jaccard": ngram_jaccard.query,
 }
 
 SQL = {
     "op4_source_mixture": mixture.SQL,
     "op5_line_dedup": line_dedup.SQL,
     "op8_url_filter": url_filter.SQL,
+    "op10_ngram_jaccard": ngram_jaccard.SQL,
 }
