@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import language_id, line_dedup, media, mixture, ngram_jaccard, pieces, spotsigs, toxicity, url_filter
+from lakeloom.llm import language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, spotsigs, toxicity, url_filter
 
 QUERIES = {
     "op1_sentencepiece": pieces.query,
     "op2_toxicity": toxicity.query,
+    "op3_suffix_array": repeats.query,
     "op4_source_mixture": mixture.query,
     "op5_line_dedup": line_dedup.query,
     "op6_language_id": language_id.query,
