@@ -27,6 +27,25 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def schema_of(df: DataFrame) -> str:
+    return ", ".join(f"{quoted(n)} {t}" for n, t in df.dtypes)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of batches whose `column` (string or binary) has at most `limit` bytes, or one row."""
     for batch in batches:

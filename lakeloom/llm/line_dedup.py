@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Scratch, chunks, map_arrow, read
+from lakeloom.llm.common import Scratch, chunks, fresh, map_arrow, quoted, read, schema_of
 
 WINDOW = 3
 
@@ -72,29 +72,38 @@ def kept_lines(text: str | None, places: list[int] | None, size: int = WINDOW) -
     return [x for x, c in zip(lines, covered.tolist()) if not c], len(lines)
 
 
-def dedup_lines(docs: DataFrame, size: int = WINDOW, scratch: Scratch | None = None) -> DataFrame:
-    """The rows with their text cut, and the columns _n_lines and _n_removed."""
+def dedup_lines(docs: DataFrame, size: int = WINDOW, scratch: Scratch | None = None) -> tuple[DataFrame, str, str]:
+    """The rows with their text cut and two columns more, and the names of those: lines, removed lines."""
     scratch = scratch or Scratch(docs.sparkSession, "line-dedup")
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    found = repeats(hashed.select("doc_id", "text", F.col("_text_hash").alias("text_hash")), scratch, size)
-    found = found.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"), F.col("places").alias("_places"))
-    joined = hashed.join(found, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
+    hash_, id_, found_hash, places_, n_lines, n_removed = fresh(docs, "_text_hash", "_id", "_found_hash", "_places", "_n_lines", "_n_removed")
+    hashed = docs.withColumn(hash_, F.xxhash64("text"))
+    found = repeats(hashed.select("doc_id", "text", F.col(hash_).alias("text_hash")), scratch, size)
+    found = found.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(found_hash), F.col("places").alias(places_))
+    joined = hashed.join(found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_hash)), "left")
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
-            texts, places = b.column("text").to_pylist(), b.column("_places").to_pylist()
+            texts, places = b.column("text").to_pylist(), b.column(places_).to_pylist()
             got = [kept_lines(t, p, size) for t, p in zip(texts, places)]
-            new = pa.array([None if t is None else t if not p else "\n".join(k) for (k, _), t, p in zip(got, texts, places)], pa.string())
-            yield pa.RecordBatch.from_arrays([new if c == "text" else b.column(c) for c in columns] + [pa.array([n for _, n in got], pa.int64()), pa.array([n - len(k) for k, n in got], pa.int64())], columns + ["_n_lines", "_n_removed"])
+            new = pa.array([t if not p else "\n".join(k) for (k, _), t, p in zip(got, texts, places)], pa.string())
+            counts = [pa.array([n for _, n in got], pa.int64()), pa.array([n - len(k) for k, n in got], pa.int64())]
+            yield pa.RecordBatch.from_arrays([new if c == "text" else b.column(c) for c in columns] + counts, [*columns, n_lines, n_removed])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return map_arrow(joined.select(*columns, "_places"), run, schema + ", _n_lines long, _n_removed long")
+    out = map_arrow(joined.select(*map(quoted, columns), places_), run, f"{schema_of(docs)}, {n_lines} long, {n_removed} long")
+    return out, n_lines, n_removed
+
+
+def clean(docs: DataFrame) -> DataFrame:
+    """The rows with their repeated lines gone, n_chars following; rows of which only blanks are left go."""
+    got, _, removed = dedup_lines(docs)
+    got = got.where((F.col(removed) == 0) | F.col("text").rlike(r"\S")).select(*map(quoted, docs.columns))
+    return got.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else got
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
-    return got.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    got, lines, removed = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return got.select("doc_id", F.col(lines).alias("n_lines"), F.col(removed).alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def brute_force(rows: list[tuple[int, str | None]], size: int = WINDOW) -> dict[int, tuple[int, int, str]]:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Scratch, workers_path, map_arrow, read, text_bytes
+from lakeloom.llm.common import Scratch, fresh, map_arrow, quoted, read, schema_of, text_bytes, workers_path
 
 BLOCK_TOKENS = 1024
 MAX_EPOCHS = 3
@@ -103,10 +103,10 @@ def schedule(spark: SparkSession, targets: list[float], quotas: list[int]) -> Da
 
 
 def mix(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, epochs: int = MAX_EPOCHS, seed: int = SEED, weights: Callable[[int], list[int]] = code_point_weights, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, source, text_hash, size, source_size, target, taken, first_word, extra of every row.
+    """doc_id, source, text_hash, size, source_size, target, taken of every row.
 
-    A row is taken whole taken // size times; beyond that the words [first_word, first_word + extra) once
-    more, wrapping at its end never: a stream's prefix cuts a document at one place only.
+    A row is taken whole taken // size times, and its first taken % size words once more: what a source
+    takes is a prefix of its stream, some times over, so it ends within one document.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "mixture")
@@ -183,34 +183,30 @@ def cut_words(text: str, n: int) -> str:
 def take_texts(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mixed corpus: each document's row as often as it is taken whole, and a row cut to the rest.
 
-    `docs` keeps its columns (text and n_chars follow the cut); documents that aren't taken go. Rows that
-    agree in doc_id, source and text are taken for copies of each other, so they are numbered to pair them.
+    `docs` keeps its columns (n_chars follows the cut); documents that aren't taken go. Rows that agree
+    in doc_id, source and text are numbered on both sides, so each has its own share.
     """
+    hash_, nth_, id_, source_, found_, number_, size_, taken_, words_ = fresh(docs, *(f"_mix_{n}" for n in ("hash", "nth", "id", "source", "found", "number", "size", "taken", "words")))
+    left = docs.withColumn(hash_, F.xxhash64("text"))
+    left = left.withColumn(nth_, F.row_number().over(Window.partitionBy("doc_id", "source", hash_).orderBy(F.lit(1))))
+    number = F.row_number().over(Window.partitionBy("doc_id", "source", "text_hash").orderBy("taken"))
+    right = mixed.where("size > 0").select(F.col("doc_id").alias(id_), F.col("source").alias(source_), F.col("text_hash").alias(found_), number.alias(number_), F.col("size").alias(size_), F.col("taken").alias(taken_))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").eqNullSafe(F.col(source_)) & (F.col(hash_) == F.col(found_)) & (F.col(nth_) == F.col(number_))
+    whole = F.floor(F.col(taken_) / F.col(size_)).cast("int")
+    rest = F.col(taken_) % F.col(size_)
+    lengths = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))
     columns = docs.columns
-    keys = ["doc_id", "source", "text_hash"]
-    right = mixed.where("taken > 0 or size = 0").select(*[F.col(k).alias(f"_mix_{k}") for k in keys], F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken"))
-    left = docs.withColumn("_mix_hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_doc_id")) & F.col("source").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_hash") == F.col("_mix_text_hash"))
-    got = left.join(right, same).drop("_mix_doc_id", "_mix_source", "_mix_text_hash", "_mix_hash").where("_mix_size > 0")
-    whole = (F.col("_mix_taken") / F.col("_mix_size")).cast("long")
-    rest = F.col("_mix_taken") % F.col("_mix_size")
-    lengths = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))
-    got = got.withColumn("_mix_words", F.explode(lengths)).drop("_mix_size", "_mix_taken")
+    got = left.join(right, same).select(*map(quoted, columns), F.explode(lengths).alias(words_))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = b.column("_mix_words").to_pylist()
+            words = b.column(words_).to_pylist()
             texts = b.column("text")
-            at = [i for i, n in enumerate(words) if n >= 0]
-            if at:
-                texts = texts.to_pylist()
-                for i in at:
-                    texts[i] = cut_words(texts[i], words[i])
-                texts = pa.array(texts, pa.string())
+            if any(n >= 0 for n in words):
+                texts = pa.array([t if n < 0 else cut_words(t, n) for t, n in zip(texts.to_pylist(), words)], pa.string())
             yield pa.RecordBatch.from_arrays([texts if c == "text" else b.column(c) for c in columns], columns)
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    out = map_arrow(got.select(*columns, "_mix_words"), cut, schema)
+    out = map_arrow(got, cut, schema_of(docs))
     return out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in columns else out
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Scratch, chunks, map_arrow, mix64, read
+from lakeloom.llm.common import Scratch, chunks, fresh, map_arrow, mix64, quoted, read
 from lakeloom.llm.components import components
 
 MAX_HEAVY = 1_000_000
@@ -118,7 +118,7 @@ def heavy_counts(docs: DataFrame, n: int, most: int = MAX_HEAVY) -> tuple[np.nda
 
 
 def prefixes(docs: DataFrame, n: int, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, k (the set's 128-bit key), n, weight (how frequent the prefix is), prefix of every row."""
+    """doc_id, text_hash, k (the set's 128-bit key), n, weight (how frequent the prefix is), prefix of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,9 +138,9 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, heavy: tuple[np.ndarra
                         own, weight = own[order], int(df[order].sum())
                 cut.append(own[:p])
                 weights.append(weight)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int64()), _long_lists(cut)], ["doc_id", "k", "n", "weight", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int64()), _long_lists(cut)], ["doc_id", "text_hash", "k", "n", "weight", "prefix"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, k binary, n long, weight long, prefix array<long>")
+    return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id long, text_hash long, k binary, n long, weight long, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -168,7 +168,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def link(docs: DataFrame, n: int, num: int, den: int, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, n_shingles, component (key of its component, null if alone and empty), component_id of every row."""
+    """doc_id, text_hash, n_shingles, component (its key, null for an empty set), component_id of every row."""
     scratch = scratch or Scratch(docs.sparkSession, "ngram-jaccard")
     docs = docs.select("doc_id", "text")
     rows = scratch.save(prefixes(docs, n, num, den, heavy_counts(docs, n)), "rows")
@@ -227,25 +227,26 @@ def link(docs: DataFrame, n: int, num: int, den: int, scratch: Scratch | None =
     stars = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = scratch.save(components(stars.unionByName(more), scratch), "final").select(F.col("node").alias("k"), "component")
 
-    thin = rows.select("doc_id", "k", "n").join(final, "k", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "k")).alias("component"))
+    thin = rows.select("doc_id", "text_hash", "k", "n").join(final, "k", "left").select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("component", "k")).alias("component"))
     thin = scratch.save(thin, "thin")
     names = thin.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     got = thin.join(names, "component", "left")
-    return got.select("doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    return got.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows with one of each component left: its smallest doc_id; rows without words all stay."""
-    linked = link(docs, n, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    empty = linked.where("n_shingles = 0").select("doc_id").distinct().withColumn("_alone", F.lit(True))
-    firsts = linked.where("n_shingles > 0").select("doc_id").distinct().withColumn("_first", F.lit(True))
-    named = firsts.join(empty, "doc_id", "full").select(F.col("doc_id").alias("_id"), "_first", "_alone")
-    got = docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id")))
-    wordless = F.coalesce(F.trim(F.translate("text", "\t\n\x0b\f\r", "     ")), F.lit("")) == ""
-    columns = docs.columns
-    row = F.struct(*[F.col(c) for c in columns])
-    kept = got.where(~wordless & F.col("_first")).groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias("_row")).select("_row.*")
-    return kept.select(*columns).unionByName(got.where(wordless & F.col("_alone")).select(*columns))
+    """The rows with one of each component left, that of its smallest doc_id; rows without words all stay."""
+    hash_, id_, found_, alone_, row_ = fresh(docs, "_text_hash", "_id", "_found_hash", "_alone", "_row")
+    linked = link(docs, n, num, den)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = linked.where("n_shingles > 0").groupBy("component").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash", F.lit(False).alias(alone_))
+    empty = linked.where("n_shingles = 0").select("doc_id", "text_hash", F.lit(True).alias(alone_)).distinct()
+    chosen = first.unionByName(empty).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(found_), alone_)
+    got = docs.withColumn(hash_, F.xxhash64("text")).join(chosen, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_)))
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    # rows that are equal in doc_id and text are in one component
+    one = got.where(~F.col(alone_)).groupBy("doc_id", hash_).agg(F.first(F.struct(*columns)).alias(row_)).select(f"{row_}.*")
+    return one.unionByName(got.where(alone_).select(*columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lakeloom.llm import language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, spotsigs, toxicity, url_filter
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_sentencepiece": pieces.query,
     "op2_toxicity": toxicity.query,
     "op3_suffix_array": repeats.query,
