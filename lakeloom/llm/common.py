@@ -98,24 +98,30 @@ class Scratch:
 
     Writing cuts lineage: an executor lost later costs no recomputation before the last table. The
     folder is spark.checkpoint.dir; only where that is unset (tests on one machine) a temporary one.
-    Shuffle files of a finished write go at once, so disk holds one phase of an operator, not all.
+    Shuffle files of a finished write go at once, so disk holds one phase of an operator, not all. With
+    shuffled=True, joins of the written plan are sort-merge joins at every size, but for those that ask
+    for a broadcast: such a plan costs in proportion to its input.
     """
 
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.paths = spark, {}
+    def __init__(self, spark: SparkSession, name: str, shuffled: bool = False):
+        self.spark, self.paths, self.shuffled = spark, {}, shuffled
         base = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
         self.base = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         atexit.register(self.clear)
 
     def save(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-        path, conf = f"{self.base}/{name}-{len(self.paths)}", self.spark.conf
-        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-        before = conf.get(key, "false")
-        conf.set(key, "true")
+        path, conf = f"{self.base}/{name}-{len(self.paths)}-{uuid.uuid4().hex[:8]}", self.spark.conf
+        wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+        if self.shuffled:
+            wanted |= {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+        before = {k: conf.get(k, None) for k in wanted}
         try:
+            for k, v in wanted.items():
+                conf.set(k, v)
             df.write.partitionBy(*partition_by).parquet(path)
         finally:
-            conf.set(key, before)
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

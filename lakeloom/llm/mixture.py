@@ -196,7 +196,7 @@ def take_texts(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     rest = F.col(taken_) % F.col(size_)
     lengths = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))
     columns = docs.columns
-    got = left.join(right, same).select(*map(quoted, columns), F.explode(lengths).alias(words_))
+    got = left.join(right.hint("merge"), same).select(*map(quoted, columns), F.explode(lengths).alias(words_))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

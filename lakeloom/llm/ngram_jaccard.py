@@ -169,7 +169,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 def link(docs: DataFrame, n: int, num: int, den: int, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, text_hash, n_shingles, component (its key, null for an empty set), component_id of every row."""
-    scratch = scratch or Scratch(docs.sparkSession, "ngram-jaccard")
+    scratch = scratch or Scratch(docs.sparkSession, "ngram-jaccard", shuffled=True)
     docs = docs.select("doc_id", "text")
     rows = scratch.save(prefixes(docs, n, num, den, heavy_counts(docs, n)), "rows")
     nodes = rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("weight").alias("weight"), F.first("prefix").alias("prefix"))
@@ -242,7 +242,7 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     first = linked.where("n_shingles > 0").groupBy("component").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash", F.lit(False).alias(alone_))
     empty = linked.where("n_shingles = 0").select("doc_id", "text_hash", F.lit(True).alias(alone_)).distinct()
     chosen = first.unionByName(empty).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(found_), alone_)
-    got = docs.withColumn(hash_, F.xxhash64("text")).join(chosen, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_)))
+    got = docs.withColumn(hash_, F.xxhash64("text")).join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_)))
     columns = [F.col(quoted(c)) for c in docs.columns]
     # rows that are equal in doc_id and text are in one component
     one = got.where(~F.col(alone_)).groupBy("doc_id", hash_).agg(F.first(F.struct(*columns)).alias(row_)).select(f"{row_}.*")

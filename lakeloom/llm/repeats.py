@@ -398,12 +398,12 @@ def spans_to_remove(docs: DataFrame, scratch: Scratch, most: int = MAX_RUNS) ->
 
 def cut_repeats(docs: DataFrame, scratch: Scratch | None = None, most: int = MAX_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) of every row."""
-    scratch = scratch or Scratch(docs.sparkSession, "repeats")
+    scratch = scratch or Scratch(docs.sparkSession, "repeats", shuffled=True)
     spans = spans_to_remove(docs, scratch, most).groupBy("id").agg(F.collect_list(F.struct("tag", "start", "end")).alias("spans"))
     spans = scratch.save(spans, "spans")
     scratch.drop("first", "compared")
     keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
-    return map_arrow(keyed.join(spans, "id", "left").select("doc_id", "text", "spans"), _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return map_arrow(keyed.join(spans.hint("merge"), "id", "left").select("doc_id", "text", "spans"), _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
