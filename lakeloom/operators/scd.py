@@ -42,7 +42,11 @@ def scd2(changes: DataFrame, key: list[str], tracked: list[str], changed_at: str
 
 
 def apply_scd2(dimension: DataFrame, changes: DataFrame, key: list[str], tracked: list[str], changed_at: str, entity: str | None = None) -> DataFrame:
-    """A dimension with more changes, late ones included: touched keys are sliced anew, others stay as they are."""
+    """A dimension with more changes: touched keys are sliced anew, others stay as they are.
+
+    A dimension keeps what differed, not every delivery. So a change that arrives late must come with the
+    deliveries after it, as it does where changes are read from the whole of Bronze.
+    """
     touched = changes.select(*key).distinct()
     columns = [c for c in changes.columns if c in dimension.columns]
     old = dimension.join(touched, key, "left_semi").where(~F.col("is_inferred"))

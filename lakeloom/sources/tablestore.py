@@ -30,14 +30,14 @@ class Table:
 
     @property
     def manifest(self) -> dict | None:
-        where = self._path(f"{self.path}/_manifest.json")
+        where = self._path(f"{self.path}/manifest.json")
         if not self._fs.exists(where):
             return None
-        rows = self.spark.read.option("wholetext", "true").text(f"{self.path}/_manifest.json").collect()
+        rows = self.spark.read.option("wholetext", "true").text(f"{self.path}/manifest.json").collect()
         return json.loads(rows[0][0])
 
     def _publish(self, manifest: dict) -> None:
-        new, now = self._path(f"{self.path}/_manifest.{uuid.uuid4().hex}"), self._path(f"{self.path}/_manifest.json")
+        new, now = self._path(f"{self.path}/manifest.{uuid.uuid4().hex}"), self._path(f"{self.path}/manifest.json")
         out = self._fs.create(new, True)
         out.write(bytearray(json.dumps(manifest).encode()))
         out.close()
