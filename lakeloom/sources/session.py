@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakeloom.config import Environment
 
@@ -42,5 +43,5 @@ def run_sql(spark: SparkSession, query: str) -> DataFrame:
 
 def rows_to_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """Driver rows under an explicit schema; keys that a row lacks are NULL."""
-    names = [c.split()[0] for c in schema.split(",")]
+    names = T.StructType.fromDDL(schema).names
     return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
