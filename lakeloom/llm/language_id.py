@@ -134,7 +134,7 @@ def learn(training: DataFrame) -> LanguageModel:
                 counts[name] = counts.get(name, 0) + row
         for name, row in counts.items():
             at = np.flatnonzero(row)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(row[at].astype(np.int64))], ["lang", "feature", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(row[at].astype(np.int64))], ["lang", "feature", "n"])
 
     rows = training.where("lang is not null and text is not null").select("lang", "text")
     got = map_arrow(rows, count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
