@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import chunks, map_arrow, read
+from lakeloom.llm.common import chunks, map_arrow, read, schema_of
 
 MAX_TRAIN = 20_000
 MAX_FEATURES = 20_000
@@ -121,11 +121,14 @@ def fit(rows: list[tuple[list[int], int]], n: int, pairs: list[tuple[list[int],
     return w, float(bias)
 
 
-def learn(labelled: DataFrame, kinds=IDENTITY_TERMS, max_train: int = MAX_TRAIN, penalty: float = PENALTY) -> ToxicityModel:
-    """From rows (doc_id, text, label); label null: left out."""
-    sample = labelled.where("label is not null").select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train)
-    sample = sample.repartition(F.xxhash64("doc_id", "label")).cache()
+def learn(docs: DataFrame, labels: DataFrame, kinds=IDENTITY_TERMS, max_train: int = MAX_TRAIN, penalty: float = PENALTY) -> ToxicityModel:
+    """From the texts of docs (doc_id, text) that labels (doc_id, label) knows; label null: left out.
+
+    The sample is chosen among the labels, so what is sent to find its texts is bounded by max_train rows.
+    """
+    chosen = labels.where("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label"))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").cache()
     try:
         totals = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
         yes, no = totals.get(1, 0), totals.get(0, 0)
@@ -198,20 +201,18 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The rows, in their own columns, whose score is under 0.5."""
-    columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
             yield b.filter(pa.array([model.score(t) < 0.5 for t in b.column("text").to_pylist()], pa.bool_()))
 
-    return map_arrow(docs, run, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)).select(*columns)
+    return map_arrow(docs, run, schema_of(docs))
 
 
 def learn_from(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> ToxicityModel:
     docs = docs if docs is not None else read(spark, sf_dir, "documents", "doc_id", "text")
     labels = read(spark, sf_dir, "labels", "doc_id", F.col("toxic").alias("label"))
-    rows = docs.select("doc_id", "text").where("crc32(cast(doc_id as string)) % 5 != 0")
-    return learn(labels.where("label is not null").join(rows, "doc_id"))
+    return learn(docs, labels.where("crc32(cast(doc_id as string)) % 5 != 0"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
