@@ -74,12 +74,12 @@ def kept_lines(text: str | None, places: list[int] | None, size: int = WINDOW) -
 
 def dedup_lines(docs: DataFrame, size: int = WINDOW, scratch: Scratch | None = None) -> tuple[DataFrame, str, str]:
     """The rows with their text cut and two columns more, and the names of those: lines, removed lines."""
-    scratch = scratch or Scratch(docs.sparkSession, "line-dedup")
+    scratch = scratch or Scratch(docs.sparkSession, "line-dedup", shuffled=True)
     hash_, id_, found_hash, places_, n_lines, n_removed = fresh(docs, "_text_hash", "_id", "_found_hash", "_places", "_n_lines", "_n_removed")
     hashed = docs.withColumn(hash_, F.xxhash64("text"))
     found = repeats(hashed.select("doc_id", "text", F.col(hash_).alias("text_hash")), scratch, size)
     found = found.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(found_hash), F.col("places").alias(places_))
-    joined = hashed.join(found, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_hash)), "left")
+    joined = hashed.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_hash)), "left")
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
