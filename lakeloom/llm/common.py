@@ -60,6 +60,20 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BY
                 yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of narrow rows put together to about `rows` each; none is empty."""
+    held, n = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            n += b.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with batches small enough for long texts; workers find this package where the driver does."""
     workers_path(df.sparkSession)

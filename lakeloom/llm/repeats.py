@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Scratch, chunks, map_arrow, mix64, read, text_bytes
+from lakeloom.llm.common import Scratch, chunks, gathered, map_arrow, mix64, read, text_bytes
 
 WIDTH = 100
 K = 32
@@ -45,6 +45,8 @@ K = 32
 MAX_RUNS = 20_000
 #: Bytes of runs in one array, unless one anchor has more.
 ARRAY_BYTES = 1 << 20
+#: Rows of runs (four longs each) that are settled at once.
+SETTLED_ROWS = 1 << 16
 NO_ID = -(2**63)
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -218,9 +220,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From runs in order of (h, c, id, packed): what goes whole (kind 0), and first runs to compare (kind 1)."""
     last_h = last_c = first_id = first_start = None
     held = None  # the first run of the anchor at hand, while it has no other
-    for b in batches:
-        if not b.num_rows:
-            continue
+    for b in gathered(batches, SETTLED_ROWS):
         h, c, ids, packed = (x.to_numpy() for x in b.columns)
         whole = (packed & 1) == 1
         out_id, out_packed, out_h, kind = [ids[whole]], [packed[whole]], [h[whole]], [np.zeros(whole.sum(), np.int64)]
@@ -239,17 +239,15 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # firsts of (h, c): compared if their anchor has another; one is held until that is known
             firsts = np.flatnonzero(new_c)
             fh, fid, fp = h[firsts], ids[firsts], packed[firsts]
-            if held is not None:
-                fh, fid, fp = np.append(held[0], fh), np.append(held[1], fid), np.append(held[2], fp)
-            same_before = np.append(False, fh[1:] == fh[:-1])
-            if held is None and len(fh) and last_h is not None and fh[0] == last_h:
-                same_before[0] = True  # its anchor's earlier runs have been passed on
-            same_after = np.append(same_before[1:], False) if len(fh) else same_before
-            several = same_before | same_after
             if len(fh):
+                if held is not None:
+                    fh, fid, fp = np.append(held[0], fh), np.append(held[1], fid), np.append(held[2], fp)
+                same_before = np.append(False, fh[1:] == fh[:-1])
+                if held is None and last_h is not None and fh[0] == last_h:
+                    same_before[0] = True  # its anchor's earlier runs have been passed on
+                several = same_before | np.append(same_before[1:], False)
                 held = None if several[-1] else (fh[-1], fid[-1], fp[-1])
-            several_ = several
-            out_id.append(fid[several_]), out_packed.append(fp[several_]), out_h.append(fh[several_]), kind.append(np.ones(several_.sum(), np.int64))
+                out_id.append(fid[several]), out_packed.append(fp[several]), out_h.append(fh[several]), kind.append(np.ones(several.sum(), np.int64))
             last_h, last_c, first_id, first_start = h[-1], c[-1], lead_id[-1], lead_start[-1]
         yield _batch("kind h id packed", *map(np.concatenate, (kind, out_h, out_id, out_packed)))
 

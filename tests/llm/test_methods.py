@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from lakeloom.llm import language_id, media, mixture, ngram_jaccard, pieces, registry, repeats, spotsigs, toxicity
@@ -131,6 +132,23 @@ def test_repeated_bytes_by_brute_force(spark, sf, documents, most):
     assert got == repeats.brute_force(list(zip(documents.doc_id, documents.text)))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_settling_in_batches(size, monkeypatch):
+    """Whatever the batches, also where one run fills several: non-first runs go, firsts of shared anchors are compared."""
+    monkeypatch.setattr(repeats, "SETTLED_ROWS", 1)
+    random.seed(size)
+    runs = sorted((random.randrange(6), random.choice([0, 0, 0, 1, 2]), random.randrange(20), repeats.pack(random.randrange(30), 0, 1, 0, 0)) for _ in range(120))
+    table = pa.table([pa.array(x, pa.int64()) for x in zip(*runs)], names=["h", "c", "id", "packed"])
+    got = [tuple(r.values()) for b in repeats._settle(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    first, contents = {}, {}
+    for h, c, i, p in runs:
+        first.setdefault((h, c), (i, p))
+        contents.setdefault(h, set()).add(c)
+    want = [(0, h, i, p) for h, c, i, p in runs if (i, p >> 32) != (first[h, c][0], first[h, c][1] >> 32)]
+    want += [(1, h, *first[h, c]) for h, cs in contents.items() if len(cs) > 1 for c in cs]
+    assert sorted(got) == sorted(want)
+
+
 # --- 4
 
 
