@@ -24,8 +24,8 @@ def get_spark(app: str = "lakeloom", master: str | None = None, **conf: str) ->
 
 
 def on_managed_cluster() -> bool:
-    """Whether a platform brought the session's settings already."""
-    return any(os.environ.get(k) for k in ("DATABRICKS_RUNTIME_VERSION", "EMR_RELEASE_LABEL", "DATAPROC_VERSION"))
+    """Whether something else brought the session's settings: a launcher script, or a session that runs."""
+    return bool(os.environ.get("SPARK_ENV_LOADED")) or SparkSession.getActiveSession() is not None
 
 
 def ensure_namespaces(spark: SparkSession, env: Environment) -> None:
