@@ -295,8 +295,16 @@ def _compare(most: int):
         else:
             later = np.zeros(0, bool)
         gone, size = member[later], np.repeat(length, sizes)[later]
-        zero = np.zeros(len(gone), np.int64)
-        return _batch(_SPANS, zero, ids_[run[gone]], (packed_[run[gone]] >> 16) & 0xFFFF, at[gone], at[gone] + size, zero, zero)
+        # one row for each stretch of a run that goes, however many repeats cover it
+        owner = run[gone] << 32
+        by = np.argsort(owner + at[gone], kind="stable")
+        begin, end = (owner + at[gone])[by], (owner + at[gone] + size)[by]
+        reach = np.maximum.accumulate(end) if len(end) else end
+        first = np.append(True, begin[1:] > reach[:-1])[: len(begin)]
+        begin, end = begin[first], reach[np.append(first[1:], True)[: len(reach)]]
+        owner, low = begin >> 32, 0xFFFFFFFF
+        zero = np.zeros(len(begin), np.int64)
+        return _batch(_SPANS, zero, ids_[owner], (packed_[owner] >> 16) & 0xFFFF, begin & low, end & low, zero, zero)
 
     def windows(ids: list[int], packed: list[int], raw: list[bytes]) -> pa.RecordBatch:
         rows = []
