@@ -53,8 +53,15 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def forget_words() -> None:
+    """At a task's end: its worker may serve another operator next."""
+    _WORDS.clear()
+
+
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """For each text its distinct n-gram hashes, in order."""
+    if len(_WORDS) > REMEMBERED:
+        _WORDS.clear()
     words = [(t or "").encode().lower().split() for t in texts]  # bytes: ASCII letters and blanks alone
     counts = np.array([len(w) for w in words], np.int64)
     flat = np.fromiter((_WORDS[w] for ws in words for w in ws), np.uint64, int(counts.sum()))
@@ -99,6 +106,7 @@ def heavy_counts(docs: DataFrame, n: int, most: int = MAX_HEAVY) -> tuple[np.nda
                 held, size = [], 0
         if held:
             yield flush()
+        forget_words()
 
     counts = map_arrow(docs.select("text"), count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n > 4")
     counts = counts.persist()
@@ -139,6 +147,7 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, heavy: tuple[np.ndarra
                 cut.append(own[:p])
                 weights.append(weight)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int64()), _long_lists(cut)], ["doc_id", "text_hash", "k", "n", "weight", "prefix"])
+        forget_words()
 
     return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id long, text_hash long, k binary, n long, weight long, prefix array<long>")
 
@@ -154,6 +163,7 @@ def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> D
             own = shingle_sets(b.column("text").to_pylist(), n)
             at = [i for i, (s, k) in enumerate(zip(own, keys)) if xxhash.xxh3_128_digest(s.tobytes()) == k]
             yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in at], pa.binary()), _long_lists([own[i] for i in at])], ["k", "s"])
+        forget_words()
 
     got = map_arrow(found.select("text", "wanted_k"), run, "k binary, s array<long>")
     return got.groupBy("k").agg(F.first("s").alias("s"))  # rows that share doc_id and text

@@ -34,8 +34,8 @@ ALPHA = 1.0
 ZIPF = 10.0
 SEED = 11
 ENCODE_BYTES = 1 << 20
-#: Lattice edges that a worker remembers before it starts anew.
-REMEMBERED_EDGES = 6_000_000
+#: Lattice edges that a task remembers before it starts anew.
+REMEMBERED_EDGES = 4_000_000
 
 _SEGMENT = re.compile(r"\n| *[^ \n]+| +")
 _PRIME = np.uint64(0x100000001B3)
@@ -254,7 +254,7 @@ _LATTICES: dict = {}
 
 
 def lattices(model: bytes, alpha: float) -> Lattices:
-    """One for each model in a worker; it serves task after task."""
+    """One for each model in a worker: the vocabulary serves task after task, the lattices one task."""
     key = (xxhash.xxh64_intdigest(model), alpha)
     if key not in _LATTICES:
         _LATTICES[key] = Lattices(Vocabulary(model, alpha))
@@ -273,12 +273,15 @@ def encode(docs: DataFrame, model_path: str | None = None, alpha: float = ALPHA,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattices(model, alpha)
-        for b in chunks(batches, "text", ENCODE_BYTES):
-            texts = b.column("text").to_pylist()
-            flat, edges = own.sample([t or "" for t in texts], row_keys(b), seed)
-            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat))
-            same = [back == (t or "").encode() for back, t in zip(own.vocabulary.decode(ids), texts)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(edges)), ids, pa.array(same)], ["doc_id", "n_pieces", "ids", "lossless"])
+        try:
+            for b in chunks(batches, "text", ENCODE_BYTES):
+                texts = b.column("text").to_pylist()
+                flat, edges = own.sample([t or "" for t in texts], row_keys(b), seed)
+                ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat))
+                same = [back == (t or "").encode() for back, t in zip(own.vocabulary.decode(ids), texts)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(edges)), ids, pa.array(same)], ["doc_id", "n_pieces", "ids", "lossless"])
+        finally:  # the worker may serve another operator next
+            own.clear()
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, n_pieces long, ids array<int>, lossless boolean")
 
