@@ -1,29 +1,30 @@
 """Suffix-array deduplication of repeated byte strings.
 
-maximal_repeats() is the core: an enhanced suffix array (suffixes in order, common prefixes of
-neighbours), a stack scan over its common-prefix intervals, and a test of each interval's left
-extensions. An interval whose occurrences are all preceded by one byte is part of a longer repeat; the
-others are maximal repeats, given with all their occurrences.
+maximal_repeats() is the core: an enhanced suffix array (suffixes sorted by prefix doubling, common prefixes
+of neighbours from the rank tables), a stack scan over its common-prefix intervals, and a test of each
+interval's left extensions. An interval whose occurrences are all preceded by one byte is part of a longer
+repeat; the others are maximal repeats, given with all their occurrences.
 
 To spread one array over a cluster, every window of WIDTH bytes is owned by its anchor: the leftmost of
 its K-byte strings with the least hash. Equal windows have equal anchors, so the windows of a document
 fall into runs (an anchor and the bytes its windows cover), and only runs with equal anchors need one
 array:
 
-1. Runs are dealt by their anchor's hash. Runs with equal bytes are settled there and then: all but the
-   first go. Copies within a chunk are settled before the shuffle, and dealt at random, so a passage
-   that a third of all documents share is one row a chunk.
-2. Where an anchor has several different runs, the first of each is looked up in its text, and the
-   bytes of all of them, with one anchor, make one suffix array.
-3. An anchor with more than MAX_RUNS different runs gets no array: its windows are hashed (128 bits)
-   and compared by a pre-aggregated minimum, which gives the same result.
+1. Runs are dealt by their anchor's hash. Copies within a chunk are settled before, after their bytes are
+   compared, so a passage that a third of all documents share is one row a chunk.
+2. Runs whose anchor has another are looked up in their text and dealt by the anchor with their bytes;
+   copies that a task holds are settled before that. Runs with equal bytes keep the first, different
+   ones make one suffix array. Hashes only bring runs together; bytes decide.
+3. An anchor with more than MAX_RUNS runs (a passage amid ever different text) is dealt by more of its
+   bytes: each of its windows is a run of its own, known by all its bytes, so no task holds them all.
 
 A byte goes if it lies in a string of WIDTH bytes that also starts earlier: at a smaller doc_id, or at a
 smaller offset in the same document. Strings are judged on the input and never cross documents.
 
 Edge cases: null text is empty; texts under WIDTH bytes stay whole; null doc_id comes before all others;
-rows that share a doc_id are versions of one document, so a string at the same offset of two versions
-is no repeat; an empty table gives no rows.
+rows that share a doc_id (or have none) but not the text are documents of their own, in order of their
+text's hash (80 bits); rows equal in both are one document, seen twice, and get the same result; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,12 +42,14 @@ from lakeloom.llm.common import Scratch, chunks, gathered, map_arrow, mix64, rea
 
 WIDTH = 100
 K = 32
-#: Different runs of one anchor that may share an array.
-MAX_RUNS = 20_000
+#: Runs of one anchor that are compared with one another; beyond that, window by window.
+MAX_RUNS = 2_000
 #: Bytes of runs in one array, unless one anchor has more.
 ARRAY_BYTES = 1 << 20
-#: Rows of runs (four longs each) that are settled at once.
-SETTLED_ROWS = 1 << 16
+#: Rows of runs (four longs each) that are handled at once.
+DEALT_ROWS = 1 << 16
+#: Bytes of looked-up runs among which a task settles copies.
+COMBINED_BYTES = 32 << 20
 NO_ID = -(2**63)
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -63,27 +66,55 @@ def maximal_repeats(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, leas
     suffix at a string's start has no known byte before it, which counts as a byte of its own.
     """
     sizes = ends - starts
-    count = np.maximum(sizes - least + 1, 0)
-    owner = np.repeat(np.arange(len(starts)), count)
-    place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + starts[owner]
-    room = ends[owner] - place
+    owner = np.repeat(np.arange(len(starts)), sizes)
+    old = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[owner]
+    room = ends[owner] - old
+    asked = np.flatnonzero(room >= least)
     none = np.zeros(0, np.int64)
-    if not len(place):
-        return place, none, none, none
-    width = int(room.max())
-    padded = np.concatenate([data, np.zeros(width, np.uint8)])
-    table = np.lib.stride_tricks.sliding_window_view(padded, width)[place]
-    table[np.arange(width) >= room[:, None]] = 0
-    order = np.argsort(table.view(f"S{width}").ravel(), kind="stable")
-    place, room, table = place[order], room[order], table[order]
-    differs = table[1:] != table[:-1]
-    common = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    if not len(asked):
+        return none, none, none, none
+    # symbols 1 to 256, and a 0 after each string
+    n, new = len(owner) + len(starts), np.arange(len(owner)) + owner
+    text = np.zeros(n + _WORD, np.int64)
+    text[new] = data[old].astype(np.int64) + 1
+    word = np.zeros(n, np.int64)
+    for j in range(_WORD):
+        word = (word << 9) | text[j : j + n]
+    ranks, widths = [_rank(word)], [_WORD]
+    while widths[-1] < int(sizes.max()) and ranks[-1].max() + 1 < n:
+        r, w = ranks[-1], widths[-1]
+        after = np.zeros(n, np.int64)
+        after[: max(n - w, 0)] = r[w:] + 1
+        ranks.append(_rank(r * (n + 1) + after))
+        widths.append(2 * w)
+    asked = asked[np.argsort(ranks[-1][new[asked]], kind="stable")]
+    at, place, room = new[asked], old[asked], room[asked]
+    # common prefixes of neighbours: the greatest sum of widths at which the ranks agree, then symbols
+    i, j, common = at[:-1], at[1:], np.zeros(max(len(at) - 1, 0), np.int64)
+    for r, w in zip(ranks[::-1], widths[::-1]):
+        common += w * (r[np.minimum(i + common, n - 1)] == r[np.minimum(j + common, n - 1)])
+    open_ = np.ones(len(common), bool)
+    for _ in range(_WORD - 1):
+        open_ &= text[np.minimum(i + common, n)] == text[np.minimum(j + common, n)]
+        common += open_
     common = np.minimum(common, np.minimum(room[1:], room[:-1]))
-    at_start = np.isin(place, starts)
-    before = np.where(at_start, -1 - np.arange(len(place)), padded[np.maximum(place - 1, 0)])
+    before = np.where(np.isin(place, starts), -1 - np.arange(len(place)), data[np.maximum(place - 1, 0)])
     return place, *_scan(common, before, least)
 
 
+#: Symbols of nine bits in the first ranks' words.
+_WORD = 7
+
+
+def _rank(keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the distinct ones."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
+    return out
+
+
 def _scan(common: np.ndarray, before: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The common-prefix intervals whose left extensions differ: length, first and last suffix."""
     found: list[tuple[int, int, int]] = []
@@ -170,12 +201,18 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, p0 - offsets[row], more, at - p0, h[at], content
 
 
-def pack(start, tag, more, off, settled):
-    """Start (31 bits), version tag (16), windows less 1 and anchor offset (7 each), whether it is settled."""
-    return (start << 32) | (tag << 16) | (more << 9) | (off << 2) | settled
+def pack(tag, start, more, off, settled):
+    """Version tag (16 bits), start (31), windows less 1 and anchor offset (7 each), whether it is settled."""
+    return (tag << 46) | (start << 15) | (more << 8) | (off << 1) | settled
+
+
+def unpack(packed):
+    """Tag, start, windows less 1, anchor offset."""
+    return packed >> 46, (packed >> 15) & 0x7FFFFFFF, (packed >> 8) & 127, (packed >> 1) & 127
 
 
 def version(text: bytes) -> int:
+    """16 bits beside Spark's 64-bit hash of the text."""
     return xxhash.xxh3_64_intdigest(text) & 0xFFFF
 
 
@@ -187,6 +224,18 @@ def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in columns], names.split())
 
 
+def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray, step: int = 4096) -> np.ndarray:
+    """Whether the size[i] bytes at a[i] and at b[i] are equal; sizes are positive."""
+    out = np.zeros(len(a), bool)
+    for k in range(0, len(a), step):
+        n = size[k : k + step]
+        first = np.cumsum(n) - n
+        along = np.arange(int(n.sum())) - np.repeat(first, n)
+        same = data[np.repeat(a[k : k + step], n) + along] == data[np.repeat(b[k : k + step], n) + along]
+        out[k : k + step] = np.logical_and.reduceat(same, first)
+    return out
+
+
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All runs of the documents; those that the chunk itself has earlier are settled."""
     for b in chunks(batches, "text"):
@@ -195,95 +244,133 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(row):
             continue
         raw = data.tobytes()
-        tags = np.array([version(raw[x:y]) for x, y in zip(offsets, offsets[1:])], np.int64)[row]
-        ids = _ids(b.column("doc_id"))[row]
-        settled = np.zeros(len(row), np.int64)
+        tag = np.array([version(raw[x:y]) for x, y in zip(offsets, offsets[1:])], np.int64)[row]
+        ids, v = _ids(b.column("doc_id"))[row], b.column("v").to_numpy()[row]
+        settled, again = np.zeros(len(row), np.int64), np.zeros(len(row), bool)
         key = mix64(h) + c
         order = np.argsort(key, kind="stable")
         same = np.append(False, key[order][1:] == key[order][:-1])
         if same.any():
             group = np.cumsum(~same) - 1
             held = np.flatnonzero(same | np.append(same[1:], False))
-            at = order[held]
-            by = np.lexsort((start[at], ids[at], group[held]))
-            at, g = at[by], group[held][by]
+            at, g = order[held], group[held]
+            by = np.lexsort((start[at], tag[at], v[at], ids[at], g))
+            at, g = at[by], g[by]
             lead = np.append(True, g[1:] != g[:-1])
-            least = np.flatnonzero(lead)[np.cumsum(lead) - 1]
-            settled[at] = (ids[at] != ids[at[least]]) | (start[at] != start[at[least]])
-        packed = pack(start, tags, more, off, settled)
+            least = at[np.flatnonzero(lead)[np.cumsum(lead) - 1]]
+            at, least = at[~lead], least[~lead]
+            alike = (more[at] == more[least]) & (off[at] == off[least])
+            at, least = at[alike], least[alike]
+            alike = _equal(data, offsets[row[at]] + start[at], offsets[row[least]] + start[least], more[at] + WIDTH)
+            at, least = at[alike], least[alike]
+            one = (ids[at] == ids[least]) & (v[at] == v[least]) & (tag[at] == tag[least]) & (start[at] == start[least])
+            settled[at[~one]] = 1
+            again[at[one]] = True  # the same document, twice in the chunk
+        packed = pack(tag, start, more, off, settled)
         # settled runs meet no others; they are dealt at random
         h = np.where(settled == 1, mix64(packed.astype(np.uint64) + ids.astype(np.uint64)), h)
-        yield _batch("h c id packed", h, c, ids, packed)
-
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From runs in order of (h, c, id, packed): what goes whole (kind 0), and first runs to compare (kind 1)."""
-    last_h = last_c = first_id = first_start = None
-    held = None  # the first run of the anchor at hand, while it has no other
-    for b in gathered(batches, SETTLED_ROWS):
-        h, c, ids, packed = (x.to_numpy() for x in b.columns)
-        whole = (packed & 1) == 1
-        out_id, out_packed, out_h, kind = [ids[whole]], [packed[whole]], [h[whole]], [np.zeros(whole.sum(), np.int64)]
-        at = np.flatnonzero(~whole)
-        if len(at):
-            h, c, ids, packed = h[at], c[at], ids[at], packed[at]
-            start = packed >> 32
-            new_h = np.append(h[0] != last_h, h[1:] != h[:-1])
-            new_c = new_h | np.append(c[0] != last_c, c[1:] != c[:-1])
-            lead = np.where(new_c, np.arange(len(h)), -1)
-            lead = np.maximum.accumulate(lead)
-            lead_id = np.where(lead >= 0, ids[np.maximum(lead, 0)], first_id if first_id is not None else 0)
-            lead_start = np.where(lead >= 0, start[np.maximum(lead, 0)], first_start if first_start is not None else 0)
-            gone = ~new_c & ((ids != lead_id) | (start != lead_start))
-            out_id.append(ids[gone]), out_packed.append(packed[gone]), out_h.append(h[gone]), kind.append(np.zeros(gone.sum(), np.int64))
-            # firsts of (h, c): compared if their anchor has another; one is held until that is known
-            firsts = np.flatnonzero(new_c)
-            fh, fid, fp = h[firsts], ids[firsts], packed[firsts]
-            if len(fh):
-                if held is not None:
-                    fh, fid, fp = np.append(held[0], fh), np.append(held[1], fid), np.append(held[2], fp)
-                same_before = np.append(False, fh[1:] == fh[:-1])
-                if held is None and last_h is not None and fh[0] == last_h:
-                    same_before[0] = True  # its anchor's earlier runs have been passed on
-                several = same_before | np.append(same_before[1:], False)
-                held = None if several[-1] else (fh[-1], fid[-1], fp[-1])
-                out_id.append(fid[several]), out_packed.append(fp[several]), out_h.append(fh[several]), kind.append(np.ones(several.sum(), np.int64))
-            last_h, last_c, first_id, first_start = h[-1], c[-1], lead_id[-1], lead_start[-1]
-        yield _batch("kind h id packed", *map(np.concatenate, (kind, out_h, out_id, out_packed)))
+        yield _batch("h id v packed", h[~again], ids[~again], v[~again], packed[~again])
 
 
-def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs that are to be compared, from their document's text."""
-    for b in chunks(batches, "text"):
-        out_h, out_id, out_packed, out_bytes = [], [], [], []
-        for text, own, i in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), _ids(b.column("doc_id")).tolist()):
-            raw = (text or "").encode()
-            tag = version(raw)
-            for r in own:
-                p = r["packed"]
-                if (p >> 16) & 0xFFFF == tag:
-                    start = p >> 32
-                    out_h.append(r["h"]), out_id.append(i), out_packed.append(p)
-                    out_bytes.append(raw[start : start + ((p >> 9) & 127) + WIDTH])
-        yield pa.RecordBatch.from_arrays([pa.array(out_h, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_packed, pa.int64()), pa.array(out_bytes, pa.binary())], ["h", "id", "packed", "bytes"])
+def _share(most: int):
+    """From runs in order of h: settled ones (kind 0), those whose anchor has another (1), or more than `most` (2)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, beyond = None, None  # runs of the last anchor, at most `most`; the anchor that has more
+        for b in gathered(batches, DEALT_ROWS):
+            rows = np.stack([x.to_numpy() for x in b.columns])
+            settled = (rows[3] & 1) == 1
+            out = [np.vstack([np.zeros(int(settled.sum()), np.int64), rows[:, settled]])]
+            rows = rows[:, ~settled]
+            if held is not None:
+                rows, held = np.concatenate([held, rows], axis=1), None
+            if rows.shape[1]:
+                h = rows[0]
+                cut = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                size = np.diff(np.append(cut, len(h)))
+                kind = np.where(size < 2, -1, np.where(size > most, 2, 1))
+                if beyond is not None and h[0] == beyond:
+                    kind[0] = 2
+                if kind[-1] == 2:
+                    beyond = h[-1]
+                else:
+                    held, kind[-1] = rows[:, cut[-1] :], -1
+                kind = np.repeat(kind, size)
+                out.append(np.vstack([kind, rows])[:, kind > 0])
+            yield _batch("kind h id v packed", *np.concatenate(out, axis=1))
+        if held is not None and held.shape[1] > 1:
+            yield _batch("kind h id v packed", np.ones(held.shape[1], np.int64), *held)
 
+    return run
 
-_SPANS = "kind id tag start end w1 w2"
 
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the runs that are to be compared, from their document's text; copies at hand are settled.
 
-def _compare(most: int):
-    """From looked-up runs in order of h: spans that go (kind 0), or windows of anchors with too many runs (kind 1)."""
+    Of runs with equal key and bytes the first keeps its bytes; others have none.
+    """
+    held: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+    size = 0
+    gone: list[tuple[int, int, int]] = []
+
+    def flush() -> pa.RecordBatch:
+        rows = [(k, *place, raw) for (k, raw), place in held.items()]
+        rows += [(hash((i, v, p)), i, v, p, None) for i, v, p in gone]  # dealt at random
+        held.clear(), gone.clear()
+        cols = list(zip(*rows)) if rows else [()] * 5
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in cols[:4]), pa.array(cols[4], pa.binary())], ["h", "id", "v", "packed", "bytes"])
+
+    def add(key: int, place: tuple[int, int, int], raw: bytes) -> int:
+        first = held.setdefault((key, raw), place)
+        if first is place:
+            return len(raw)
+        if place < first:
+            held[key, raw], place = place, first
+        if place != first or held[key, raw] != first:
+            gone.append(place)
+        return 0
 
-    def array(ids: list[int], packed: list[int], raw: list[bytes]) -> pa.RecordBatch:
-        ids_, packed_ = np.array(ids, np.int64), np.array(packed, np.int64)
+    for b in chunks(batches, "text"):
+        for text, own, i, v in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), _ids(b.column("doc_id")).tolist(), b.column("v").to_pylist()):
+            raw = (text or "").encode()
+            tag = version(raw)
+            for r in own:
+                t, start, more, off = unpack(r["packed"])
+                if t != tag:
+                    continue
+                if r["kind"] == 1:
+                    size += add(r["h"], (i, v, r["packed"]), raw[start : start + more + WIDTH])
+                    continue
+                for k in range(more + 1):  # window by window
+                    w = raw[start + k : start + k + WIDTH]
+                    size += add(xxhash.xxh3_64_intdigest(w) - (1 << 63), (i, v, pack(tag, start + k, 0, off - k, 0)), w)
+            if size > COMBINED_BYTES:
+                yield flush()
+                size = 0
+    if held or gone:
+        yield flush()
+
+
+_SPANS = "id v tag start end"
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that go, from looked-up runs in order of (h, id, v, packed)."""
+
+    def array(rows: list[tuple[int, int, int]], raw: list[bytes]) -> pa.RecordBatch:
+        ids, vs, packed = np.array(rows, np.int64).T
+        tag, begin, _, _ = unpack(packed)
         ends = np.cumsum([len(r) for r in raw])
         starts = ends - np.array([len(r) for r in raw])
         data = np.frombuffer(b"".join(raw), np.uint8)
         place, length, lo, hi = maximal_repeats(data, starts, ends, WIDTH)
         run = np.searchsorted(ends, place, side="right")
-        at = (packed_ >> 32)[run] + place - starts[run]
-        by = np.lexsort((at, ids_[run]))
-        new = np.append(True, (ids_[run][by][1:] != ids_[run][by][:-1]) | (at[by][1:] != at[by][:-1])) if len(by) else np.zeros(0, bool)
+        at = begin[run] + place - starts[run]
+        keys = (at, tag[run], vs[run], ids[run])
+        by = np.lexsort(keys)
+        new = np.zeros(len(by), bool)
+        for x in keys:
+            new[1:] |= x[by][1:] != x[by][:-1]
         rank = np.empty(len(place), np.int64)
         rank[by] = np.cumsum(new)
         sizes = hi - lo + 1
@@ -298,63 +385,46 @@ def _compare(most: int):
         # one row for each stretch of a run that goes, however many repeats cover it
         owner = run[gone] << 32
         by = np.argsort(owner + at[gone], kind="stable")
-        begin, end = (owner + at[gone])[by], (owner + at[gone] + size)[by]
-        reach = np.maximum.accumulate(end) if len(end) else end
-        first = np.append(True, begin[1:] > reach[:-1])[: len(begin)]
-        begin, end = begin[first], reach[np.append(first[1:], True)[: len(reach)]]
-        owner, low = begin >> 32, 0xFFFFFFFF
-        zero = np.zeros(len(begin), np.int64)
-        return _batch(_SPANS, zero, ids_[owner], (packed_[owner] >> 16) & 0xFFFF, begin & low, end & low, zero, zero)
-
-    def windows(ids: list[int], packed: list[int], raw: list[bytes]) -> pa.RecordBatch:
-        rows = []
-        for i, p, r in zip(ids, packed, raw):
-            for k in range(len(r) - WIDTH + 1):
-                d = np.frombuffer(xxhash.xxh3_128_digest(r[k : k + WIDTH]), np.int64)
-                rows.append((1, i, (p >> 16) & 0xFFFF, (p >> 32) + k, (p >> 32) + k + WIDTH, d[0], d[1]))
-        return _batch(_SPANS, *np.array(rows, np.int64).reshape(-1, 7).T)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: tuple[list, list, list] = ([], [], [])  # runs of complete anchors
-        own: tuple[list, list, list] = ([], [], [])  # runs of the anchor at hand
-        size, now, many = 0, None, False
-
-        def close():
-            for x, y in zip(whole, own):
-                x.extend(y)
-                y.clear()
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            h = b.column("h").to_numpy()
-            cuts = [0, *(np.flatnonzero(h[1:] != h[:-1]) + 1).tolist(), len(h)]
-            columns = [b.column(n).to_pylist() for n in ("id", "packed", "bytes")]
-            for x, y in zip(cuts, cuts[1:]):
-                if now is None or h[x] != now:
-                    if not many:
-                        close()
-                    now, many = h[x], False
+        first, last = (owner + at[gone])[by], (owner + at[gone] + size)[by]
+        reach = np.maximum.accumulate(last) if len(last) else last
+        lead = np.append(True, first[1:] > reach[:-1])[: len(first)]
+        first, last = first[lead], reach[np.append(lead[1:], True)[: len(reach)]]
+        owner, low = first >> 32, 0xFFFFFFFF
+        return _batch(_SPANS, ids[owner], vs[owner], tag[owner], first & low, last & low)
+
+    rows: list[tuple[int, int, int]] = []  # first runs of complete anchors that have several
+    raw: list[bytes] = []
+    own: dict[bytes, tuple[int, int, int]] = {}  # the first run of each content at the anchor at hand
+    gone: list[tuple[int, int, int]] = []  # runs that go whole
+    now, size = None, 0
+
+    def whole() -> pa.RecordBatch:
+        ids, vs, packed = np.array(gone, np.int64).reshape(-1, 3).T
+        tag, begin, more, _ = unpack(packed)
+        gone.clear()
+        return _batch(_SPANS, ids, vs, tag, begin, begin + more + WIDTH)
+
+    for b in batches:
+        for h, i, v, p, data in zip(*(c.to_pylist() for c in b.columns)):
+            if h != now:
+                if len(own) > 1:
+                    rows += own.values()
+                    raw += own
+                    size += sum(map(len, own))
                     if size > ARRAY_BYTES:
-                        yield array(*whole)
-                        size = 0
-                        for z in whole:
-                            z.clear()
-                for z, c in zip(own, columns):
-                    z.extend(c[x:y])
-                size += sum(map(len, columns[2][x:y]))
-                if many or len(own[0]) > most:
-                    many = True
-                    size -= sum(map(len, own[2]))
-                    yield windows(*own)
-                    for z in own:
-                        z.clear()
-        if not many:
-            close()
-        if whole[0]:
-            yield array(*whole)
-
-    return run
+                        yield array(rows, raw)
+                        rows, raw, size = [], [], 0
+                own, now = {}, h
+            place = (i, v, p)
+            if data is None or own.setdefault(data, place) != place:
+                gone.append(place)
+        if gone:
+            yield whole()
+    if len(own) > 1:
+        rows += own.values()
+        raw += own
+    if rows:
+        yield array(rows, raw)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,37 +449,34 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *(pa.array(x, pa.int64()) for x in (n, removed, spans)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and what names a document: id (null: NO_ID) and v, its text's hash."""
+    return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("v"))
+
+
 def spans_to_remove(docs: DataFrame, scratch: Scratch, most: int = MAX_RUNS) -> DataFrame:
-    """(id, tag, start, end) of all spans that go; they may overlap. A null doc_id is NO_ID."""
-    dealt = map_arrow(docs.select("doc_id", "text"), _deal, "h long, c long, id long, packed long")
-    dealt = dealt.repartition("h").sortWithinPartitions("h", "c", "id", "packed")
-    first = scratch.save(map_arrow(dealt, _settle, "kind long, h long, id long, packed long"), "first")
-    asked = first.where("kind = 1").groupBy("id").agg(F.collect_list(F.struct("h", "packed")).alias("found"))
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
-    looked = map_arrow(keyed.join(asked, "id").select("doc_id", "text", "found"), _look_up, "h long, id long, packed long, bytes binary")
-    looked = scratch.save(looked, "looked")
-    compared = map_arrow(looked.repartition("h").sortWithinPartitions("h"), _compare(most), ", ".join(f"{n} long" for n in _SPANS.split()))
-    compared = scratch.save(compared, "compared")
-    scratch.drop("looked")
-    many = compared.where("kind = 1")
-    place = F.struct("id", "start")
-    least = scratch.save(many.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").drop("last"), "least")
-    later = many.join(least, ["w1", "w2"]).where(place > F.col("first"))
-    whole = first.where("kind = 0").select(
-        "id", F.shiftright("packed", 16).bitwiseAND(0xFFFF).alias("tag"), F.shiftright("packed", 32).alias("start"), (F.shiftright("packed", 32) + F.shiftright("packed", 9).bitwiseAND(127) + WIDTH).alias("end")
-    )
-    spans = ["id", "tag", "start", "end"]
-    return whole.unionByName(compared.where("kind = 0").select(*spans)).unionByName(later.select(*spans))
+    """(id, v, tag, start, end) of all spans that go; they may overlap. A null doc_id is NO_ID."""
+    keyed = _keyed(docs)
+    dealt = map_arrow(keyed.select("doc_id", "text", "v"), _deal, "h long, id long, v long, packed long")
+    dealt = dealt.repartition("h").sortWithinPartitions("h")
+    first = scratch.save(map_arrow(dealt, _share(most), "kind long, h long, id long, v long, packed long"), "first")
+    # sets: rows equal in doc_id and text ask once
+    asked = first.where("kind > 0").groupBy("id", "v").agg(F.collect_set(F.struct("kind", "h", "packed")).alias("found"))
+    looked = map_arrow(keyed.join(asked, ["id", "v"]).select("doc_id", "text", "v", "found"), _look_up, "h long, id long, v long, packed long, bytes binary")
+    looked = looked.repartition("h").sortWithinPartitions("h", "id", "v", "packed")
+    compared = scratch.save(map_arrow(looked, _compare, ", ".join(f"{n} long" for n in _SPANS.split())), "compared")
+    start = F.shiftright("packed", 15).bitwiseAND(0x7FFFFFFF)
+    whole = first.where("kind = 0").select("id", "v", F.shiftright("packed", 46).alias("tag"), start.alias("start"), (start + F.shiftright("packed", 8).bitwiseAND(127) + WIDTH).alias("end"))
+    return whole.unionByName(compared)
 
 
 def cut_repeats(docs: DataFrame, scratch: Scratch | None = None, most: int = MAX_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) of every row."""
     scratch = scratch or Scratch(docs.sparkSession, "repeats", shuffled=True)
-    spans = spans_to_remove(docs, scratch, most).groupBy("id").agg(F.collect_list(F.struct("tag", "start", "end")).alias("spans"))
+    spans = spans_to_remove(docs, scratch, most).groupBy("id", "v").agg(F.collect_set(F.struct("tag", "start", "end")).alias("spans"))
     spans = scratch.save(spans, "spans")
     scratch.drop("first", "compared")
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
-    return map_arrow(keyed.join(spans.hint("merge"), "id", "left").select("doc_id", "text", "spans"), _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return map_arrow(_keyed(docs).join(spans.hint("merge"), ["id", "v"], "left").select("doc_id", "text", "spans"), _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,11 +484,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def brute_force(rows: list[tuple[int, str | None]], width: int = WIDTH) -> dict[int, tuple[int, int, int, str]]:
-    """The query's result in plain Python, for tests."""
+def brute_force(rows: list[tuple], width: int = WIDTH) -> dict[tuple, tuple[int, int, int, str]]:
+    """The query's result in plain Python, for tests: rows of doc_id, text and its hash, keyed by id and hash."""
     seen, out = set(), {}
-    for doc, text in sorted(rows, key=lambda r: r[0]):
-        raw = (text or "").encode()
+    for doc, v, text in sorted({(d, v, t or "") for d, t, v in rows}, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        raw = text.encode()
         gone = np.zeros(len(raw), bool)
         for i in range(len(raw) - width + 1):
             w = raw[i : i + width]
@@ -431,5 +498,5 @@ def brute_force(rows: list[tuple[int, str | None]], width: int = WIDTH) -> dict[
                 seen.add(w)
         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
         n = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
-        out[doc] = (len(raw), int(gone.sum()), n, hashlib.sha256(kept).hexdigest())
+        out[doc, v] = (len(raw), int(gone.sum()), n, hashlib.sha256(kept).hexdigest())
     return out

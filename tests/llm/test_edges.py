@@ -64,11 +64,22 @@ def test_empty_table(docs, labels, name):
     assert OPERATORS[name](docs.limit(0), labels).count() == 0
 
 
-def test_repeats_by_brute_force(docs):
-    plain = docs.where("doc_id is not null and doc_id <> 9")
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.cut_repeats(plain).collect()}
-    assert got == repeats.brute_force([(i, t) for i, t, *_ in ROWS if i not in (None, 9)])
-    assert got[6][1] == len(LONG)
+def hashes(df, *columns):
+    return [tuple(r) for r in df.select("doc_id", "text", F.xxhash64("text").alias("v"), *columns).collect()]
+
+
+@pytest.mark.parametrize("most", [repeats.MAX_RUNS, 1])
+def test_repeats_by_brute_force(docs, most):
+    """Also with null and shared ids, exact copies among them, and a passage amid ever different text."""
+    spark = docs.sparkSession
+    passage = hashlib.sha512(b"passage").hexdigest() * 2
+    more = [(i, f"{k * 7919} before. {passage} after {k * 104729}.") for k, i in enumerate((None, None, 9, 9, 9, 40, 41, 42))] + [(None, "u" + "x7y" * 50), (None, "u" + "x7y" * 50), (9, passage)]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).repartition(3)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.cut_repeats(docs, most=most).collect())
+    rows = hashes(docs)
+    want = repeats.brute_force(rows)
+    assert got == sorted((i is not None, i or 0, *want[i, v]) for i, _, v in rows)
+    assert any(i is None and n[1] for (i, _), n in want.items())
 
 
 def test_line_dedup_by_brute_force(docs):

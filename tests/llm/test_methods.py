@@ -129,26 +129,33 @@ def test_maximal_repeats_by_brute_force():
 @pytest.mark.parametrize("most", [repeats.MAX_RUNS, 2])
 def test_repeated_bytes_by_brute_force(spark, sf, documents, most):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in repeats.cut_repeats(repeats.read(spark, sf, "documents", "doc_id", "text"), most=most).collect()}
-    assert got == repeats.brute_force(list(zip(documents.doc_id, documents.text)))
+    want = repeats.brute_force([(d, t, 0) for d, t in zip(documents.doc_id, documents.text)])
+    assert got == {d: v for (d, _), v in want.items()}
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
-def test_settling_in_batches(size, monkeypatch):
-    """Whatever the batches, also where one run fills several: non-first runs go, firsts of shared anchors are compared."""
-    monkeypatch.setattr(repeats, "SETTLED_ROWS", 1)
+def test_sharing_in_batches(size, monkeypatch):
+    """Whatever the batches: runs whose anchor has another, told apart by whether it has more than three."""
+    monkeypatch.setattr(repeats, "DEALT_ROWS", 1)
     random.seed(size)
-    runs = sorted((random.randrange(6), random.choice([0, 0, 0, 1, 2]), random.randrange(20), repeats.pack(random.randrange(30), 0, 1, 0, 0)) for _ in range(120))
-    table = pa.table([pa.array(x, pa.int64()) for x in zip(*runs)], names=["h", "c", "id", "packed"])
-    got = [tuple(r.values()) for b in repeats._settle(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
-    first, contents = {}, {}
-    for h, c, i, p in runs:
-        first.setdefault((h, c), (i, p))
-        contents.setdefault(h, set()).add(c)
-    want = [(0, h, i, p) for h, c, i, p in runs if (i, p >> 32) != (first[h, c][0], first[h, c][1] >> 32)]
-    want += [(1, h, *first[h, c]) for h, cs in contents.items() if len(cs) > 1 for c in cs]
+    runs = sorted((random.choice([0, 1, 1, 1, 1, 2, 2, 3, 4, 5, 6, 7]), k, 5, repeats.pack(0, random.randrange(30), 1, 0, int(k % 5 == 0))) for k in range(24))
+    table = pa.table([pa.array(x, pa.int64()) for x in zip(*runs)], names=["h", "id", "v", "packed"])
+    got = [tuple(r.values()) for b in repeats._share(3)(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    open_ = [r for r in runs if not r[3] & 1]
+    count = {h: sum(r[0] == h for r in open_) for h, *_ in runs}
+    want = [(0, *r) for r in runs if r[3] & 1] + [(2 if count[r[0]] > 3 else 1, *r) for r in open_ if count[r[0]] > 1]
     assert sorted(got) == sorted(want)
 
 
+def test_equal_hashes_settle_nothing(monkeypatch):
+    """Runs of one content hash but other bytes both stay."""
+    monkeypatch.setattr(repeats, "mix64", lambda x: np.zeros_like(x.astype(np.uint64)))
+    texts = ["a" * 100, "b" * 100, "a" * 100]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array(texts), pa.array([1, 2, 3], pa.int64())], ["doc_id", "text", "v"])
+    got = pa.Table.from_batches(repeats._deal(iter([batch]))).to_pylist()
+    assert {r["id"] for r in got if r["packed"] & 1} == {3}
+
+
 # --- 4
 
 
