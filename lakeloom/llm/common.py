@@ -13,7 +13,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows a batch that goes to Python; texts may be long, so far fewer than Spark's 10,000.
 ARROW_ROWS = 512
@@ -42,6 +43,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def any_order(df: DataFrame, *but: str) -> Column:
+    """A number by which rows that differ have a fixed order, whatever task they come from."""
+    names = [n for n, t in df.dtypes if n not in but and "map<" not in t and "variant" not in t]
+    return F.xxhash64(*map(quoted, names))
+
+
 def schema_of(df: DataFrame) -> str:
     return ", ".join(f"{quoted(n)} {t}" for n, t in df.dtypes)
 
@@ -111,7 +118,7 @@ class Scratch:
     """Tables written to the folder that all executors share, read back as new plans.
 
     Writing cuts lineage: an executor lost later costs no recomputation before the last table. The
-    folder is spark.checkpoint.dir; only where that is unset (tests on one machine) a temporary one.
+    folder is spark.checkpoint.dir; only on one machine (a local master) may that be unset, for a temporary one.
     Shuffle files of a finished write go at once, so disk holds one phase of an operator, not all. With
     shuffled=True, joins of the written plan are sort-merge joins at every size, but for those that ask
     for a broadcast: such a plan costs in proportion to its input.
@@ -119,7 +126,11 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str, shuffled: bool = False):
         self.spark, self.paths, self.shuffled = spark, {}, shuffled
-        base = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            base = _local_dir()
         self.base = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         atexit.register(self.clear)
 

@@ -14,8 +14,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     A large star ties each larger neighbour of a node to the smallest of its neighbourhood, a small star
     does so for the smaller neighbours. Minima are pre-aggregated, so a node with very many neighbours is
     one row a task. Each round is written down; rounds grow with the logarithm of the longest path.
+
+    Edge cases: repeated edges, edges of a node to itself and their order change nothing; a node that has
+    only an edge to itself isn't returned; no edges, no rows.
     """
-    scratch.spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     now, names, before = edges.select("a", "b").where("a <> b").distinct(), [], None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))

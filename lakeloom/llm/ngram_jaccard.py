@@ -1,24 +1,15 @@
 """N-gram Jaccard self-join of documents by a grouped prefix join, down to components.
 
-A document is its set of hashed word n-grams (64 bits). Equal sets are one node. Sets are ordered by one
-global order, frequent n-grams last; two sets that link share an n-gram in their prefixes. Nodes with one
-prefix and one size are a group. Groups meet in the buckets of their prefix n-grams:
-
-1. Star: each group meets its bucket's leader, the group whose prefix is the most frequent. Group pairs
-   pass the size filter and the positional filter, then members are verified on their whole sets.
-2. Rest: in buckets whose groups aren't all in one component yet, each group that isn't wholly in the
-   leader's component meets all groups that pass the filters. Pairs that are joined already are left out,
-   as they can't change a component. No other pair can link, so the components are exact.
-
-So a large group of near copies costs as many pairs as it has members, not their square.
+A document is its set of hashed word n-grams (64 bits). Equal sets are one node; nodes are grouped by prefix
+and size, group pairs filtered, members verified and joined by setjoin.
 
 The order needs only to be the same everywhere: n-grams that some task sees at least twice are counted
 over all tasks, the MAX_HEAVY most frequent get their counts, all others 0, ties go by hash. The counts
-have a size bound (12 bytes each) and are the only thing that is broadcast.
+have a size bound (16 bytes each) and are the only thing that is broadcast.
 
 Edge cases: a document with fewer words than n has one n-gram, its whole sequence; null and wordless
-texts have an empty set and stay alone; rows that share a doc_id are nodes by their texts; a null doc_id is
-never a component's name unless nothing else is in it; an empty table gives no rows.
+texts have an empty set and stay alone; rows that share a doc_id (or have none) are nodes by their texts; a
+null doc_id is never a component's name unless nothing else is in it; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Scratch, chunks, fresh, map_arrow, mix64, quoted, read
-from lakeloom.llm.components import components
+from lakeloom.llm.common import Scratch, any_order, chunks, fresh, map_arrow, mix64, quoted, read
+from lakeloom.llm.setjoin import linked_components
 
 MAX_HEAVY = 1_000_000
 #: A task counts this many n-grams at once.
@@ -153,28 +144,24 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, heavy: tuple[np.ndarra
 
 
 def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(k, s): the n-grams of the nodes in `wanted` (k), made again from one row of each."""
-    ids = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("r")).select(F.col("k").alias("wanted_k"), F.col("r.doc_id").alias("wanted_id"))
-    found = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    """(k, s): the n-grams of the nodes in `wanted` (k), made again from one text of each."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    ids = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(place).alias("r")).select(F.col("k").alias("wanted_k"), F.col("r.doc_id").alias("wanted_id"), F.col("r.text_hash").alias("wanted_hash"))
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = hashed.join(ids, (F.col("text_hash") == F.col("wanted_hash")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
             keys = b.column("wanted_k").to_pylist()
-            own = shingle_sets(b.column("text").to_pylist(), n)
-            at = [i for i, (s, k) in enumerate(zip(own, keys)) if xxhash.xxh3_128_digest(s.tobytes()) == k]
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in at], pa.binary()), _long_lists([own[i] for i in at])], ["k", "s"])
+            # rows equal in doc_id and text: once a chunk
+            at = list({k: i for i, k in enumerate(keys)}.values())
+            own = shingle_sets(b.column("text").take(pa.array(at, pa.int64())).to_pylist(), n)
+            good = [i for i, (s, j) in enumerate(zip(own, at)) if xxhash.xxh3_128_digest(s.tobytes()) == keys[j]]
+            yield pa.RecordBatch.from_arrays([pa.array([keys[at[i]] for i in good], pa.binary()), _long_lists([own[i] for i in good])], ["k", "s"])
         forget_words()
 
     got = map_arrow(found.select("text", "wanted_k"), run, "k binary, s array<long>")
-    return got.groupBy("k").agg(F.first("s").alias("s"))  # rows that share doc_id and text
-
-
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-    x, y = sets.select(F.col("k").alias("a"), F.col("s").alias("x")), sets.select(F.col("k").alias("b"), F.col("s").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    got = pairs.join(x, "a").join(y, "b")
-    return got.where(both * (num + den) >= num * (F.size("x") + F.size("y"))).select("a", "b")
+    return got.groupBy("k").agg(F.first("s").alias("s"))
 
 
 def link(docs: DataFrame, n: int, num: int, den: int, scratch: Scratch | None = None) -> DataFrame:
@@ -183,69 +170,23 @@ def link(docs: DataFrame, n: int, num: int, den: int, scratch: Scratch | None =
     docs = docs.select("doc_id", "text")
     rows = scratch.save(prefixes(docs, n, num, den, heavy_counts(docs, n)), "rows")
     nodes = rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("weight").alias("weight"), F.first("prefix").alias("prefix"))
-    # groups: nodes with one prefix and one size, named after their least node
-    nodes = nodes.withColumn("sign", F.sha2(F.concat_ws(",", F.col("prefix").cast("array<string>")), 256))
-    nodes = scratch.save(nodes, "nodes")
-    named = nodes.groupBy("sign", "n").agg(F.min("k").alias("g"), F.first("weight").alias("weight"), F.first("prefix").alias("prefix"), F.count("*").alias("members"))
-    groups = scratch.save(named, "groups")
-    members = scratch.save(nodes.select("k", "sign", "n").join(groups.select("sign", "n", "g", "members"), ["sign", "n"]).select("k", "g", "members"), "members")
-    scratch.drop("nodes")
-
-    places = groups.select("g", "n", "weight", F.posexplode("prefix").alias("pos", "s"))
-    lead = places.groupBy("s").agg(F.count("*").alias("c"), F.max(F.struct("weight", "g", "n", "pos")).alias("lead")).where("c > 1")
-    lead = scratch.save(lead.select("s", F.col("lead.g").alias("lg"), F.col("lead.n").alias("ln"), F.col("lead.pos").alias("lpos")), "lead")
-    buckets = scratch.save(places.drop("weight").join(lead, "s"), "buckets")
-    scratch.drop("lead")
-
-    def fits(n1, p1, n2, p2):
-        sizes = (F.col(n1) * den >= F.col(n2) * num) & (F.col(n2) * den >= F.col(n1) * num)
-        room = F.least(F.col(n1) - F.col(p1), F.col(n2) - F.col(p2))
-        return sizes & (room * (num + den) >= (F.col(n1) + F.col(n2)) * num)
-
-    mine = members.select(F.col("g").alias("gb"), F.col("k").alias("b"))
-    star = buckets.where(F.col("g") != F.col("lg")).where(fits("n", "pos", "ln", "lpos")).select(F.col("lg").alias("a"), F.col("g").alias("gb")).distinct()
-    star = star.join(mine, "gb").select("a", "b")
-    within = members.where((F.col("members") > 1) & (F.col("k") != F.col("g"))).select(F.col("g").alias("a"), F.col("k").alias("b"))
-    star = scratch.save(star.unionByName(within), "star")
-    wanted = star.select(F.col("a").alias("k")).unionByName(star.select(F.col("b").alias("k"))).distinct()
-    sets = scratch.save(whole_sets(docs, rows, wanted, n), "sets")
-    edges = scratch.save(verified(star, sets, num, den), "edges")
-    scratch.drop("sets", "star")
-    joined = scratch.save(components(edges, scratch), "joined")
-
-    # the rest: pairs of groups that aren't all in one component
-    owners = members.join(joined.select(F.col("node").alias("k"), "component"), "k", "left").select("k", "g", F.coalesce("component", "k").alias("component"))
-    owners = scratch.save(owners, "owners")
-    spans = owners.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    spread = buckets.join(spans, "g").join(spans.select(F.col("g").alias("lg"), F.col("low").alias("main")), "lg").drop("lg", "ln", "lpos")
-    open_ = spread.groupBy("s").agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x < y").select("s")
-    spread = scratch.save(spread.join(open_, "s"), "spread")
-    first = spread.where("low <> main or high <> main").select("s", F.col("g").alias("g1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("low").alias("l1"), F.col("high").alias("h1"))
-    second = spread.select("s", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("low").alias("l2"), F.col("high").alias("h2"))
-    apart = (F.col("g1") != F.col("g2")) & ~((F.col("l1") == F.col("h1")) & (F.col("l2") == F.col("h2")) & (F.col("l1") == F.col("l2")))
-    pairs = first.join(second, "s").where(apart & fits("n1", "p1", "n2", "p2")).select(F.least("g1", "g2").alias("g1"), F.greatest("g1", "g2").alias("g2")).distinct()
-    pairs = pairs.unionByName(spans.where("low <> high").select(F.col("g").alias("g1"), F.col("g").alias("g2")))
-    left = owners.select(F.col("g").alias("g1"), F.col("k").alias("a"), F.col("component").alias("ca"))
-    right = owners.select(F.col("g").alias("g2"), F.col("k").alias("b"), F.col("component").alias("cb"))
-    rest = pairs.join(left, "g1").join(right, "g2").where((F.col("ca") != F.col("cb")) & ((F.col("g1") != F.col("g2")) | (F.col("a") < F.col("b")))).select("a", "b")
-    rest = scratch.save(rest, "rest")
-    scratch.drop("buckets", "spread")
-    wanted = rest.select(F.col("a").alias("k")).unionByName(rest.select(F.col("b").alias("k"))).distinct()
-    sets = scratch.save(whole_sets(docs, rows, wanted, n), "sets")
-    more = scratch.save(verified(rest, sets, num, den), "more")
-    scratch.drop("sets", "rest")
-    stars = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = scratch.save(components(stars.unionByName(more), scratch), "final").select(F.col("node").alias("k"), "component")
-
-    thin = rows.select("doc_id", "text_hash", "k", "n").join(final, "k", "left").select("doc_id", "text_hash", "n", F.when(F.col("n") > 0, F.coalesce("component", "k")).alias("component"))
-    thin = scratch.save(thin, "thin")
-    names = thin.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    got = thin.join(names, "component", "left")
-    return got.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    final = linked_components(nodes, lambda wanted: whole_sets(docs, rows, wanted, n), num, den, scratch)
+
+    # rows without words share one empty set, and meet nobody
+    worded = rows.where("n > 0").select("doc_id", "text_hash", "k", "n").join(final, "k", "left").select("doc_id", "text_hash", "n", F.coalesce("component", "k").alias("component"))
+    worded = scratch.save(worded, "worded")
+    names = worded.groupBy("component").agg(F.min("doc_id").alias("least"))
+    got = worded.join(names, "component").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", F.col("least").alias("component_id"))
+    alone = rows.where("n = 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id"))
+    return got.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows with one of each component left, that of its smallest doc_id; rows without words all stay."""
+    """The rows with one of each component left, that of its smallest doc_id; rows without words all stay.
+
+    Of rows that share that doc_id the one with the smaller text hash stays, of rows equal in both the one
+    first by a hash of its columns.
+    """
     hash_, id_, found_, alone_, row_ = fresh(docs, "_text_hash", "_id", "_found_hash", "_alone", "_row")
     linked = link(docs, n, num, den)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
@@ -255,7 +196,7 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> Data
     got = docs.withColumn(hash_, F.xxhash64("text")).join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.col(found_)))
     columns = [F.col(quoted(c)) for c in docs.columns]
     # rows that are equal in doc_id and text are in one component
-    one = got.where(~F.col(alone_)).groupBy("doc_id", hash_).agg(F.first(F.struct(*columns)).alias(row_)).select(f"{row_}.*")
+    one = got.where(~F.col(alone_)).groupBy("doc_id", hash_).agg(F.min_by(F.struct(*columns), any_order(docs)).alias(row_)).select(f"{row_}.*")
     return one.unionByName(got.where(alone_).select(*columns))
 
 
