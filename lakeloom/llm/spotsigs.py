@@ -6,13 +6,17 @@ has p - j content words before it, so its chain is content[p - j], content[p - j
 pass each for anchors, content and signatures. A document's fingerprint is its set of hashed signatures
 in order; a text with words but no whole chain has one signature, of all its words.
 
-Likeness is the Jaccard coefficient of two fingerprints; sets whose sizes alone rule out the threshold
-are not compared. near_duplicates() joins documents within partitions by set length: sizes whose ratio
-is under the threshold never meet.
-
-Edge cases: null text counts as empty; a text without words has an empty fingerprint; the likeness of two
-empty fingerprints is 1, of an empty and another 0; equal doc_ids are ordered by their text, null ids
-come first; the document after the last is the first, so a lone document follows itself.
+Likeness is the Jaccard coefficient of two fingerprints. Near copies are found among all documents:
+near_groups() partitions distinct fingerprints by set length, so sizes that rule out the threshold never
+meet, compares them through their prefixes and pruned Jaccard (setjoin), and names what hangs together.
+The prefixes hold a set's rarest signatures by the counts of COUNTED hash slots; the order needs only to
+be the same everywhere, so a slot that several signatures share costs time, not links.
+
+Edge cases: null text counts as empty; a text without words has an empty fingerprint and is near nobody;
+the likeness of two empty fingerprints is 1, of an empty and another 0; equal doc_ids are ordered by their
+text, null ids come first; the document after the last is the first, so a lone document follows itself;
+classes are named by their fingerprints, so rows that share a doc_id or have none keep their own; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import Scratch, read
+from lakeloom.llm.setjoin import linked_components
 
 CHAIN = 2
 #: Anchors: common words of the languages at hand. A parameter of signatures().
@@ -35,7 +40,10 @@ ANCHORS = tuple(
 #: Characters of text that one range of documents holds, and most ranges.
 RANGE_CHARS = 3_000_000
 MAX_RANGES = 4096
-THRESHOLD = 0.8
+#: Near copies: likeness of at least this many hundredths.
+THRESHOLD = 80
+#: Hash slots in which signatures are counted, a power of 2; their counts are all that reaches the driver.
+COUNTED = 1 << 16
 
 
 def word_list(text: Column) -> Column:
@@ -106,7 +114,7 @@ def _count_upto(value: Column, cuts: list[int], step: int = 64) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """The contract's columns for every row of (doc_id, text)."""
+    """The contract's columns for every row of (doc_id, text), and its signatures (sigs)."""
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     w = Window.partitionBy("_range").orderBy("_tail", F.col("doc_id").asc_nulls_first(), "text")
     df = ranges(base).withColumn("_next", F.lead("text").over(w))
@@ -125,40 +133,52 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         as_string(F.col("_edited")).alias("edited_fingerprint"),
         likeness(F.col("_own"), F.col("_edited")).alias("near_edited"),
         likeness(F.col("_own"), F.col("_following")).alias("near_next"),
+        F.col("_own").alias("sigs"),
     )
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
-    """Classes (doc_id, class_id) of equal fingerprints, and pairs (a, b, likeness) of class ids at least as like as the threshold.
+def frequencies(sets: DataFrame) -> Column:
+    """How frequent a signature's hash slot is (log2), as an array that is the same for all rows."""
+    slot = F.col("s").bitwiseAND(COUNTED - 1)
+    counted = sets.select(F.explode("s").alias("s")).groupBy(slot.cast("int").alias("slot")).agg(F.count("*").alias("n"))
+    levels = {r.slot: r.level for r in counted.select("slot", F.floor(F.log2("n")).cast("int").alias("level")).collect()}
+    # one foldable expression, so that it is a constant of the plan and read in place
+    return F.split(F.lit(",".join(str(levels.get(i, 0)) for i in range(COUNTED))), ",").cast("array<int>")
+
 
-    Prefixes hold a set's rarest signatures, so two sets that are alike share one; sets meet only within a
-    partition by length, in which each set also stands for the partitions that its smaller partners are in.
+def near_groups(signed: DataFrame, scratch: Scratch, hundredths: int = THRESHOLD) -> DataFrame:
+    """(k, near) of the fingerprints k that are near another; near is the least k of what hangs together.
+
+    signed: k (a fingerprint's key) and sigs of every row.
     """
-    scratch = scratch or Scratch(docs.sparkSession, "spotsigs")
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    signed = scratch.save(with_signatures(base, "text", "sigs").select("doc_id", "sigs", F.md5(as_string(F.col("sigs"))).alias("k")), "signed")
-    ids = signed.groupBy("k").agg(F.min("doc_id").alias("class_id"))
-    classes = signed.join(ids, "k").select("doc_id", "class_id")
-    sets = scratch.save(signed.where(F.size("sigs") > 0).groupBy("k").agg(F.min("doc_id").alias("id"), F.first("sigs").alias("sigs")).drop("k"), "sets")
-    seen = sets.select("id", F.size("sigs").alias("n"), F.explode("sigs").alias("s"))
-    counted = seen.join(seen.groupBy("s").agg(F.count("*").alias("df")), "s")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "s"))
-    prefix = counted.withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).where("df > 1")
-    # partition k holds lengths [1/t**k, 1/t**(k+1)): partners are in the same one or the next
-    part = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
-    prefix = scratch.save(prefix.withColumn("p", part).select("id", "n", "s", "r", "p"), "prefix")
-    left = prefix.select(F.col("id").alias("a"), F.col("n").alias("an"), "s", F.col("r").alias("ar"), F.explode(F.array(F.col("p"), F.col("p") + 1)).alias("p"))
-    right = prefix.select(F.col("id").alias("b"), F.col("n").alias("bn"), "s", F.col("r").alias("br"), "p")
-    fits = (F.col("an") <= F.col("bn")) & (F.col("an") >= threshold * F.col("bn") - 1e-9) & ((F.col("an") < F.col("bn")) | (F.col("a") < F.col("b")))
-    room = F.least(F.col("an") - F.col("ar"), F.col("bn") - F.col("br")) + 1
-    pairs = left.join(right, ["s", "p"]).where(fits & (room >= threshold / (1 + threshold) * (F.col("an") + F.col("bn")) - 1e-9)).select("a", "b").distinct()
-    got = pairs.join(sets.select(F.col("id").alias("a"), F.col("sigs").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("sigs").alias("y")), "b")
-    got = got.withColumn("likeness", likeness(F.col("x"), F.col("y"), threshold)).where(F.col("likeness") >= threshold)
-    return classes, got.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "likeness")
+    sets = signed.where(F.size("sigs") > 0).groupBy("k").agg(F.first("sigs").alias("s"))
+    sets = scratch.save(sets, "distinct")
+    levels = frequencies(sets)
+    n = F.size("s")
+    order = F.sort_array(F.transform("s", lambda h: F.struct(F.get(levels, h.bitwiseAND(COUNTED - 1).cast("int")).alias("level"), h.alias("h"))))
+    keep = n - F.ceil(n * hundredths / 100 - 1e-9).cast("int") + 1
+    nodes = sets.select("k", n.cast("long").alias("n"), F.slice(order, F.lit(1), keep).alias("first"))
+    nodes = nodes.select("k", "n", F.aggregate("first", F.lit(0), lambda a, x: a + x["level"]).alias("weight"), F.transform("first", lambda x: x["h"]).alias("prefix"))
+    return linked_components(nodes, lambda wanted: sets.join(wanted, "k", "left_semi"), hundredths, 100, scratch, parts=True).withColumnRenamed("component", "near")
+
+
+def with_groups(printed: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows with class_id (least doc_id of an equal fingerprint) and near_id (least reachable through near copies)."""
+    keyed = scratch.save(printed.withColumn("k", F.unhex(F.md5("fingerprint"))), "printed")
+    signed = keyed.select("k", "sigs", "doc_id")
+    near = near_groups(signed, scratch)
+    classes = signed.where(F.size("sigs") > 0).groupBy("k").agg(F.min("doc_id").alias("class_id"))
+    classes = scratch.save(classes.join(near, "k", "left").select("k", "class_id", F.coalesce("near", "k").alias("near")), "classes")
+    named = classes.join(classes.groupBy("near").agg(F.min("class_id").alias("near_id")), "near").select("k", "class_id", "near_id")
+    # rows without words share one empty fingerprint, and are near nobody
+    worded = keyed.where(F.size("sigs") > 0).join(named, "k")
+    alone = keyed.where(F.size("sigs") == 0).withColumns({"class_id": F.col("doc_id"), "near_id": F.col("doc_id")})
+    return worded.unionByName(alone).drop("k", "sigs")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(read(spark, sf_dir, "documents", "doc_id", "text"))
+    scratch = Scratch(spark, "spotsigs", shuffled=True)
+    return with_groups(fingerprints(read(spark, sf_dir, "documents", "doc_id", "text")), scratch)
 
 
 def edited_text(text: str | None, following: str | None) -> str:
