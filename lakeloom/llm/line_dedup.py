@@ -6,11 +6,12 @@ some repeat covers goes; windows are judged on the input, not on what is left.
 
 Window hashes are pre-aggregated to their first occurrence, so a window that a third of all documents
 share is one row a task; only the join that marks later occurrences meets it again, and that join can be
-split. Windows of three empty lines don't count.
+split.
 
 Edge cases: documents of under three lines have no window and stay; null text: no lines; null doc_id
 comes first; rows that share a doc_id but not the text are documents in order of their text's hash;
-rows equal in both are one document, seen twice, and get the same result; an empty table gives no rows.
+rows equal in both are one document, seen twice, and get the same result; windows of empty lines are windows
+like others; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,15 +36,12 @@ def windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
             row, pos, digests = [], [], []
-            empty = "\n" * (size - 1)
             for i, text in enumerate(b.column("text").to_pylist()):
                 lines = (text or "").split("\n")
                 for k in range(len(lines) - size + 1):
-                    window = "\n".join(lines[k : k + size])
-                    if window != empty:
-                        row.append(i)
-                        pos.append(k)
-                        digests.append(xxhash.xxh3_128_digest(window.encode()))
+                    row.append(i)
+                    pos.append(k)
+                    digests.append(xxhash.xxh3_128_digest("\n".join(lines[k : k + size]).encode()))
             h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()).take(at), b.column("text_hash").take(at), pa.array(pos, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], ["doc_id", "text_hash", "pos", "h1", "h2"])
@@ -114,7 +112,7 @@ def brute_force(rows: list[tuple[int, str | None]], size: int = WINDOW) -> dict[
         gone = set()
         for k in range(len(lines) - size + 1):
             w = tuple(lines[k : k + size])
-            if any(w) and w in seen:
+            if w in seen:
                 gone |= set(range(k, k + size))
             seen.add(w)
         kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)
@@ -131,7 +129,7 @@ WITH lined AS (
   SELECT doc_id, i, concat(lines[i], chr(10), lines[i + 1], chr(10), lines[i + 2]) AS w FROM numbered WHERE i + 2 <= len(lines)
 ), later AS (
   SELECT doc_id, i FROM (
-    SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM found WHERE w <> concat(chr(10), chr(10))
+    SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM found
   ) WHERE n > 1
 ), gone AS (
   SELECT DISTINCT doc_id, i + k AS i FROM later, (SELECT unnest([0, 1, 2]) AS k)
