@@ -6,7 +6,8 @@ weight * logistic loss of the bit's margin against the codeword, and the nearest
 weight is how far its margins stay from zero on the languages it was learned from. A text is ambiguous
 if the runner-up comes within `AMBIGUOUS` of the winner's probability.
 
-All labelled training rows are counted (n_languages * DIMENSIONS counts reach the driver, no text).
+All labelled training rows are counted; at most DIMENSIONS counts a language reach the driver, no text, and
+languages are taken one at a time, so any number of them will do.
 
 Edge cases: a text that is null or has no letter is `und` with score 0; with no training rows every text
 is `und`; with one language every text with a letter gets it. Rows with null lang teach nothing.
@@ -15,7 +16,7 @@ is `und`; with one language every text with a letter gets it. Rows with null lan
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import chunks, map_arrow, read, text_bytes
 
 DIMENSIONS = 1 << 15
-MAX_LANGUAGES = 512
 AMBIGUOUS = 0.2
 SMOOTHING = 0.5
 SCORE_BYTES = 1 << 20
@@ -77,16 +77,27 @@ def codebook(n: int) -> np.ndarray:
 class LanguageModel:
     """Languages, codewords, and for each bit its trigram weights and its weight in decoding."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], counts: Callable[[int], np.ndarray]):
+        """counts(i): of each trigram in the texts of language i."""
         self.languages, self.code = languages, codebook(len(languages))
         if not languages:
             return
-        p = (counts + SMOOTHING) / (counts + SMOOTHING).sum(axis=1, keepdims=True)
-        self.weights = np.zeros((self.code.shape[1], DIMENSIONS))
-        for b, bits in enumerate(self.code.T):
-            if len(languages) > 1:
-                self.weights[b] = np.log(p[bits > 0].mean(axis=0)) - np.log(p[bits < 0].mean(axis=0))
-        margins = p @ self.weights.T * self.code  # expected margin a trigram, by language and bit
+
+        def share(i: int) -> np.ndarray:
+            p = counts(i) + SMOOTHING
+            return p / p.sum()
+
+        yes, no = np.zeros((2, self.code.shape[1], DIMENSIONS))
+        for i, bits in enumerate(self.code):
+            p = share(i)
+            yes[bits > 0] += p
+            no[bits < 0] += p
+        self.weights = np.zeros_like(yes)
+        if len(languages) > 1:
+            on = (self.code > 0).sum(axis=0)[:, None]
+            self.weights = np.log(yes / on) - np.log(no / (len(languages) - on))
+        # expected margin a trigram, by language and bit
+        margins = np.stack([self.weights @ share(i) * bits for i, bits in enumerate(self.code)])
         self.trust = np.maximum(margins.min(axis=0), 1e-3)
         self.trust /= self.trust.max()
         self.scale = 1 / np.maximum(np.abs(margins).mean(axis=0), 1e-3)
@@ -139,10 +150,13 @@ def learn(training: DataFrame) -> LanguageModel:
     rows = training.where("lang is not null and text is not null").select("lang", "text")
     got = map_arrow(rows, count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(got["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counts = np.zeros((len(languages), DIMENSIONS))
-    counts[np.searchsorted(languages, got["lang"]) if len(got) else [], got["feature"].astype(int)] = got["n"]
+    own = {lang: (g["feature"].to_numpy(int), g["n"].to_numpy(float)) for lang, g in got.groupby("lang")}
+
+    def counts(i: int) -> np.ndarray:
+        out = np.zeros(DIMENSIONS)
+        out[own[languages[i]][0]] = own[languages[i]][1]
+        return out
+
     return LanguageModel(languages, counts)
 
 
