@@ -135,7 +135,8 @@ def encode(samples: np.ndarray, frame_rows: list[int]) -> list[bytes]:
 class Frame:
     """What the markers of one baseline JPEG say, and where its scan lies."""
 
-    def __init__(self, data: bytes, start: int = 0):
+    def __init__(self, data: bytes, start: int = 0, stops: np.ndarray | None = None):
+        """stops: places of all markers in data that end a scan; found here if not given."""
         if data[start : start + 2] != b"\xff\xd8":
             raise ValueError("no start of image")
         at, quant, tables, self.restart = start + 2, {}, {}, 0
@@ -182,21 +183,28 @@ class Frame:
         self.quant = quant[parts[scan[0][0]][2]]
         # one entry for each block of an MCU: component, DC table, AC table
         self.pattern = tuple((k, tables[t >> 4], tables[16 + (t & 15)]) for k, (c, t) in enumerate(scan) for _ in range(1 if single else parts[c][0] * parts[c][1]))
-        rest = np.frombuffer(data, np.uint8)[at:]
-        ff = np.flatnonzero(rest[:-1] == 255)
-        after = rest[ff + 1]
-        ends = ff[(after != 0) & ((after < 0xD0) | (after > 0xD7))]
-        if not len(ends):
+        stops = scan_ends(data) if stops is None else stops
+        nth = int(np.searchsorted(stops, at))
+        if nth == len(stops):
             raise ValueError("the scan breaks off")
-        self.scan = rest[: ends[0]]
-        self.end = at + int(ends[0]) + 2
+        end = int(stops[nth])
+        self.scan = np.frombuffer(data, np.uint8)[at:end]
+        self.end = end + 2
+
+
+def scan_ends(data: bytes) -> np.ndarray:
+    """Places of all markers but restarts, in one pass."""
+    raw = np.frombuffer(data, np.uint8)
+    ff = np.flatnonzero(raw[:-1] == 255)
+    after = raw[ff + 1]
+    return ff[(after != 0) & ((after < 0xD0) | (after > 0xD7))]
 
 
 def decode(media: bytes) -> list[Frame]:
     """The frames of a media value, markers parsed."""
-    out, at = [], 0
+    out, at, stops = [], 0, scan_ends(media)
     while at < len(media):
-        out.append(Frame(media, at))
+        out.append(Frame(media, at, stops))
         at = out[-1].end
     return out
 
@@ -315,10 +323,10 @@ def store(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
             owner.append(i)
             n -= FRAME
     frames = encode(payload, rows)
-    out = [b""] * len(padded)
+    own: list[list[bytes]] = [[] for _ in padded]
     for i, f in zip(owner, frames):
-        out[i] = out[i] + f if out[i] else f
-    return out
+        own[i].append(f)
+    return [b"".join(fs) for fs in own]
 
 
 def read_back(media: list[bytes]) -> list[tuple[bytes, str]]:
