@@ -1,15 +1,16 @@
 """Toxicity: a classifier that is regularised by counterfactual identity terms.
 
 Features are the presence of words and of word starts, chosen by how much they tell about the label on a
-bounded sample of labelled texts. In labelled texts that name a group, the identity term is swapped for
-each other term of its kind; training adds `penalty` times the squared change of the logit, so a group's
-mention alone moves no score.
+bounded sample of labelled texts. In each sentence of theirs that names a group, the identity term is
+swapped for each other term of its kind; training adds `penalty` times the squared change of the sentence's
+logit, so a group's mention alone moves no score. Kinds of terms are a parameter, also as a table (kinds_of).
 
 Scores come from the text alone. Learning uses at most MAX_TRAIN labelled rows (those first by a hash of
-doc_id, toxic ones and others alike), MAX_FEATURES features of them reach the driver.
+doc_id, toxic ones and others alike); their features that tell enough reach the driver, and their swaps
+that differ, with counts.
 
-Edge cases: null and empty texts get the score of a text with no known feature; null labels teach
-nothing; with one class or no labels at all every score is the smoothed share of the label; repeated
+Edge cases: null and empty texts get the score of a text with no known feature; labels other than 0 and 1
+teach nothing, nor do null ones; with one class or no labels at all every score is the smoothed share of the label; repeated
 rows are scored alike; an empty table gives no rows.
 """
 
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import chunks, map_arrow, read, schema_of
 
 MAX_TRAIN = 20_000
-MAX_FEATURES = 20_000
 MIN_ROWS = 4
 MIN_G2 = 12.0
 PENALTY = 1.0
@@ -48,6 +48,7 @@ IDENTITY_TERMS = (
 )
 
 _WORD = re.compile(r"[^\W\d_]+")
+_SENTENCE = re.compile(r"[^.!?\n]+")
 
 
 def words(text: str | None) -> set[str]:
@@ -84,24 +85,46 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-min(max(z, -60.0), 60.0)))
 
 
-def _swaps(own: set[str], kinds) -> list[tuple[set[str], set[str]]]:
-    """For each identity term of a text: what a swap takes from its features and what it adds."""
-    out = []
-    for kind in kinds:
-        for term in own.intersection(kind):
-            out += [(features(term), features(other)) for other in kind if other != term and other not in own]
-    return out
+def kinds_of(terms: DataFrame) -> tuple[tuple[str, ...], ...]:
+    """Kinds of identity terms from a table (kind, term); null terms are left out."""
+    rows = terms.where("term is not null").select("kind", F.lower("term").alias("term")).distinct().collect()
+    return tuple(tuple(sorted(r.term for r in rows if r.kind == k)) for k in sorted({r.kind for r in rows}, key=str))
 
 
-def fit(rows: list[tuple[list[int], int]], n: int, pairs: list[tuple[list[int], list[int]]], penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on presence features; pairs: features that a swap takes and adds."""
+def swaps(text: str | None, kinds) -> Iterator[tuple[frozenset[str], frozenset[str]]]:
+    """For each identity term of each sentence and each other term of its kind: features that a swap takes and adds."""
+    for sentence in _SENTENCE.findall(text or ""):
+        own = words(sentence)
+        for kind in kinds:
+            for term in own.intersection(kind):
+                rest = {f for w in own - {term} for f in word_features(w)}
+                for other in kind:
+                    if other not in own:
+                        a, b = set(word_features(term)) - rest, set(word_features(other)) - rest
+                        yield frozenset(a - b), frozenset(b - a)
+
+
+def swap_gap(model: ToxicityModel, texts: list[str], kinds) -> float:
+    """The mean change of the score when a sentence's identity term is swapped, in plain terms."""
+    changes = []
+    for sentence in (s for t in texts for s in _SENTENCE.findall(t or "")):
+        own = words(sentence)
+        for kind in kinds:
+            for term in own.intersection(kind):
+                swapped = [re.sub(rf"(?i)\b{term}\b", other, sentence) for other in kind if other not in own]
+                changes += [abs(model.score(sentence) - model.score(s)) for s in swapped]
+    return sum(changes) / len(changes) if changes else 0.0
+
+
+def fit(rows: list[tuple[list[int], int]], n: int, pairs: list[tuple[list[int], list[int], int]], penalty: float = PENALTY, ridge: float = RIDGE, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression on presence features; pairs: features that a swap takes and adds, and how often."""
     y = np.array([label for _, label in rows], float)
     at = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
     col = np.array([f for fs, _ in rows for f in fs], np.int64)
-    # pairs that are alike count as often as they occur
-    pair_at = np.array([i for i, (a, b) in enumerate(pairs) for _ in a + b], np.int64)
-    pair_col = np.array([f for a, b in pairs for f in a + b], np.int64)
-    sign = np.array([s for a, b in pairs for s in [1.0] * len(a) + [-1.0] * len(b)])
+    pair_at = np.array([i for i, (a, b, _) in enumerate(pairs) for _ in a + b], np.int64)
+    pair_col = np.array([f for a, b, _ in pairs for f in a + b], np.int64)
+    sign = np.array([s for a, b, _ in pairs for s in [1.0] * len(a) + [-1.0] * len(b)])
+    often = np.array([c for _, _, c in pairs], float)
     share = (y.sum() + 1) / (len(y) + 2)
     weight = np.where(y > 0, np.sqrt(max(1.0, (len(y) - y.sum()) / max(y.sum(), 1))), 1.0)  # a rare label counts more
     w, bias = np.zeros(n), float(np.log(share / (1 - share)))
@@ -112,7 +135,7 @@ def fit(rows: list[tuple[list[int], int]], n: int, pairs: list[tuple[list[int],
         error = (1 / (1 + np.exp(-z)) - y) * weight
         g = np.bincount(col, weights=error[at], minlength=n) + ridge * w
         if len(pairs):
-            change = np.bincount(pair_at, weights=sign * w[pair_col], minlength=len(pairs))
+            change = np.bincount(pair_at, weights=sign * w[pair_col], minlength=len(pairs)) * often
             g += penalty * np.bincount(pair_col, weights=sign * change[pair_at], minlength=n)
         g = np.append(g, error.sum())
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
@@ -122,11 +145,11 @@ def fit(rows: list[tuple[list[int], int]], n: int, pairs: list[tuple[list[int],
 
 
 def learn(docs: DataFrame, labels: DataFrame, kinds=IDENTITY_TERMS, max_train: int = MAX_TRAIN, penalty: float = PENALTY) -> ToxicityModel:
-    """From the texts of docs (doc_id, text) that labels (doc_id, label) knows; label null: left out.
+    """From the texts of docs (doc_id, text) that labels (doc_id, label) knows; labels but 0 and 1 are left out.
 
     The sample is chosen among the labels, so what is sent to find its texts is bounded by max_train rows.
     """
-    chosen = labels.where("label is not null and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label"))
+    chosen = labels.where("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").cache()
     try:
@@ -154,21 +177,27 @@ def learn(docs: DataFrame, labels: DataFrame, kinds=IDENTITY_TERMS, max_train: i
         rate = (F.col("a") + F.col("b")) / (yes + no)
         g2 = 2 * (part(F.col("a"), yes * rate) + part(F.col("b"), no * rate) + part(yes - F.col("a"), yes * (1 - rate)) + part(no - F.col("b"), no * (1 - rate)))
         # the sample may hold copies, which the counts leave out; a share over 1 can't be
-        chosen = stats.where(rate < 1).withColumn("g2", g2).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "feature").limit(MAX_FEATURES)
+        chosen = stats.where(rate < 1).withColumn("g2", g2).where(F.col("g2") >= MIN_G2)
         names = sorted({r.feature for r in chosen.select("feature").collect()} | {f for kind in kinds for t in kind for f in features(t)})
         index = {f: i for i, f in enumerate(names)}
 
         def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                own, swaps = [], []
-                for text in b.column("text").to_pylist():
-                    got = features(text)
-                    own.append(sorted(index[f] for f in got & index.keys()))
-                    swaps.append([[[index[f] for f in sorted(x - got)] if k else [index[f] for f in sorted(x & got)] for k, x in enumerate(pair)] for pair in _swaps(words(text), kinds)])
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), pa.array(swaps, pa.list_(pa.list_(pa.list_(pa.int32())))), b.column("label")], ["own", "swaps", "label"])
+                own = [sorted(index[f] for f in features(text) & index.keys()) for text in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), b.column("label")], ["own", "label"])
 
-        got = map_arrow(sample.orderBy("doc_id", "label"), project, "own array<int>, swaps array<array<array<int>>>, label int").collect()
-        pairs = [(list(p[0]), list(p[1])) for r in got for p in r.swaps]
+        def swapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: Counter = Counter()
+            for b in batches:
+                for text in b.column("text").to_pylist():
+                    seen.update((tuple(sorted(index[f] for f in x)), tuple(sorted(index[f] for f in y))) for x, y in swaps(text, kinds))
+            found = list(seen)
+            lists = [pa.array([list(p[k]) for p in found], pa.list_(pa.int32())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*lists, pa.array([seen[p] for p in found], pa.int64())], ["takes", "adds", "n"])
+
+        got = map_arrow(sample.orderBy("doc_id", "label"), project, "own array<int>, label int").collect()
+        found = map_arrow(sample, swapped, "takes array<int>, adds array<int>, n long").groupBy("takes", "adds").agg(F.sum("n").alias("n")).orderBy("takes", "adds").collect()
+        pairs = [(list(r.takes), list(r.adds), r.n) for r in found]
         weights, bias = fit([(list(r.own), r.label) for r in got], len(names), pairs, penalty)
         keep = np.abs(weights) > 1e-3
         return ToxicityModel([n for n, k in zip(names, keep) if k], weights[keep], bias)
