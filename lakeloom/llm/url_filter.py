@@ -1,32 +1,31 @@
 """URL filter over a sorted digest array.
 
 Rules are (verdict, host, path prefix). Each is a key `host` + path; the 64-bit xxhash digests of all
-keys lie sorted in a memory-mapped file beside the full keys. A URL's candidates (every suffix of its
-host at a dot, times every prefix of its path that has the length of some rule's path) are probed with
-one vectorised binary search a batch; a digest that is found counts only if the stored string is equal.
+keys lie sorted in one file with the full keys and verdicts. The driver writes it to the shared folder once,
+Spark hands each machine a copy, and all workers there map that one copy: no list is too long for it. A
+URL's candidates (every suffix of its host at a dot, times every prefix of its path that has the length of
+some rule's path) are probed with one vectorised binary search a batch; a digest that is found counts only
+if the stored string is equal.
 
 Edge cases: a null url or one without "://" has empty host and path and no rule; the default verdict is
 "allow", since a URL that is not in the array isn't blocked. Repeated rules count once; of rules with
-one key the first wins; of fitting rules the longest key wins, then the longer host.
+one key the first wins; of fitting rules the longest key wins, then the longer host. No rules: every page
+gets the default. Repeated pages are judged alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lakeloom.llm.common import map_arrow, read
-
-#: Most bytes of rule keys that are sent to executors; longer lists take the join.
-BROADCAST_BYTES = 64 << 20
+from lakeloom.llm.common import Scratch, map_arrow, read
 
 #: The rules of the registered query: (verdict, host, path).
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -43,46 +42,71 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 class DigestArray:
-    """Sorted 64-bit digests of strings, memory-mapped, with the strings for confirmation."""
+    """Sorted 64-bit digests of keys over the bytes of one buffer, with the keys for confirmation and their values.
+
+    The buffer holds the number of keys n, n digests in order, n + 1 places of records (all 64 bits), and
+    the records: key, a zero byte pair, value.
+    """
+
+    SEPARATOR = b"\0\0"
+
+    def __init__(self, buffer: np.ndarray, digest: Callable[[bytes], int] = xxhash.xxh64_intdigest):
+        n = int(buffer[:8].view(np.int64)[0])
+        self.digest, self.digests = digest, buffer[8 : 8 + 8 * n].view(np.uint64)
+        self.places = buffer[8 + 8 * n : 16 + 16 * n].view(np.int64)
+        self.records = buffer[16 + 16 * n :]
 
-    def __init__(self, keys: list[bytes], digest=xxhash.xxh64_intdigest):
-        self.digest = digest
-        digests = np.array([digest(k) for k in keys], dtype=np.uint64)
+    @staticmethod
+    def pack(entries: list[tuple[bytes, bytes]], digest: Callable[[bytes], int] = xxhash.xxh64_intdigest) -> bytes:
+        """The buffer of (key, value) pairs with distinct keys."""
+        digests = np.array([digest(k) for k, _ in entries], np.uint64)
         order = np.argsort(digests, kind="stable")
-        self.sorted, self.order, self.keys = digests[order], order, keys
-        self._map()
-
-    def _map(self) -> None:
-        fd, path = tempfile.mkstemp(suffix=".digests")
-        with os.fdopen(fd, "wb") as f:
-            f.write(self.sorted.tobytes() or b"\0" * 8)
-        self.mapped = np.memmap(path, dtype=np.uint64, mode="r")[: len(self.sorted)]
-        os.unlink(path)  # the mapping stays; nothing is left behind
-
-    def __getstate__(self):
-        return {"keys": self.keys, "sorted": self.sorted, "order": self.order, "digest": self.digest}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._map()
-
-    def find(self, probes: list[bytes]) -> np.ndarray:
-        """The index of each probe among the keys, or -1."""
-        out = np.full(len(probes), -1, dtype=np.int64)
-        if not probes or not self.keys:
+        records = [DigestArray.SEPARATOR.join(entries[i]) for i in order]
+        places = np.cumsum([0, *map(len, records)]).astype(np.int64)
+        return b"".join([np.int64(len(entries)).tobytes(), digests[order].tobytes(), places.tobytes(), *records])
+
+    def find(self, probes: list[bytes]) -> list[bytes | None]:
+        """The value of each probe that is a key."""
+        out: list[bytes | None] = [None] * len(probes)
+        if not probes or not len(self.digests):
             return out
         wanted = np.array([self.digest(p) for p in probes], dtype=np.uint64)
-        at = np.searchsorted(self.mapped, wanted)
-        for i in np.flatnonzero(self.mapped[np.minimum(at, len(self.mapped) - 1)] == wanted):
+        at = np.searchsorted(self.digests, wanted)
+        for i in np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == wanted):
             j = at[i]
-            while j < len(self.mapped) and self.mapped[j] == wanted[i]:  # equal digests: compare strings
-                if self.keys[self.order[j]] == probes[i]:
-                    out[i] = self.order[j]
+            while j < len(self.digests) and self.digests[j] == wanted[i]:  # equal digests: compare strings
+                key, _, value = self.records[self.places[j] : self.places[j + 1]].tobytes().partition(self.SEPARATOR)
+                if key == probes[i]:
+                    out[i] = value
                     break
                 j += 1
         return out
 
 
+_MAPPED: dict[str, DigestArray] = {}
+
+
+def mapped(name: str) -> DigestArray:
+    """The array in a file that Spark has handed to this machine, mapped once a worker."""
+    if name not in _MAPPED:
+        _MAPPED[name] = DigestArray(np.memmap(SparkFiles.get(name), np.uint8, "r"))
+    return _MAPPED[name]
+
+
+def hand_out(spark: SparkSession, data: bytes) -> str:
+    """Writes a file to the shared folder and has Spark copy it to each machine; its name."""
+    sc, name = spark.sparkContext, f"{uuid.uuid4().hex}.digests"
+    where = sc._jvm.org.apache.hadoop.fs.Path(f"{Scratch(spark, 'url-filter').base}/{name}")
+    out = where.getFileSystem(sc._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        for k in range(0, len(data), 1 << 24):
+            out.write(bytearray(data[k : k + (1 << 24)]))
+    finally:
+        out.close()
+    sc.addFile(where.toString())
+    return name
+
+
 def candidates(host: str, path: str, lengths: list[int]) -> Iterator[tuple[str, str]]:
     """(host suffix, path prefix) pairs, longest key first, then longer host."""
     labels = host.split(".") if host else []
@@ -96,11 +120,8 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
     known: dict[tuple[str, str], str] = {}
     for verdict, host, path in rules:
         known.setdefault((host.translate(_UPPER), path), verdict)
-    if sum(len(h) + len(p) for h, p in known) > BROADCAST_BYTES:
-        return _filter_by_join(pages, known, default)
-    pairs, verdicts = list(known), list(known.values())
-    lengths = sorted({len(p) for _, p in pairs})
-    array = DigestArray([f"{h}\0{p}".encode() for h, p in pairs])
+    lengths = sorted({len(p) for _, p in known})
+    name = hand_out(pages.sparkSession, DigestArray.pack([(f"{h}\0{p}".encode(), f"{v}\0{h}{p}".encode()) for (h, p), v in known.items()]))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,17 +131,17 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
                 for h, p in candidates(host, path, lengths):
                     probes.append(f"{h}\0{p}".encode())
                     rows.append(i)
-            best: dict[int, int] = {}
-            for i, at in zip(rows, array.find(probes).tolist()):
-                if at >= 0:
-                    best.setdefault(i, at)
+            best: dict[int, list[str]] = {}
+            for i, found in zip(rows, mapped(name).find(probes)):
+                if found is not None:
+                    best.setdefault(i, found.decode().split("\0", 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("page_id").cast(pa.int64()),
                     pa.array([h for h, _ in split], pa.string()),
                     pa.array([p for _, p in split], pa.string()),
-                    pa.array(["".join(pairs[best[i]]) if i in best else None for i in range(len(split))], pa.string()),
-                    pa.array([verdicts[best[i]] if i in best else default for i in range(len(split))], pa.string()),
+                    pa.array([best[i][1] if i in best else None for i in range(len(split))], pa.string()),
+                    pa.array([best[i][0] if i in best else default for i in range(len(split))], pa.string()),
                 ],
                 ["page_id", "host", "path", "rule", "verdict"],
             )
@@ -128,31 +149,6 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
     return map_arrow(pages.select("page_id", "url"), judge, SCHEMA)
 
 
-def _filter_by_join(pages: DataFrame, known: dict, default: str) -> DataFrame:
-    """The same by a join on the candidate keys, for rule lists over BROADCAST_BYTES."""
-    spark = pages.sparkSession
-    lengths = sorted({len(p) for _, p in known})
-    table = spark.createDataFrame([(f"{h}\0{p}", h + p, v) for (h, p), v in known.items()], "k string, r string, v string")
-
-    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for n, batch in enumerate(batches):
-            rows = []
-            for i, (page, url) in enumerate(zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist())):
-                host, path = split_url(url)
-                row = f"{i}-{n}"
-                for rank, (h, p) in enumerate(candidates(host, path, lengths)):
-                    rows.append((row, page, url, host, path, rank, f"{h}\0{p}"))
-                rows.append((row, page, url, host, path, 1 << 30, None))
-            cols = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()))], ["row", "page_id", "url", "host", "path", "rank", "k"])
-
-    got = map_arrow(pages.select("page_id", "url"), expand, "row string, page_id long, url string, host string, path string, rank int, k string")
-    got = got.withColumn("part", F.spark_partition_id()).join(table, "k", "left")
-    rule = F.min(F.when(F.col("r").isNotNull(), F.struct("rank", "r", "v"))).alias("best")
-    got = got.groupBy("part", "row", "page_id", "host", "path").agg(rule)
-    return got.select("page_id", "host", "path", F.col("best.r").alias("rule"), F.coalesce("best.v", F.lit(default)).alias("verdict"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages", "page_id", "url"), RULES)
 
