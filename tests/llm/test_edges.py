@@ -2,11 +2,13 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from lakeloom.llm import language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, spotsigs, toxicity, url_filter
+from lakeloom.llm.common import Scratch
 
 LONG = ("the quick brown fox jumps over the lazy dog and runs " * 60 + "\n") * 40
 PASSAGE = "It is a truth that a passage of more than fifty words comes again and again in the pages of a corpus " * 4
@@ -37,7 +39,7 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def labels(spark):
-    return spark.createDataFrame([(1, 0), (5, 0), (7, 1), (9, 1), (None, 1), (8, None)], "doc_id long, label int")
+    return spark.createDataFrame([(1, 0), (5, 0), (7, 1), (9, 1), (None, 1), (8, None), (6, 2), (-5, -1)], "doc_id long, label int")
 
 
 OPERATORS = {
@@ -48,7 +50,7 @@ OPERATORS = {
     "line_dedup": lambda d, lab: line_dedup.dedup_lines(d)[0],
     "language_id": lambda d, lab: language_id.identify(d, language_id.learn(d)),
     "media": lambda d, lab: media.media_column(d),
-    "spotsigs": lambda d, lab: spotsigs.fingerprints(d),
+    "spotsigs": lambda d, lab: spotsigs.with_groups(spotsigs.fingerprints(d), Scratch(d.sparkSession, "test")),
     "ngram_jaccard": lambda d, lab: ngram_jaccard.link(d, 4, 85, 100),
 }
 
@@ -89,22 +91,92 @@ def test_line_dedup_by_brute_force(docs):
     assert got == line_dedup.brute_force([(i, t) for i, t, *_ in ROWS if i not in (None, 9)])
 
 
-def test_links_of_equal_ids(docs):
-    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_jaccard.link(docs, 4, 85, 100).collect()}
-    assert got[(9, 1)] == 9 and got[(2, 0)] == 2 and {v for (i, _), v in got.items() if i in (5, 6)} == {5}
-    assert got[(None, next(n for i, n in got if i is None))] is None
+def named(rows, component):
+    """The least doc_id of each row's component, as sorted (doc_id, name) pairs."""
+    ids = {}
+    for (i, *_), c in zip(rows, component):
+        ids.setdefault(c, []).append(i)
+    least = {c: min((i for i in own if i is not None), default=None) for c, own in ids.items()}
+    return sorted(((i, least[c]) for (i, *_), c in zip(rows, component)), key=repr)
 
 
-def test_mixture_keeps_its_targets(docs):
+def with_shared_ids(docs):
+    """Copies, near copies and strangers under null and shared ids."""
+    near = lambda k: " ".join(f"w{j}" for j in range(60) if j != k)
+    more = [(None, near(k % 5)) for k in range(12)] + [(9, near(30 + k)) for k in range(3)] + [(None, f"alone {k} in the dark of night {k}") for k in range(12)] + [(9, f"other {k} by the light of day {k}") for k in range(3)] + [(None, None), (None, "")]
+    return docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame(more, "doc_id long, text string")).repartition(4)
+
+
+def test_links_by_brute_force(docs):
+    docs = with_shared_ids(docs)
+    rows = hashes(docs)
+    want = ngram_jaccard.brute_force([(k, t) for k, (_, t, _) in enumerate(rows)])
+    # rows without words stay alone
+    component = [want[k][1] if want[k][0] else ("alone", k) for k in range(len(rows))]
+    got = ngram_jaccard.link(docs, 4, 85, 100).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == named(rows, component)
+    assert sorted(r.n_shingles for r in got) == sorted(n for n, _ in want.values())
+
+
+def test_near_fingerprints_by_brute_force(docs):
+    docs = with_shared_ids(docs)
+    rows = hashes(docs)
+    got = spotsigs.with_groups(spotsigs.fingerprints(docs), Scratch(docs.sparkSession, "test")).collect()
+    prints = {(r.doc_id, r.fingerprint) for r in got}
+    sets = {p: {p[k : k + 8] for k in range(0, len(p), 8)} for _, p in prints if p}
+    parent = {p: p for p in sets}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a in sets:
+        for b in sets:
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                parent[root(a)] = root(b)
+    own = [(r.doc_id, r.fingerprint) for r in got]
+    classes = [p or ("alone", k) for k, (_, p) in enumerate(own)]
+    near = [root(p) if p else ("alone", k) for k, (_, p) in enumerate(own)]
+    assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == named(own, classes)
+    assert sorted(((r.doc_id, r.near_id) for r in got), key=repr) == named(own, near)
+    assert len(got) == len(rows) and len(set(near)) < len(set(classes))
+
+
+@pytest.fixture
+def large_blocks(monkeypatch):
+    """Blocks of the full size, as in a corpus of many words."""
+    monkeypatch.setattr(mixture, "SLOTS", 1)
+
+
+def test_mixture_keeps_its_targets(docs, large_blocks):
+    """To a few blocks of words, whole texts at most three times; reruns agree."""
     got = mixture.mix(docs, block_tokens=7).toPandas()
     assert (got.taken <= 3 * got["size"]).all()
     per = got.groupby("source", dropna=False).agg(taken=("taken", "sum"), target=("target", "first"))
-    assert (abs(per.taken - per.target) <= 1).all()
+    assert (abs(per.taken - per.target) <= 4 * 7).all()
+    assert (got.first_slot.isna() == (got.taken == 0)).all()
     again = mixture.mix(docs.orderBy(F.desc("text")), block_tokens=7).toPandas()
-    order = ["doc_id", "text_hash", "taken"]
+    order = ["doc_id", "text_hash", "taken", "first_slot"]
     assert got[order].sort_values(order).values.tolist().__repr__() == again[order].sort_values(order).values.tolist().__repr__()
 
 
+def test_mixture_in_slot_order(docs, large_blocks):
+    """The pieces fill the slots but for where a source ends its last round, and are what each document gives."""
+    order = mixture.in_slot_order(docs, block_tokens=7).toPandas()
+    assert order.slot.is_monotonic_increasing
+    filled = order.groupby("slot").words.sum()
+    sizes = mixture.mix(docs, block_tokens=7).toPandas()
+    assert (filled <= 7).all() and (filled < 7).sum() <= sizes.source.nunique(dropna=False)
+    taken = order.groupby(["doc_id", "text_hash"], dropna=False).words.sum()
+    assert taken.sort_index().tolist() == sizes[sizes.taken > 0].groupby(["doc_id", "text_hash"], dropna=False).taken.sum().sort_index().tolist()
+
+
+def test_another_point_sequence_makes_another_mix(docs):
+    a = mixture.mix(docs, block_tokens=7)
+    b = mixture.mix(docs, block_tokens=7, points=lambda i: ((i * np.uint64(0xD1342543DE82EF95)) >> np.uint64(11)).astype(np.float64) / 2.0**53)
+    x, y = ({(r.doc_id, r.text_hash, r.taken, r.first_slot) for r in d.collect()} for d in (a, b))
+    assert x != y and {r[:3] for r in x} != {r[:3] for r in y}
+
+
 def test_stages_keep_columns(spark, docs, tmp_path):
     sf = tmp_path
     docs.write.parquet(str(sf / "documents.parquet"))
@@ -127,13 +199,12 @@ def test_near_copies_keep_one(spark, docs):
 def test_urls(spark):
     pages = spark.createDataFrame([(1, None), (2, "no scheme"), (3, "http://A.Example.com/en/7x?q#f"), (4, "x://example.net/de/8"), (5, "x://y.example.net/de/9"), (6, "http://com/en/"), (7, "http://xcom/en/"), (8, "http://a.org"), (9, "u://a.org/es/://b"), (1, None)], "page_id long, url string").withColumn("host", F.lit("clash"))
     want = {1: ("", "", None, "allow"), 2: ("", "", None, "allow"), 3: ("a.example.com", "/en/7x", "example.com/en/7", "allow"), 4: ("example.net", "/de/8", "example.net/de/8", "block"), 5: ("y.example.net", "/de/9", "net/de/", "allow"), 6: ("com", "/en/", "com/en/", "block"), 7: ("xcom", "/en/", None, "allow"), 8: ("a.org", "", None, "allow"), 9: ("a.org", "/es/://b", "org/es/", "block")}
-    for limit in (url_filter.BROADCAST_BYTES, 0):
-        url_filter.BROADCAST_BYTES, before = limit, url_filter.BROADCAST_BYTES
-        try:
-            got = url_filter.filter_urls(pages, url_filter.RULES).collect()
-        finally:
-            url_filter.BROADCAST_BYTES = before
-        assert len(got) == 10 and {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == want
+    got = url_filter.filter_urls(pages, url_filter.RULES).collect()
+    assert len(got) == 10 and {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got} == want
+    none = url_filter.filter_urls(pages, [], "block").collect()
+    assert {(r.rule, r.verdict) for r in none} == {(None, "block")} and len(none) == 10
     assert url_filter.filter_urls(pages.limit(0), url_filter.RULES).count() == 0
-    colliding = url_filter.DigestArray([b"a", b"b", b"c"], digest=lambda s: 7)
-    assert colliding.find([b"c", b"x", b"a"]).tolist() == [2, -1, 0]
+    clash = lambda s: 7
+    packed = url_filter.DigestArray.pack([(b"a", b"1"), (b"b", b"2"), (b"c\0", b"")], clash)
+    colliding = url_filter.DigestArray(np.frombuffer(packed, np.uint8), clash)
+    assert colliding.find([b"c\0", b"x", b"a", b"c"]) == [b"", None, b"1", None]

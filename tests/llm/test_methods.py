@@ -101,6 +101,34 @@ def test_toxicity_on_held_out_rows(spark):
     assert held[held.toxic == 1].predicted.mean() > 0.85 and held[held.toxic == 0].predicted.mean() < 0.01
 
 
+def test_swaps_are_within_sentences():
+    kinds = (("men", "women"),)
+    got = list(toxicity.swaps("The men ran. We saw nothing! Women and men rest\nmen sleep", kinds))
+    takes, adds = set(toxicity.word_features("men")), set(toxicity.word_features("women"))
+    assert got == [(frozenset(takes), frozenset(adds))] * 2  # not where both are named
+    assert list(toxicity.swaps(None, kinds)) == []
+
+
+def test_penalty_spares_neutral_mentions(spark):
+    """False positives on neutral sentences that name the group the toxic texts name, with and without the penalty."""
+    random.seed(4)
+    fill = "we saw them in town today and all was fine with our friends at work".split()
+    docs = [(i, " ".join(random.sample(fill, 6) + (["refugees"] if i % 2 else ["locals"] if i % 8 == 0 else []) + (["vermin"] if i % 2 and random.random() < 0.9 else [])) + ". " + " ".join(random.sample(fill, 6))) for i in range(400)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(3, 7), (4, -1), (5, None)], "doc_id long, label int")
+    table = spark.createDataFrame([("origin", "Refugees"), ("origin", "locals"), ("origin", None)], "kind string, term string")
+    kinds = toxicity.kinds_of(table)
+    assert kinds == (("locals", "refugees"),)
+    neutral = [" ".join(random.sample(fill, 6) + ["refugees"]) for _ in range(50)]
+    wrong, gap = {}, {}
+    for penalty in (0.0, 20.0):
+        model = toxicity.learn(d, lab, kinds=kinds, penalty=penalty)
+        wrong[penalty] = sum(model.score(t) >= 0.5 for t in neutral) / len(neutral)
+        gap[penalty] = toxicity.swap_gap(model, neutral, kinds)
+    print(wrong, gap)
+    assert wrong[20.0] < wrong[0.0] and gap[20.0] < gap[0.0] / 2
+
+
 # --- 3
 
 
@@ -167,9 +195,11 @@ def test_water_filling():
 
 
 def test_schedule_is_even(spark):
-    got = mixture.schedule(spark, [60.0, 30.0, 10.0], [600, 300, 100]).toPandas()
-    assert got.groupby("src")["rank"].agg(["min", "max", "count"]).values.tolist() == [[0, 599, 600], [0, 299, 300], [0, 99, 100]]
-    for n in (100, 500, 900):  # every stretch of the mix is near its shares
+    got = mixture.schedule(spark, [60.0, 30.0, 10.0], 100_000).toPandas()
+    assert sorted(got.slot) == list(range(100_000))
+    for _, own in got.sort_values("slot").groupby("src"):
+        assert own["rank"].tolist() == list(range(len(own)))
+    for n in (100, 5_000, 50_000, 100_000):  # every stretch of the mix is near its shares
         first = got[got.slot < n].src.value_counts()
         assert all(abs(first[j] - n * w) <= 4 for j, w in enumerate((0.6, 0.3, 0.1)))
 
@@ -192,6 +222,51 @@ def test_languages_of_held_out_rows(spark, documents):
     assert got.score.between(0, 1).all()
 
 
+def test_decoding_by_brute_force(spark, documents):
+    """Trigrams, bit margins and loss-weighted decoding in plain Python, for the languages of the table and for many."""
+    few = documents.head(60)
+
+    def grams(text):
+        out, folded = [], bytearray()
+        for b in text.encode():
+            c = b if b >= 128 else b | 32 if chr(b).isalpha() else 32
+            if c != 32 or not folded or folded[-1] != 32:
+                folded.append(c)
+        for k in range(len(folded) - 2):
+            code = folded[k] << 16 | folded[k + 1] << 8 | folded[k + 2]
+            out.append((code * 2654435761 & 0xFFFFFFFF) >> 17)
+        return out
+
+    for langs in (few.lang.tolist(), [f"l{k % 30}" for k in range(60)]):
+        train = [(t, x) for t, x in zip(few.text, langs)]
+        frame = spark.createDataFrame(train, "text string, lang string")
+        model = language_id.learn(frame)
+        names = sorted(set(langs) - {None})
+        counts = {x: Counter() for x in names}
+        for t, x in train:
+            if x is not None:
+                counts[x].update(grams(t or ""))
+        size = language_id.DIMENSIONS
+        share = {x: lambda g, c=counts[x]: (c[g] + language_id.SMOOTHING) / (sum(c.values()) + language_id.SMOOTHING * size) for x in names}
+        assert model.languages == names
+        for text in ["the house is big", few.text.iloc[0][:300], few.text.iloc[7][:80]]:
+            own = grams(text)
+            loss = {}
+            for k, x in enumerate(names):
+                loss[x] = 0.0
+                for b in range(model.code.shape[1]):
+                    yes = [n for j, n in enumerate(names) if model.code[j, b] > 0]
+                    no = [n for n in names if n not in yes]
+                    weight = {g: math.log(sum(share[n](g) for n in yes) / len(yes)) - math.log(sum(share[n](g) for n in no) / len(no)) for g in set(own)}
+                    margin = sum(weight[g] for g in own) / max(len(own), 1) * model.scale[b]
+                    sure = 2 * min(1, math.sqrt(max(len(own), 1) / 20))
+                    loss[x] += model.trust[b] * math.log1p(math.exp(-sure * margin * model.code[k, b]))
+            p = {x: math.exp(-(v - min(loss.values())) * 4 / math.sqrt(model.code.shape[1])) for x, v in loss.items()}
+            data = np.frombuffer(text.encode(), np.uint8)
+            best, score, _ = model.predict(data, np.array([0, len(data)]))
+            assert names[best[0]] == max(p, key=p.get) and abs(score[0] - max(p.values()) / sum(p.values())) < 1e-9
+
+
 # --- 7
 
 
@@ -285,14 +360,24 @@ def test_spotsigs_by_brute_force(spark, sf, documents):
     assert np.allclose(got.near_edited, [jaccard(a, b) for a, b in zip(sets, edited)])
 
 
-def test_spotsigs_join_by_brute_force(spark, documents, sf):
-    classes, pairs = spotsigs.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"), 0.5)
-    of = dict(map(tuple, classes.collect()))
+def test_near_fingerprints_by_brute_force(spark, documents, sf):
+    got = spotsigs.query(spark, sf).toPandas()
     sets = {i: signature_set(t) for i, t in zip(documents.doc_id, documents.text)}
-    reps = sorted(set(of.values()))
-    want = {(a, b) for k, a in enumerate(reps) for b in reps[k + 1 :] if sets[a] and sets[b] and jaccard(sets[a], sets[b]) >= 0.5}
-    assert {(r.a, r.b) for r in pairs.collect()} == want
-    assert all(sets[i] == sets[c] for i, c in of.items())
+    near, same = {i: i for i in sets}, {i: i for i in sets}
+
+    def root(of, x):
+        return x if of[x] == x else root(of, of[x])
+
+    ids = sorted(i for i in sets if sets[i])
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            for of, least in ((near, 0.8), (same, 1.0)):
+                if jaccard(sets[a], sets[b]) >= least:
+                    x, y = sorted((root(of, a), root(of, b)))
+                    of[y] = x
+    assert dict(zip(got.doc_id, got.near_id)) == {i: root(near, i) for i in sets}
+    assert dict(zip(got.doc_id, got.class_id)) == {i: root(same, i) for i in sets}
+    assert (got.near_id != got.class_id).any()
 
 
 # --- 10
