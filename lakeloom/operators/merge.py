@@ -64,6 +64,13 @@ def snapshot_deletes(target: DataFrame, snapshot: DataFrame, key: list[str], as_
     return with_soft_delete(snapshot, as_of).unionByName(gone, allowMissingColumns=True).unionByName(before, allowMissingColumns=True)
 
 
+def carry_deletes(dimension: DataFrame, state: DataFrame, key: list[str]) -> DataFrame:
+    """The dimension with is_deleted on the current version of keys that are soft-deleted in the state."""
+    gone = state.where("is_deleted").select(*key, F.lit(True).alias("_gone")).distinct()
+    out = dimension.drop("is_deleted").join(gone, key, "left")
+    return out.withColumn("is_deleted", F.coalesce("_gone", F.lit(False)) & F.col("is_current")).drop("_gone")
+
+
 def assert_unique(df: DataFrame, key: list[str]) -> None:
     twice = df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
     if twice:

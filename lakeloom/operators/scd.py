@@ -65,7 +65,8 @@ def add_inferred_members(dimension: DataFrame, facts: DataFrame, key: str, entit
         F.lit(True).alias("is_current"),
         F.lit(True).alias("is_inferred"),
     ).withColumn(f"{entity}_sk", versioned_key(key, "effective_start_ts"))
-    return dimension.unionByName(rows, allowMissingColumns=True)
+    out = dimension.unionByName(rows, allowMissingColumns=True)
+    return out.withColumn("is_deleted", F.coalesce("is_deleted", F.lit(False))) if "is_deleted" in out.columns else out
 
 
 def as_of_join(facts: DataFrame, dimension: DataFrame, key: str | list[str], event_time: str, columns: list[str]) -> DataFrame:

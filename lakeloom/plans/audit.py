@@ -11,17 +11,19 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import SparkSession
 
 from lakeloom.config import Environment
 from lakeloom.operators.quality import FatalQualityError, QualityOutcome
+from lakeloom.plans.reconcile import SIDES
 from lakeloom.sources.session import rows_to_frame
 from lakeloom.sources.tablestore import Table
 
 RUNS = "run_id string, batch_id string, stage string, entity string, status string, started_at timestamp, ended_at timestamp, duration_s double, rows_in long, rows_out long, rows_quarantined long, error string"
 QUALITY = "run_id string, batch_id string, entity string, layer string, rule string, type string, severity string, status string, violations long, rows_in long, pass_rate double, detail string, checked_at timestamp"
-RECONCILIATION = "run_id string, check_name string, entity string, source_value decimal(18,2), target_value decimal(18,2), difference decimal(18,2), status string, checked_at timestamp"
+RECONCILIATION = "run_id string, check_name string, entity string, source_layer string, target_layer string, tolerance decimal(18,2), source_value decimal(18,2), target_value decimal(18,2), difference decimal(18,2), status string, checked_at timestamp"
 
 _run_id: contextvars.ContextVar[str] = contextvars.ContextVar("run_id", default="")
 _context: contextvars.ContextVar[dict] = contextvars.ContextVar("context", default={})
@@ -123,7 +125,8 @@ class Audit:
 
     def reconciliation(self, results: list[dict]) -> None:
         now = datetime.now(timezone.utc)
-        self.write("reconciliation", [{"run_id": run_id(), "checked_at": now} | r for r in results], RECONCILIATION)
+        sides = {r["check_name"]: dict(zip(("source_layer", "target_layer", "tolerance"), SIDES[r["check_name"]])) for r in results}
+        self.write("reconciliation", [{"run_id": run_id(), "checked_at": now} | sides[r["check_name"]] | r | {"tolerance": Decimal(sides[r["check_name"]]["tolerance"])} for r in results], RECONCILIATION)
 
     def trailing_mean_rows(self, entity: str, stage: str, days: int = 7) -> float | None:
         """Mean rows out of the entity's successful runs of one stage in the last days."""

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.operators.dedup import deduplicate
-from lakeloom.plans import facts
+from lakeloom.plans import dims, facts, views
 
 #: Lines come twice with one key; the latest shipment wins, then the larger amount, then every other column.
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -33,6 +35,7 @@ class Tables:
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("location_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
+            facts.money(F.floor(F.round(F.col("l_extendedprice") * 100) / F.col("l_quantity")) / 100).alias("unit_price"),
             gross.alias("gross_amount"),
             facts.money(gross * F.col("l_discount").cast("decimal(4,2)")).alias("discount_amount"),
             facts.money(gross * F.col("l_tax").cast("decimal(4,2)")).alias("tax_amount"),
@@ -45,7 +48,23 @@ class Tables:
         o = self.raw("orders").select(
             F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("order_date"), status.alias("order_status"), facts.money("o_totalprice").alias("total"), F.col("o_orderpriority").alias("priority")
         )
-        return o.join(self.customers().select("customer_id", "region"), "customer_id", "left")
+        k = F.col("order_id")
+        o = o.withColumns(
+            {
+                "store_id": k % 10 + 1,
+                "promotion_id": F.when(k % 3 == 0, F.concat(F.lit("P"), (k % 5).cast("string"))),
+                "payment_status": F.when(k % 7 == 0, "RETRIED").otherwise("CAPTURED"),
+            }
+        )
+        return o.join(self.customers().select("customer_id", "region", "customer_segment"), "customer_id", "left")
+
+    def dates(self) -> DataFrame:
+        return dims.dim_date(self.spark, dt.date(1992, 1, 1), dt.date(2024, 12, 31))
+
+    def promotions(self) -> DataFrame:
+        """Five campaigns; every third order names one."""
+        i = F.col("id").cast("string")
+        return self.spark.range(5).select(F.concat(F.lit("P"), i).alias("promotion_id"), F.concat(F.lit("Campaign "), i).alias("promotion_name"), F.when(F.col("id") % 2 == 0, "PERCENT").otherwise("FIXED").alias("promo_type"), facts.money(F.col("id") * 5).alias("discount_value"))
 
     def customers(self) -> DataFrame:
         c, n, r = self.raw("customer"), self.raw("nation"), self.raw("region")
@@ -68,23 +87,28 @@ class Tables:
 
     def products(self) -> DataFrame:
         return self.raw("part").select(
-            F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_brand").alias("brand"), F.col("p_type").alias("category_id"), F.col("p_size").alias("size"), facts.money("p_retailprice").alias("price")
+            F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), F.col("p_brand").alias("brand"), F.col("p_type").alias("category_id"), F.col("p_type").alias("category_name"), F.col("p_size").alias("size"), facts.money("p_retailprice").alias("price")
         )
 
     def places(self) -> DataFrame:
         s, n, r = self.raw("supplier"), self.raw("nation"), self.raw("region")
         s = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left").join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-        return s.select(F.col("s_suppkey").alias("location_id"), F.col("s_name").alias("store_name"), F.col("r_name").alias("region"))
+        return s.select(F.col("s_suppkey").alias("location_id"), F.col("s_suppkey").alias("store_id"), F.col("s_name").alias("store_name"), F.col("r_name").alias("region"))
 
     def sales(self) -> DataFrame:
         """fact_sales with the product's category."""
-        s = facts.fact_sales(self.lines(), self.orders())
-        return s.join(self.products().select("product_id", "category_id"), "product_id", "left")
+        return facts.fact_sales(self.lines(), self.orders(), products=self.products())
+
+    def star(self) -> DataFrame:
+        return views.star(self.sales(), self.dates(), self.customers(), self.products(), self.places(), self.promotions())
+
+    def stock(self) -> DataFrame:
+        return views.stocked(facts.fact_inventory_snapshot(self.inventory()), self.dates(), self.products(), self.places())
 
     def returns(self) -> DataFrame:
         """Returned lines, a fortnight after shipment, with the order's date."""
         back = self.lines().where("return_flag = 'R'")
-        back = back.select("order_id", "order_line_number", "product_id", "quantity", F.col("gross_amount").alias("refund_amount"), (F.col("shipped_at") + F.expr("interval 14 days")).alias("return_date"))
+        back = back.select("order_id", "order_line_number", "product_id", "quantity", F.element_at(F.array(F.lit("DAMAGED"), F.lit("WRONG ITEM"), F.lit("CHANGED MIND")), (F.col("order_line_number") % 3 + 1).cast("int")).alias("return_reason"), F.col("gross_amount").alias("refund_amount"), (F.col("shipped_at") + F.expr("interval 14 days")).alias("return_date"))
         return back
 
     def shipments(self) -> DataFrame:
@@ -109,7 +133,7 @@ class Tables:
     def events(self) -> DataFrame:
         """A session is a user's day."""
         return self.raw("events").select(
-            "event_id", "event_type", F.col("ts").alias("event_time"), F.col("user_id").alias("customer_id"), "value", F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("session_id"), F.get_json_object("props", "$.k").cast("bigint").alias("k")
+            "event_id", "event_type", F.col("ts").alias("event_time"), F.col("user_id").alias("customer_id"), F.when(F.col("event_id") % 2 == 0, "web").otherwise("app").alias("channel"), "value", F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("session_id"), F.get_json_object("props", "$.k").cast("bigint").alias("k")
         )
 
     def runs(self) -> DataFrame:
@@ -120,8 +144,10 @@ class Tables:
             F.concat(F.lit("entity_"), (F.col("user_id") % 12).cast("string")).alias("entity"),
             F.when(F.col("event_id") % 10 == 0, "FAILED").otherwise("SUCCESS").alias("status"),
             (F.col("event_id") % 100).alias("duration_s"),
+            (F.col("event_id") % 1000 + 5).alias("rows_in"),
             (F.col("event_id") % 1000).alias("rows_out"),
-            F.col("ts").cast("date").alias("run_date"),
+            (F.col("event_id") % 5).alias("rows_quarantined"),
+            F.col("ts").alias("started_at"),
             F.col("ts").alias("ended_at"),
         )
 
@@ -133,8 +159,25 @@ class Tables:
             F.when(F.col("event_id") % 3 == 0, "fatal").when(F.col("event_id") % 3 == 1, "error").otherwise("warn").alias("severity"),
             F.when(F.col("event_id") % 20 == 0, "FAILED").when(F.col("event_id") % 50 == 1, "SKIPPED").otherwise("PASSED").alias("status"),
             F.when(F.col("event_id") % 20 == 0, F.col("event_id") % 7 + 1).otherwise(0).cast("bigint").alias("violations"),
+            F.col("event_type").alias("rule"),
+            F.lit("range").alias("type"),
+            ((F.col("event_id") % 4) / 4).alias("pass_rate"),
+            F.col("ts").alias("checked_at"),
+        )
+
+    def checks(self) -> DataFrame:
+        """Reconciliation results made of events."""
+        e, k = self.raw("events"), F.col("event_id")
+        return e.select(
             F.col("event_type").alias("check_name"),
-            F.lit(0).cast("decimal(18,2)").alias("difference"),
+            F.concat(F.lit("entity_"), (F.col("user_id") % 12).cast("string")).alias("entity"),
+            F.lit("silver").alias("source_layer"),
+            F.lit("gold").alias("target_layer"),
+            facts.money(k).alias("source_value"),
+            facts.money(k - k % 30).alias("target_value"),
+            facts.money(k % 30).alias("difference"),
+            facts.money(F.lit(20)).alias("tolerance"),
+            F.when(k % 30 > 20, "FAILED").otherwise("PASSED").alias("status"),
             F.col("ts").alias("checked_at"),
         )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.config import Rule
 from lakeloom.functions import keys, masks
-from lakeloom.operators import dedup, envelope, merge, quality, scd
+from lakeloom.operators import dedup, envelope, merge, paging, quality, scd
 from lakeloom.operators.standardise import standardise
 from lakeloom.plans import dims, facts, governance, marts, reconcile, views
 from lakeloom.plans.bindings import LINE_KEY, Tables
@@ -287,13 +287,13 @@ def surrogate_keys(t: Tables) -> DataFrame:
 
 @query
 def fact_sales(t: Tables) -> DataFrame:
-    return t.sales().select("order_id", "order_line_number", "product_id", "customer_id", "date_key", "region", "category_id", "quantity", "gross_amount", "discount_amount", "net_amount", "tax_amount", "is_cancelled")
+    return t.sales().select(*"order_id order_line_number product_id customer_id date_key region category_id store_id promotion_id payment_status order_status quantity unit_price gross_amount discount_amount net_amount tax_amount is_cancelled".split())
 
 
 @query
 def fact_fulfillment(t: Tables) -> DataFrame:
-    f = facts.fact_order_fulfillment(t.orders(), t.shipments(), t.payments(), t.returns())
-    return f.select("order_id", "order_status", "date_key", "paid_at", "shipped_at", "delivered_at", "returned_at", "cancelled_at", "hours_to_ship", "hours_to_deliver")
+    f = facts.fact_order_fulfillment(t.orders(), t.shipments(), t.payments(), t.returns(), lines=t.lines())
+    return f.drop("order_fulfillment_sk", "customer_id", "order_date")
 
 
 @query
@@ -304,12 +304,12 @@ def fact_inventory(t: Tables) -> DataFrame:
 
 @query
 def fact_returns(t: Tables) -> DataFrame:
-    return facts.fact_returns(t.returns(), t.orders()).select("order_id", "order_line_number", "product_id", "customer_id", "date_key", "quantity", "refund_amount", "days_to_return")
+    return facts.fact_returns(t.returns(), t.orders()).select("order_id", "order_line_number", "product_id", "customer_id", "date_key", "quantity", "refund_amount", "return_reason", "days_to_return")
 
 
 @query
 def fact_events(t: Tables) -> DataFrame:
-    return facts.fact_customer_events(t.events()).select("event_id", "event_type", "customer_id", "session_id", "k", "date_key")
+    return facts.fact_customer_events(t.events()).select("event_id", "event_type", "customer_id", "session_id", "channel", "k", "date_key")
 
 
 @query
@@ -331,12 +331,12 @@ def fact_sales_versioned(t: Tables) -> DataFrame:
 
 @query
 def agg_daily_sales(t: Tables) -> DataFrame:
-    return marts.daily_sales(t.sales())
+    return marts.daily_sales(t.star())
 
 
 @query
 def agg_lifetime(t: Tables) -> DataFrame:
-    return marts.customer_lifetime(t.sales())
+    return marts.customer_lifetime(t.sales(), t.customers(), F.lit(dt.date(1999, 1, 1)))
 
 
 @query
@@ -345,12 +345,12 @@ def agg_cohort(t: Tables) -> DataFrame:
 
 
 def _dated_returns(t: Tables) -> DataFrame:
-    return t.returns().join(t.orders().select("order_id", "order_date", "order_status"), "order_id").join(t.products().select("product_id", "category_id"), "product_id").where("order_status <> 'CANCELLED'")
+    return t.returns().join(t.orders().select("order_id", "order_date", "order_status"), "order_id").where("order_status <> 'CANCELLED'")
 
 
 @query
 def agg_product(t: Tables) -> DataFrame:
-    return marts.product_performance(t.sales(), _dated_returns(t))
+    return marts.product_performance(t.sales(), _dated_returns(t), t.products())
 
 
 # --- views ------------------------------------------------------------------------------------------
@@ -358,42 +358,42 @@ def agg_product(t: Tables) -> DataFrame:
 
 @query
 def q01_revenue_by_period(t: Tables) -> DataFrame:
-    return views.revenue_by_period(t.sales())
+    return views.revenue_by_period(t.star())
 
 
 @query
 def q02_revenue_by_region(t: Tables) -> DataFrame:
-    return views.revenue_by_region(t.sales())
+    return views.revenue_by_region(t.star())
 
 
 @query
 def q03_revenue_by_product(t: Tables) -> DataFrame:
-    return views.revenue_by_product(t.sales(), t.products())
+    return views.revenue_by_product(t.star())
 
 
 @query
 def q04_average_order_value(t: Tables) -> DataFrame:
-    return views.average_order_value(t.sales())
+    return views.average_order_value(t.star())
 
 
 @query
 def q05_lifetime_deciles(t: Tables) -> DataFrame:
-    return views.lifetime_deciles(marts.customer_lifetime(t.sales()))
+    return views.lifetime_deciles(marts.customer_lifetime(t.sales(), t.customers(), F.lit(dt.date(1999, 1, 1))))
 
 
 @query
 def q06_return_rate(t: Tables) -> DataFrame:
-    return views.return_rate(t.sales(), _dated_returns(t))
+    return views.return_rate(t.star(), _dated_returns(t))
 
 
 @query
 def q07_inventory_availability(t: Tables) -> DataFrame:
-    return views.inventory_availability(facts.fact_inventory_snapshot(t.inventory()), t.products(), t.places())
+    return views.inventory_availability(t.stock())
 
 
 @query
 def q08_stockout_frequency(t: Tables) -> DataFrame:
-    return views.stockout_frequency(facts.fact_inventory_snapshot(t.inventory()))
+    return views.stockout_frequency(t.stock())
 
 
 @query
@@ -408,12 +408,12 @@ def q10_conversion(t: Tables) -> DataFrame:
 
 @query
 def q11_fulfilment_time(t: Tables) -> DataFrame:
-    return views.fulfilment_time(facts.fact_order_fulfillment(t.orders(), t.shipments()))
+    return views.fulfilment_time(facts.fact_order_fulfillment(t.orders(), t.shipments()), t.places())
 
 
 @query
 def q12_promotion_impact(t: Tables) -> DataFrame:
-    return views.promotion_impact(t.sales())
+    return views.promotion_impact(t.star())
 
 
 @query
@@ -423,12 +423,12 @@ def q13_latest_vs_trend(t: Tables) -> DataFrame:
 
 @query
 def executive_kpis(t: Tables) -> DataFrame:
-    return views.executive_kpis(t.sales(), t.returns(), t.customers())
+    return views.executive_kpis(t.sales(), marts.customer_lifetime(t.sales()), marts.product_performance(t.sales(), _dated_returns(t)))
 
 
 @query
 def run_status(t: Tables) -> DataFrame:
-    return views.run_status(t.runs())
+    return views.run_status(t.runs(), F.lit("2024-01-25").cast("timestamp_ntz"))
 
 
 @query
@@ -438,32 +438,32 @@ def duration_trend(t: Tables) -> DataFrame:
 
 @query
 def dq_summary(t: Tables) -> DataFrame:
-    return views.dq_summary(t.results())
+    return views.dq_summary(t.results(), F.lit("2024-01-25").cast("timestamp_ntz"))
 
 
 @query
 def reconciliation_status(t: Tables) -> DataFrame:
-    return views.reconciliation_status(t.results(), F.lit("2024-01-25").cast("timestamp_ntz")).groupBy("check_name", "entity", "status").agg(F.count("*").alias("checks"), F.max("checked_at").alias("last_checked"))
+    return views.reconciliation_status(t.checks(), F.lit("2024-01-25").cast("timestamp_ntz"))
 
 
 @query
 def freshness_sla(t: Tables) -> DataFrame:
-    return views.freshness(t.runs().where("run_date <= date '2024-01-29' or entity <> 'entity_3'"), F.lit("2024-01-31 12:00:00"))
+    return views.freshness(t.runs().where("ended_at < date '2024-01-30' or entity <> 'entity_3'"), F.lit("2024-01-31 12:00:00"))
 
 
 @query
 def pipeline_health(t: Tables) -> DataFrame:
-    return views.pipeline_health(t.runs(), t.results(), F.lit("2024-01-25").cast("timestamp_ntz"))
+    return views.pipeline_health(t.runs(), t.results(), t.checks(), F.lit("2024-01-25").cast("timestamp_ntz"), F.lit("2024-01-31 12:00:00"))
 
 
 @query
 def sales_summary(t: Tables) -> DataFrame:
-    return views.sales_summary(t.sales(), t.products())
+    return views.sales_summary(t.star())
 
 
 @query
 def inventory_health(t: Tables) -> DataFrame:
-    return views.inventory_health(facts.fact_inventory_snapshot(t.inventory()), t.products())
+    return views.inventory_health(t.stock())
 
 
 @query
@@ -506,13 +506,18 @@ def row_filter(t: Tables) -> DataFrame:
 
 @query
 def recon_row_flow(t: Tables) -> DataFrame:
+    """As it should be, and a target with keys that never came."""
     valid, bad = quality.route(quality.flag(t.latest_lines(), LINE_RULES))
-    return reconcile.row_flow("order_items", t.raw("lineitem"), valid, bad, LINE_KEY)
+    orders = t.raw("orders")
+    extra = reconcile.row_flow("orders", orders.where("o_orderkey % 2 = 0"), orders, orders.limit(0), ["o_orderkey"])
+    return reconcile.row_flow("order_items", t.raw("lineitem"), valid, bad, LINE_KEY).unionByName(extra)
 
 
 @query
 def recon_money(t: Tables) -> DataFrame:
-    return reconcile.money(t.lines(), t.orders(), t.sales())
+    """As it should be, and a fact that has lost its large lines."""
+    lost = reconcile.money(t.lines(), t.orders(), t.sales().where("quantity < 40")).withColumn("entity", F.lit("fact_sales_cut"))
+    return reconcile.money(t.lines(), t.orders(), t.sales()).unionByName(lost)
 
 
 @query
@@ -528,7 +533,9 @@ def recon_soft_delete(t: Tables) -> DataFrame:
 
 @query
 def recon_surrogate_key(t: Tables) -> DataFrame:
-    return reconcile.surrogate_keys("dim_customers", _versions(t), "customers_sk")
+    """As it should be, and a dimension that holds some versions twice."""
+    twice = _versions(t).unionByName(_versions(t).where("customer_id % 10 = 0"))
+    return reconcile.surrogate_keys("dim_customers", _versions(t), "customers_sk").unionByName(reconcile.surrogate_keys("dim_customers_twice", twice, "customers_sk"))
 
 
 @query
@@ -547,9 +554,7 @@ def union_by_name(t: Tables) -> DataFrame:
 
 @query
 def scalar_subqueries(t: Tables) -> DataFrame:
-    for n in ("orders", "customer", "lineitem"):
-        t.raw(n).createOrReplaceTempView(f"_{n}")
-    return t.spark.sql("SELECT (SELECT count(*) FROM _orders) AS orders, (SELECT count(*) FROM _customer) AS customers, (SELECT max(l_quantity) FROM _lineitem) AS most")
+    return t.spark.sql("SELECT (SELECT count(*) FROM {o}) AS orders, (SELECT count(*) FROM {c}) AS customers, (SELECT max(l_quantity) FROM {l}) AS most", o=t.raw("orders"), c=t.raw("customer"), l=t.raw("lineitem"))
 
 
 @query
@@ -559,13 +564,16 @@ def having_groups(t: Tables) -> DataFrame:
 
 @query
 def groupby_all(t: Tables) -> DataFrame:
-    t.raw("lineitem").createOrReplaceTempView("_lineitem")
-    return t.spark.sql("SELECT l_returnflag, l_linestatus, count(*) AS lines, cast(sum(cast(l_extendedprice AS decimal(18,2))) AS decimal(18,2)) AS gross FROM _lineitem GROUP BY ALL")
+    return t.spark.sql("SELECT l_returnflag, l_linestatus, count(*) AS lines, cast(sum(cast(l_extendedprice AS decimal(18,2))) AS decimal(18,2)) AS gross FROM {l} GROUP BY ALL", l=t.raw("lineitem"))
 
 
 @query
 def keyset_page(t: Tables) -> DataFrame:
-    return t.raw("orders").orderBy("o_orderdate", "o_orderkey").offset(200).limit(100).select("o_orderkey", "o_orderdate")
+    """The third page: each page goes on after the last key of the one before."""
+    orders, after = t.raw("orders").select("o_orderkey", "o_orderdate"), None
+    for _ in range(2):
+        after = paging.last_key(paging.page(orders, ["o_orderdate", "o_orderkey"], 100, after), ["o_orderdate", "o_orderkey"])
+    return paging.page(orders, ["o_orderdate", "o_orderkey"], 100, after)
 
 
 @query

@@ -14,6 +14,10 @@ MONEY_TOLERANCE = Decimal("0.01")
 DELETE_LIMIT = 0.25
 
 
+#: Layers that a check compares, and how far its sides may differ.
+SIDES = {"row_flow": ("bronze", "silver", 0), "soft_delete_rate": ("silver", "silver", 0), "net_revenue": ("silver", "gold", MONEY_TOLERANCE), "grain": ("gold", "gold", 0), "surrogate_key": ("gold", "gold", 0), "control_totals": ("source", "gold", MONEY_TOLERANCE)}
+
+
 def result(one: DataFrame, check: str, entity: str, source: Column, target: Column, ok: Column) -> DataFrame:
     return one.select(
         F.lit(check).alias("check_name"),

@@ -107,6 +107,9 @@ def with_file_name(df: DataFrame) -> DataFrame:
     return df.withColumn("_file_name", F.col("_metadata.file_path"))
 
 
-def control_totals(path: str) -> dict:
-    """The generator's own totals for a batch: counts, revenue, planted defects."""
-    return json.loads(Path(path).read_text())
+def control_totals(spark: SparkSession, path: str) -> dict | None:
+    """The source's own totals for a batch: revenue, planted defects; None if it sent none. Any Hadoop path will do."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return json.loads(spark.read.option("wholetext", "true").text(path).first()[0])

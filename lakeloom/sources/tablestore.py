@@ -1,12 +1,15 @@
 """Versioned Parquet tables: a folder for each version and a manifest that names the current one.
 
-A commit writes a new version folder and then replaces the manifest by one rename, so a reader sees the
-old version or the new one. There is one writer a table at a time. Versions stay until vacuum.
+A commit writes a new version folder and then creates the manifest of the next version, which is never
+replaced: a reader sees the old version or the new one, and of two writers one fails to create it. Appends
+then try again on the newer version; other commits raise CommitConflict, as what they read has changed.
+Threads of one process take turns. Versions stay until vacuum.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 
@@ -16,6 +19,13 @@ from lakeloom.operators.merge import assert_unique, merge, merge_metrics, snapsh
 
 RETAIN_HOURS = 168
 TARGET_BYTES = 256 << 20
+#: Folders of a version beyond which an append puts them together.
+MAX_FOLDERS = 64
+_LOCKS: dict[str, threading.RLock] = {}
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed since this one read the table."""
 
 
 class Table:
@@ -25,28 +35,41 @@ class Table:
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._lock = _LOCKS.setdefault(self.path, threading.RLock())
 
     # -- the manifest
 
     @property
     def manifest(self) -> dict | None:
-        where = self._path(f"{self.path}/manifest.json")
+        for name in sorted(self._manifests(), reverse=True):
+            text = self._text(name)
+            if text.endswith("}\n"):  # else its writer isn't done yet
+                return json.loads(text)
+        return None
+
+    def _manifests(self) -> list[str]:
+        where = self._path(f"{self.path}/_manifests")
         if not self._fs.exists(where):
-            return None
-        rows = self.spark.read.option("wholetext", "true").text(f"{self.path}/manifest.json").collect()
-        return json.loads(rows[0][0])
+            return []
+        return [f.getPath().getName() for f in self._fs.listStatus(where) if f.getPath().getName().endswith(".json")]
+
+    def _text(self, name: str) -> str:
+        stream = self._fs.open(self._path(f"{self.path}/_manifests/{name}"))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
 
     def _publish(self, manifest: dict) -> None:
-        new, now = self._path(f"{self.path}/manifest.{uuid.uuid4().hex}"), self._path(f"{self.path}/manifest.json")
-        out = self._fs.create(new, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
+        where = self._path(f"{self.path}/_manifests/{manifest['commit']:012d}.json")
+        try:
+            out = self._fs.create(where, False)
+        except Exception as e:
+            if "already exists" in str(e):
+                raise CommitConflict(f"{self.path} has been committed to by another writer") from e
+            raise
+        out.write(bytearray((json.dumps(manifest) + "\n").encode()))
         out.close()
-        jvm = self.spark.sparkContext._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(now.toUri() if now.toUri().getScheme() else self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        rename = jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        context.rename(self._fs.makeQualified(new), self._fs.makeQualified(now), options)
 
     def exists(self) -> bool:
         return self.manifest is not None
@@ -85,56 +108,72 @@ class Table:
             df = df.repartitionByRange(*self.cluster_by).sortWithinPartitions(*self.cluster_by)
         df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{folder}")
 
-    def _commit(self, operation: str, folders: list[str], metrics: dict) -> int:
-        m = self.manifest or {"version": -1, "key": self.key, "history": []}
-        version = m["version"] + 1
-        entry = {"version": version, "operation": operation, "folders": folders, "at": time.time(), "metrics": metrics}
-        self._publish(m | {"version": version, "history": [*m["history"], entry]})
+    def _commit(self, operation: str, folders: list[str], metrics: dict, based_on: int) -> int:
+        """The next version; based_on is the version that the writer has read."""
+        with self._lock:
+            m = self.manifest or {"version": -1, "commit": -1, "key": self.key, "history": []}
+            if m["version"] != based_on:
+                raise CommitConflict(f"{self.path} is at version {m['version']}, not {based_on}")
+            version = based_on + 1
+            entry = {"version": version, "operation": operation, "folders": folders, "at": time.time(), "metrics": metrics}
+            self._publish(m | {"version": version, "commit": m["commit"] + 1, "history": [*m["history"], entry]})
         return version
 
     def _folder(self) -> str:
         return f"v={self.version() + 1}-{uuid.uuid4().hex[:8]}"
 
-    def overwrite(self, df: DataFrame) -> int:
-        folder = self._folder()
+    def overwrite(self, df: DataFrame, **notes) -> int:
+        """Replaces all rows; notes are kept with the version."""
+        folder, based_on = self._folder(), self.version()
         self._write(df, folder)
-        return self._commit("overwrite", [folder], {"rows": self.spark.read.parquet(f"{self.path}/{folder}").count()})
+        return self._commit("overwrite", [folder], {"rows": self.spark.read.parquet(f"{self.path}/{folder}").count()} | notes, based_on)
 
     def append(self, df: DataFrame) -> int:
         folder = self._folder()
-        before = self.history()[-1]["folders"] if self.exists() else []
         self._write(df, folder)
-        return self._commit("append", [*before, folder], {"rows": self.spark.read.parquet(f"{self.path}/{folder}").count()})
+        rows = self.spark.read.parquet(f"{self.path}/{folder}").count()
+        while True:
+            try:
+                with self._lock:
+                    before = self.history()[-1]["folders"] if self.exists() else []
+                    version = self._commit("append", [*before, folder], {"rows": rows}, self.version())
+                    if len(before) >= MAX_FOLDERS:
+                        version = self.optimize()
+                return version
+            except CommitConflict:
+                continue
 
     def ensure(self, like: DataFrame) -> None:
         """An empty table of a frame's columns, unless there is one."""
         if not self.exists():
             self.overwrite(like.limit(0))
 
-    def merge(self, source: DataFrame, watermark: str | None = None, always: bool = False) -> dict:
+    def merge(self, source: DataFrame, watermark: str | None = None, always: bool = False, **notes) -> dict:
         """Newer rows of the source replace and join the table's; the source must have one row a key."""
         assert_unique(source, self.key)
-        if not self.exists():
-            self.overwrite(source)
+        based_on = self.version()
+        if based_on < 0:
+            self.overwrite(source, **notes)
             return self.metrics() | {"inserted": self.metrics()["rows"], "updated": 0, "ignored": 0}
         now = self.read()
         counts = merge_metrics(now, source, self.key, None if always else watermark).first().asDict()
         folder = self._folder()
         self._write(merge(now, source, self.key, watermark, always), folder)
-        self._commit("merge", [folder], counts)
+        self._commit("merge", [folder], counts | notes, based_on)
         return counts
 
     # -- maintenance
 
     def optimize(self, files: int | None = None) -> int:
         """The current rows in fewer, larger files, clustered if the table is."""
-        df = self.read()
+        df, based_on = self.read(), self.version()
+        notes = {k: v for k, v in self.metrics().items() if k == "batches"}
         if not self.cluster_by:
             total = sum(self._fs.getContentSummary(self._path(f"{self.path}/{f}")).getLength() for f in self.history()[-1]["folders"])
             df = df.repartition(files or max(1, int(total // TARGET_BYTES) + 1))
         folder = self._folder()
         self._write(df, folder)
-        return self._commit("optimize", [folder], {"rows": df.count()})
+        return self._commit("optimize", [folder], {"rows": df.count()} | notes, based_on)
 
     def vacuum(self, retain_hours: float = RETAIN_HOURS, now: float | None = None, force: bool = False) -> list[str]:
         """Deletes folders that only versions older than the limit use; under 7 days needs force."""
@@ -149,9 +188,11 @@ class Table:
         kept = [h for h, end in zip(m["history"], replaced) if end >= limit]
         used = {f for h in kept for f in h["folders"]}
         gone = sorted({f for h in m["history"] for f in h["folders"]} - used)
-        self._publish(m | {"history": kept})
+        with self._lock:
+            self._publish(m | {"commit": m["commit"] + 1, "history": kept})
+        for name in self._manifests():
+            if name < f"{m['commit']:012d}.json":
+                self._fs.delete(self._path(f"{self.path}/_manifests/{name}"), False)
         for f in gone:
             self._fs.delete(self._path(f"{self.path}/{f}"), True)
         return gone
-
-

@@ -11,6 +11,7 @@ from lakeloom.sources.files import RESCUED, read_stream
 
 #: Folder columns of the landing zone; a redelivery under another date is the same record.
 FOLDER_COLUMNS = ("dt",)
+BATCH_FOLDER = "_batch"
 
 
 def add_ingest_metadata(df: DataFrame, system: str, batch_id: str, run_id: str, file_name: bool = True) -> DataFrame:
@@ -30,11 +31,26 @@ def add_ingest_metadata(df: DataFrame, system: str, batch_id: str, run_id: str,
     )
 
 
-def write_bronze(df: DataFrame, target: str, checkpoint: str) -> int:
-    """Runs the stream over what is there now; returns the rows it wrote, from all progress reports."""
-    query = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
+def write_bronze(df: DataFrame, target: str, checkpoint: str) -> None:
+    """Runs the stream over what is there now. A folder for each batch, so that a batch is read alone."""
+    folder = df.withColumn(BATCH_FOLDER, F.concat(F.lit("b-"), F.col("_batch_id")))
+    query = folder.writeStream.format("parquet").partitionBy(BATCH_FOLDER).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def read_bronze(spark: SparkSession, env: Environment, entity: Entity, batches: list[str] | None = None) -> DataFrame:
+    """Bronze rows, of the named batches alone if given (other folders aren't read)."""
+    df = spark.read.option("mergeSchema", "true").parquet(bronze_path(env, entity))
+    if batches is not None:
+        df = df.where(F.col(BATCH_FOLDER).isin([f"b-{b}" for b in batches]))
+    return df.drop(BATCH_FOLDER)
+
+
+def bronze_batches(spark: SparkSession, env: Environment, entity: Entity) -> list[str]:
+    """Batch ids in the order they came."""
+    df = spark.read.option("mergeSchema", "true").parquet(bronze_path(env, entity))
+    rows = df.groupBy("_batch_id").agg(F.min("_ingest_ts").alias("at")).orderBy("at", "_batch_id").collect()
+    return [r["_batch_id"] for r in rows]
 
 
 def bronze_path(env: Environment, entity: Entity) -> str:
@@ -45,8 +61,7 @@ def ingest_entity(spark: SparkSession, env: Environment, entity: Entity, batch_i
     """One entity's new files into Bronze, and the report on this batch (counted from the table)."""
     stream = add_ingest_metadata(read_stream(spark, env, entity), entity.source.system, batch_id, run_id)
     write_bronze(stream, bronze_path(env, entity), env.checkpoint_path(entity.name))
-    batch = spark.read.parquet(bronze_path(env, entity)).where(F.col("_batch_id") == batch_id)
-    return validate_bronze(batch)
+    return validate_bronze(read_bronze(spark, env, entity, [batch_id]))
 
 
 def validate_bronze(batch: DataFrame) -> dict:

@@ -2,15 +2,16 @@
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom import config as C
-from lakeloom.plans import audit, runner
+from lakeloom.plans import audit, runner, session_views
 from lakeloom.sources import files, rest, session
-from lakeloom.sources.tablestore import Table
+from lakeloom.sources.tablestore import CommitConflict, Table
 
 
 def test_table_versions(spark, tmp_path):
@@ -117,10 +118,69 @@ def test_stages(spark, lake):
     assert counts["fact_sales"] == 2 and counts["agg_daily_sales"] == 1
     sale = Table(spark, env.table_path("gold", "fact_sales")).read().where("order_id = 'o1'").first()
     assert str(sale.net_amount) == "19.00" and sale.product_sk == versions.where("not is_current").first().products_sk
-    assert [r["status"] for r in runner.run_reconcile(spark, env)] == ["PASSED"] * 3
+    checks = runner.run_reconcile(spark, env)
+    assert {r["status"] for r in checks} == {"PASSED"} and {r["check_name"] for r in checks} == {"row_flow", "soft_delete_rate", "grain", "net_revenue"}
+    lake = runner.Lake(spark, env)
+    made = session_views.register(lake)
+    assert {"v_q01_revenue_by_period", "v_q13_latest_vs_trend", "v_executive_kpis", "v_sales_summary", "v_run_status", "v_pii_inventory"} - set(made) == {"v_executive_kpis"}
+    assert spark.sql("SELECT sum(orders) FROM v_q01_revenue_by_period").first()[0] == 1
+    for name in made:
+        spark.table(name).collect()
+    assert set(runner.run_gold(spark, env, "b1", ["agg_daily_sales"])) == {"agg_daily_sales"}
+    with pytest.raises(ValueError):
+        runner.run_gold(spark, env, "b1", ["nothing"])
     runs = audit.Audit(spark, env).tables["runs"].read()
     assert runs.where("status = 'FATAL_DQ' and entity = 'customers'").count() == 1
 
 
+PRODUCT = "product_id,product_name,category_id,brand,price,cost,supplier,status,updated_at\n"
+
+
+def test_second_delivery(spark, lake):
+    """A full load deletes what it lacks; a bad row makes no version; deletions reach the dimension; four threads."""
+    env, put, _ = lake
+    entities = {n: e for n, e in C.load_entities().items() if n in ("categories", "products", "orders", "order_items")}
+    env = env.model_copy(update={"max_parallel": 4})
+    put("products/dt=2024-01-02/b.csv", PRODUCT + "p2,Hat,c1,B,5.00,1.00,S,active,2024-01-02T00:00:00Z\np3,Cap,c1,B,6.00,1.00,S,active,2024-01-02T00:00:00Z\n")
+    runner.run_bronze(spark, env, entities, "b1")
+    assert {r["status"] for r in runner.run_silver(spark, env, entities, "b1").values()} == {"SUCCESS"}
+    put("products/dt=2024-03-01/c.csv", PRODUCT + "p1,Boot,c1,B,12.00,4.00,S,active,2024-03-01T00:00:00Z\np3,Cap,c1,B,-6.00,1.00,S,active,2024-03-01T00:00:00Z\np4,Tie,c1,B,7.00,1.00,S,active,2024-03-01T00:00:00Z\n")
+    runner.run_bronze(spark, env, entities, "b2")
+    silver = runner.run_silver(spark, env, entities, "b2")
+    assert silver["products"] == {"status": "SUCCESS", "rows": 2, "quarantined": 1} and silver["orders"]["rows"] == 0
+    products = {r.product_id: r for r in Table(spark, env.table_path("silver", "products")).read().collect()}
+    assert {k: r.is_deleted for k, r in products.items()} == {"p1": False, "p2": True, "p3": False, "p4": False}
+    assert float(products["p3"].price) == 6.0
+    dim = Table(spark, env.table_path("gold", "dim_products")).read()
+    assert not dim.where("cast(price as double) < 0").count()
+    assert {(r.product_id, r.is_deleted) for r in dim.where("is_current").collect()} == {("p1", False), ("p2", True), ("p3", False), ("p4", False)}
+    runs = audit.Audit(spark, env).tables["runs"].read()
+    assert runs.where("stage = 'bronze'").count() == 8 and runs.where("status <> 'SUCCESS'").count() == 0
+    again = runner.run_silver(spark, env, entities, "b2")
+    assert {r["rows"] for r in again.values()} == {0}
+
+
+def test_concurrent_commits(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: Table(spark, path).append(spark.createDataFrame([(k,)], "id int")), range(12)))
+    t = Table(spark, path)
+    assert sorted(r.id for r in t.read().collect()) == list(range(12)) and t.version() == 11
+    with pytest.raises(CommitConflict):
+        t._commit("overwrite", ["x"], {}, based_on=3)
+
+
+def test_inferred_members(spark, lake):
+    env, _, _ = lake
+    entities = {n: e for n, e in C.load_entities().items() if n in ("products", "orders", "order_items")}
+    runner.run_bronze(spark, env, entities, "b1")
+    runner.run_silver(spark, env, entities, "b1")
+    at = runner.Lake(spark, env)
+    at.table("silver", "order_items").append(at.silver("order_items").limit(1).withColumn("product_id", F.lit("p9")).withColumn("order_line_number", F.lit(9)))
+    runner.run_gold(spark, env, "b1")
+    assert at.gold("dim_products").where("is_inferred").select("product_id").collect()[0][0] == "p9"
+    assert at.gold("fact_sales").where("product_id = 'p9' and product_sk <> -1").count() == 1
+
+
 def test_rows_to_frame(spark):
     assert session.rows_to_frame(spark, [{"a": 1}], "a int, b string").first().b is None
