@@ -145,6 +145,9 @@ SQL = {
       FULL JOIN (SELECT l_returnflag, count(*) AS quarantined FROM lineitem WHERE {BAD_LINE} GROUP BY 1) b ON a.l_returnflag = b.l_returnflag""",
     "dq_failed_rules": f"""WITH {DEDUP} SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity < 2 OR l_quantity > 49 THEN 'quantity_range' END, CASE WHEN l_discount >= 0.095 THEN 'discount_small' END) AS failed_rules,
       CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'flag_domain' ELSE '' END AS warnings FROM latest WHERE {BAD_LINE}""",
+    "lake_full_load": "SELECT p_partkey AS product_id, CASE WHEN p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS price, p_partkey % 13 = 0 AS is_deleted FROM part",
+    "lake_scd2_valid_only": """SELECT p_partkey AS product_id, p_retailprice AS price, NOT (p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0) AS is_current, p_partkey % 13 = 0 AS is_deleted FROM part
+      UNION ALL SELECT p_partkey, p_retailprice + 1, true, false FROM part WHERE p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0""",
     "cdc_unwrap": f"""WITH {CHANGES} SELECT k AS order_id, status, total, op AS _op, lsn AS _source_lsn, op = 'd' AS _is_delete, false AS _is_snapshot FROM changes""",
     "cdc_apply": f"""WITH {CHANGES}, {STATE} SELECT coalesce(c.k, s.k) AS order_id, CASE WHEN takes THEN c.status ELSE s.status END AS status, CASE WHEN takes THEN c.total ELSE s.total END AS total,
       CASE WHEN takes THEN c.lsn ELSE s.lsn END AS _source_lsn, CASE WHEN takes THEN c.op = 'd' ELSE false END AS is_deleted

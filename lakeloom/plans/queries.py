@@ -591,4 +591,19 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_runs(spark, sf_dir)
 
 
-QUERIES["incremental_ingest"] = incremental_ingest
+def lake_full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after two full loads through the runner: what the second lacks is soft-deleted, what it has wrong keeps its last valid state."""
+    from lakeloom.plans.lake_demo import full_load
+
+    return full_load(spark, sf_dir)
+
+
+def lake_scd2_valid_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after the same: quarantined rows make no version, deletions are carried."""
+    from lakeloom.plans.lake_demo import scd2_valid_only
+
+    return scd2_valid_only(spark, sf_dir)
+
+
+for _stage in (incremental_ingest, lake_full_load, lake_scd2_valid_only):
+    QUERIES[_stage.__name__] = _stage
