@@ -149,9 +149,9 @@ def frequencies(sets: DataFrame) -> Column:
 def near_groups(signed: DataFrame, scratch: Scratch, hundredths: int = THRESHOLD) -> DataFrame:
     """(k, near) of the fingerprints k that are near another; near is the least k of what hangs together.
 
-    signed: k (a fingerprint's key) and sigs of every row.
+    signed: k (a fingerprint's key) and sigs of every row that has any.
     """
-    sets = signed.where(F.size("sigs") > 0).groupBy("k").agg(F.first("sigs").alias("s"))
+    sets = signed.groupBy("k").agg(F.first("sigs").alias("s"))
     sets = scratch.save(sets, "distinct")
     levels = frequencies(sets)
     n = F.size("s")
@@ -162,23 +162,31 @@ def near_groups(signed: DataFrame, scratch: Scratch, hundredths: int = THRESHOLD
     return linked_components(nodes, lambda wanted: sets.join(wanted, "k", "left_semi"), hundredths, 100, scratch, parts=True).withColumnRenamed("component", "near")
 
 
-def with_groups(printed: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows with class_id (least doc_id of an equal fingerprint) and near_id (least reachable through near copies)."""
-    keyed = scratch.save(printed.withColumn("k", F.unhex(F.md5("fingerprint"))), "printed")
-    signed = keyed.select("k", "sigs", "doc_id")
+def with_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The contract's columns of every row, class_id (least doc_id of an equal fingerprint) and near_id (least reachable through near copies).
+
+    Fingerprints are made twice, once to group them and once for the result, so that only signatures are written down.
+    """
+    key = F.unhex(F.md5(as_string(F.col("sigs"))))
+    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    signed = scratch.save(with_signatures(base, "text", "sigs").select("doc_id", "sigs", key.alias("k")), "signed")
+    signed = signed.where(F.size("sigs") > 0)  # read back: a filter on the expression itself would make signatures twice
     near = near_groups(signed, scratch)
-    classes = signed.where(F.size("sigs") > 0).groupBy("k").agg(F.min("doc_id").alias("class_id"))
+    classes = signed.groupBy("k").agg(F.min("doc_id").alias("class_id"))
     classes = scratch.save(classes.join(near, "k", "left").select("k", "class_id", F.coalesce("near", "k").alias("near")), "classes")
     named = classes.join(classes.groupBy("near").agg(F.min("class_id").alias("near_id")), "near").select("k", "class_id", "near_id")
-    # rows without words share one empty fingerprint, and are near nobody
-    worded = keyed.where(F.size("sigs") > 0).join(named, "k")
-    alone = keyed.where(F.size("sigs") == 0).withColumns({"class_id": F.col("doc_id"), "near_id": F.col("doc_id")})
-    return worded.unionByName(alone).drop("k", "sigs")
+    named = scratch.save(named, "named")
+    scratch.drop(*[n for n in scratch.paths if n != "named"])
+    # rows without words share one empty fingerprint, and are near nobody; they meet no key, each in its own place
+    alone = F.size("sigs") == 0
+    spread = F.unhex(F.md5(F.concat_ws(":", F.lit("none"), F.col("doc_id").cast("string"), "edited_sha256")))
+    got = fingerprints(docs).withColumn("k", F.when(alone, spread).otherwise(key)).join(named.hint("merge"), "k", "left")
+    return got.withColumns({c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)) for c in ("class_id", "near_id")}).drop("k", "sigs")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "spotsigs", shuffled=True)
-    return with_groups(fingerprints(read(spark, sf_dir, "documents", "doc_id", "text")), scratch)
+    return with_groups(read(spark, sf_dir, "documents", "doc_id", "text"), scratch)
 
 
 def edited_text(text: str | None, following: str | None) -> str:

@@ -50,7 +50,7 @@ OPERATORS = {
     "line_dedup": lambda d, lab: line_dedup.dedup_lines(d)[0],
     "language_id": lambda d, lab: language_id.identify(d, language_id.learn(d)),
     "media": lambda d, lab: media.media_column(d),
-    "spotsigs": lambda d, lab: spotsigs.with_groups(spotsigs.fingerprints(d), Scratch(d.sparkSession, "test")),
+    "spotsigs": lambda d, lab: spotsigs.with_groups(d, Scratch(d.sparkSession, "test")),
     "ngram_jaccard": lambda d, lab: ngram_jaccard.link(d, 4, 85, 100),
 }
 
@@ -121,7 +121,7 @@ def test_links_by_brute_force(docs):
 def test_near_fingerprints_by_brute_force(docs):
     docs = with_shared_ids(docs)
     rows = hashes(docs)
-    got = spotsigs.with_groups(spotsigs.fingerprints(docs), Scratch(docs.sparkSession, "test")).collect()
+    got = spotsigs.with_groups(docs, Scratch(docs.sparkSession, "test")).collect()
     prints = {(r.doc_id, r.fingerprint) for r in got}
     sets = {p: {p[k : k + 8] for k in range(0, len(p), 8)} for _, p in prints if p}
     parent = {p: p for p in sets}
