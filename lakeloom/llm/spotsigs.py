@@ -180,7 +180,8 @@ def with_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # rows without words share one empty fingerprint, and are near nobody; they meet no key, each in its own place
     alone = F.size("sigs") == 0
     spread = F.unhex(F.md5(F.concat_ws(":", F.lit("none"), F.col("doc_id").cast("string"), "edited_sha256")))
-    got = fingerprints(docs).withColumn("k", F.when(alone, spread).otherwise(key)).join(named.hint("merge"), "k", "left")
+    # written down, so the window's shuffle is gone when the join's comes
+    got = scratch.save(fingerprints(docs), "printed").withColumn("k", F.when(alone, spread).otherwise(key)).join(named.hint("merge"), "k", "left")
     return got.withColumns({c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)) for c in ("class_id", "near_id")}).drop("k", "sigs")
 
 
