@@ -44,6 +44,8 @@ MAX_RANGES = 4096
 THRESHOLD = 80
 #: Hash slots in which signatures are counted, a power of 2; their counts are all that reaches the driver.
 COUNTED = 1 << 16
+#: Columns of hexadecimal digits.
+HEXED = ("edited_sha256", "fingerprint", "edited_fingerprint")
 
 
 def word_list(text: Column) -> Column:
@@ -177,12 +179,15 @@ def with_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     named = classes.join(classes.groupBy("near").agg(F.min("class_id").alias("near_id")), "near").select("k", "class_id", "near_id")
     named = scratch.save(named, "named")
     scratch.drop(*[n for n in scratch.paths if n != "named"])
+    # bytes, written down: the window's shuffle is gone when the join's comes, and a signature takes 4 bytes in both
+    got = scratch.save(fingerprints(docs).drop("sigs").withColumns({c: F.unhex(c) for c in HEXED}), "printed")
     # rows without words share one empty fingerprint, and are near nobody; they meet no key, each in its own place
-    alone = F.size("sigs") == 0
-    spread = F.unhex(F.md5(F.concat_ws(":", F.lit("none"), F.col("doc_id").cast("string"), "edited_sha256")))
-    # written down, so the window's shuffle is gone when the join's comes
-    got = scratch.save(fingerprints(docs), "printed").withColumn("k", F.when(alone, spread).otherwise(key)).join(named.hint("merge"), "k", "left")
-    return got.withColumns({c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)) for c in ("class_id", "near_id")}).drop("k", "sigs")
+    alone = F.length("fingerprint") == 0
+    spread = F.unhex(F.md5(F.concat_ws(":", F.lit("none"), F.col("doc_id").cast("string"), F.lower(F.hex("edited_sha256")))))
+    key = F.unhex(F.md5(F.lower(F.hex("fingerprint"))))
+    got = got.withColumn("k", F.when(alone, spread).otherwise(key)).join(named.hint("merge"), "k", "left").drop("k")
+    got = got.withColumns({c: F.when(alone, F.col("doc_id")).otherwise(F.col(c)) for c in ("class_id", "near_id")})
+    return got.withColumns({c: F.lower(F.hex(c)) for c in HEXED})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
