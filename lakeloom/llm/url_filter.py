@@ -16,6 +16,7 @@ gets the default. Repeated pages are judged alike; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -45,10 +46,10 @@ class DigestArray:
     """Sorted 64-bit digests of keys over the bytes of one buffer, with the keys for confirmation and their values.
 
     The buffer holds the number of keys n, n digests in order, n + 1 places of records (all 64 bits), and
-    the records: key, a zero byte pair, value.
+    the records: the key's length (64 bits), key, value, so that keys may hold any bytes.
     """
 
-    SEPARATOR = b"\0\0"
+    HEAD = 8
 
     def __init__(self, buffer: np.ndarray, digest: Callable[[bytes], int] = xxhash.xxh64_intdigest):
         n = int(buffer[:8].view(np.int64)[0])
@@ -61,7 +62,7 @@ class DigestArray:
         """The buffer of (key, value) pairs with distinct keys."""
         digests = np.array([digest(k) for k, _ in entries], np.uint64)
         order = np.argsort(digests, kind="stable")
-        records = [DigestArray.SEPARATOR.join(entries[i]) for i in order]
+        records = [np.int64(len(entries[i][0])).tobytes() + entries[i][0] + entries[i][1] for i in order]
         places = np.cumsum([0, *map(len, records)]).astype(np.int64)
         return b"".join([np.int64(len(entries)).tobytes(), digests[order].tobytes(), places.tobytes(), *records])
 
@@ -75,9 +76,10 @@ class DigestArray:
         for i in np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == wanted):
             j = at[i]
             while j < len(self.digests) and self.digests[j] == wanted[i]:  # equal digests: compare strings
-                key, _, value = self.records[self.places[j] : self.places[j + 1]].tobytes().partition(self.SEPARATOR)
-                if key == probes[i]:
-                    out[i] = value
+                record = self.records[self.places[j] : self.places[j + 1]].tobytes()
+                end = self.HEAD + int.from_bytes(record[: self.HEAD], sys.byteorder)
+                if record[self.HEAD : end] == probes[i]:
+                    out[i] = record[end:]
                     break
                 j += 1
         return out

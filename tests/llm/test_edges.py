@@ -204,6 +204,8 @@ def test_urls(spark):
     none = url_filter.filter_urls(pages, [], "block").collect()
     assert {(r.rule, r.verdict) for r in none} == {(None, "block")} and len(none) == 10
     assert url_filter.filter_urls(pages.limit(0), url_filter.RULES).count() == 0
+    whole = url_filter.filter_urls(pages, [("block", "A.org", ""), ("allow", "example.com", "")], "block").collect()
+    assert {r.page_id: (r.rule, r.verdict) for r in whole} == {i: ("a.org", "block") if i in (8, 9) else ("example.com", "allow") if i == 3 else (None, "block") for i in range(1, 10)}
     clash = lambda s: 7
     packed = url_filter.DigestArray.pack([(b"a", b"1"), (b"b", b"2"), (b"c\0", b"")], clash)
     colliding = url_filter.DigestArray(np.frombuffer(packed, np.uint8), clash)
