@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lakeloom.llm import language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, setsketch, spotsigs, toxicity, url_filter
+from lakeloom.llm import collocations, language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, setsketch, spotsigs, toxicity, url_filter
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_url_filter": url_filter.query,
     "op9_spotsigs": spotsigs.query,
     "op10_ngram_jaccard": ngram_jaccard.query,
+    "op11_collocations": collocations.query,
     "op13_setsketch": setsketch.query,
 }
 
@@ -25,5 +26,6 @@ SQL = {
     "op5_line_dedup": line_dedup.SQL,
     "op8_url_filter": url_filter.SQL,
     "op10_ngram_jaccard": ngram_jaccard.SQL,
+    "op11_collocations": collocations.SQL,
     "op13_setsketch": setsketch.SQL,
 }
