@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lakeloom.llm import collocations, language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, setsketch, spotsigs, toxicity, url_filter
+from lakeloom.llm import collocations, impact_index, language_id, line_dedup, media, mixture, ngram_jaccard, pieces, repeats, setsketch, spotsigs, toxicity, url_filter
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_spotsigs": spotsigs.query,
     "op10_ngram_jaccard": ngram_jaccard.query,
     "op11_collocations": collocations.query,
+    "op12_impact_index": impact_index.query,
     "op13_setsketch": setsketch.query,
 }
 
@@ -27,5 +28,6 @@ SQL = {
     "op8_url_filter": url_filter.SQL,
     "op10_ngram_jaccard": ngram_jaccard.SQL,
     "op11_collocations": collocations.SQL,
+    "op12_impact_index": impact_index.SQL,
     "op13_setsketch": setsketch.SQL,
 }

@@ -31,13 +31,13 @@ def rows(table):
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, sf, name):
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     assert rows(registry.QUERIES[name](spark, sf).toArrow()) == rows(c.sql(registry.SQL[name]).to_arrow_table())
 
 
 def test_names():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 # --- 1
