@@ -14,8 +14,9 @@ n + M log M points instead of n * M.
    larger, smaller and equal; pairs within SLACK (6 standard deviations) of the limit are verified on whole sets.
    Stars repeat on buckets that aren't in one component yet, each with a leader of a component that hasn't led
    there, as long as they join something.
-3. Rest: in buckets that are still open, members of different components that share at least two bands
-   meet, if their sizes allow a link, and are estimated and verified likewise.
+3. Rest: in buckets that are still open, members of different components meet if their sizes allow a link,
+   they share at least two bands, and at most UNLIKE of their registers differ in the last bit (10 % do at 0.8;
+   the limit is 6 standard deviations above). Each such pair is made once, then estimated and verified likewise.
 
 So a large group of near copies costs as many pairs as it has members. No bucket is capped.
 
@@ -48,6 +49,8 @@ B = 1.001
 BAND = 5
 #: Pairs estimated this far below the limit are still verified; the estimate's deviation is 0.025 at 0.8.
 SLACK = 0.15
+#: Last bits of M registers that may differ.
+UNLIKE = 55
 #: A task sketches this many n-grams at once.
 AT_ONCE = 1_000_000
 _TOP = 65_535
@@ -118,23 +121,23 @@ def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, point
 
 
 def sketched(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, text_hash, k (the set's 128-bit key), n (its size), registers of every row."""
+    """doc_id, text_hash, k (the set's 128-bit key), n (its size), registers and their last bits of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
             own = shingle_sets(b.column("text").to_pylist(), n)
             sizes = np.array([len(s) for s in own], np.int64)
-            registers, first = [], 0
+            registers, bits = [], []
             for part in np.split(np.arange(len(own)), np.flatnonzero(np.diff(np.cumsum(sizes) // AT_ONCE)) + 1):
                 flat = np.concatenate([own[i] for i in part]) if len(part) else np.zeros(0, np.uint64)
                 rows = sketch(flat, np.repeat(np.arange(len(part)), sizes[part]), len(part))
                 registers += [r.tobytes() for r in rows]
-                first += len(part)
+                bits += np.packbits((rows & 1).astype(np.uint8), axis=1).view(np.int64).tolist()
             keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in own]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(registers, pa.binary())], ["doc_id", "text_hash", "k", "n", "registers"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(registers, pa.binary()), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "text_hash", "k", "n", "registers", "bits"])
         forget_words()
 
-    return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id long, text_hash long, k binary, n long, registers binary")
+    return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id long, text_hash long, k binary, n long, registers binary, bits array<long>")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -157,8 +160,8 @@ def link(docs: DataFrame, n: int = 2, num: int = 80, den: int = 100, scratch: Sc
     scratch = scratch or Scratch(docs.sparkSession, "setsketch", shuffled=True)
     docs = docs.select("doc_id", "text")
     rows = scratch.save(sketched(docs, n), "rows")
-    nodes = scratch.save(rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("registers").alias("registers")), "distinct")
-    ids = rows.drop("registers")
+    nodes = scratch.save(rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("bits").alias("bits")), "distinct")
+    ids = rows.drop("registers", "bits")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         hopeful = scratch.save(likely(pairs, nodes, num / den - SLACK), f"hopeful{name}")
@@ -202,15 +205,19 @@ def link(docs: DataFrame, n: int = 2, num: int = 80, den: int = 100, scratch: Sc
         led = led_now if led is None else led_now.unionByName(led).distinct()
         scratch.drop(f"now{r}", f"buckets{r}")
 
-    # the rest: two bands in common, in different components
-    once = buckets.groupBy("k").agg(F.sort_array(F.collect_set("s")).alias("bands"), F.first("n").alias("n"), F.first("component").alias("component"))
-    two = F.expr("flatten(transform(bands, (x, i) -> transform(slice(bands, i + 2, size(bands)), y -> xxhash64(x, y))))")
-    couples = once.where("size(bands) > 1").select("k", "n", "component", F.explode(two).alias("s"))
+    # the rest: two bands or more in common, in different components, and most registers' last bits alike
+    once = buckets.groupBy("k").agg(F.sort_array(F.collect_set("s")).alias("bands"), F.first("n").alias("n"), F.first("component").alias("component")).where("size(bands) > 1")
+    once = once.join(nodes.select("k", "bits"), "k")
+    couples = once.withColumn("s", F.explode("bands"))
     left = couples.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("s")
     couples = scratch.save(couples.join(left, "s"), "couples")
-    other = couples.select("s", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    apart = couples.join(other, "s").where((F.col("k") < F.col("b")) & (F.col("component") != F.col("cb")) & sizes_fit("n", "nb"))
-    more = confirmed(apart.select(F.col("k").alias("a"), "b").distinct(), "rest")
+    other = couples.select("s", *[F.col(c).alias(f"{c}_b") for c in ("k", "n", "component", "bits", "bands")])
+    unlike = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(M // 64)), F.lit(0))
+    both = F.array_intersect("bands", "bands_b")
+    # a pair is made where its first common band is
+    apart = (F.col("k") < F.col("k_b")) & (F.col("component") != F.col("component_b")) & sizes_fit("n", "n_b") & (unlike <= UNLIKE) & (F.size(both) > 1) & (F.try_element_at(both, F.lit(1)) == F.col("s"))
+    apart = couples.join(other, "s").where(apart).select(F.col("k").alias("a"), F.col("k_b").alias("b"))
+    more = confirmed(apart, "rest")
     if more.limit(1).count():
         stars = more if joined is None else more.unionByName(joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
         joined = scratch.save(components(stars, scratch), "joined")

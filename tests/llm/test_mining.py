@@ -106,7 +106,7 @@ def test_search_by_brute_force(docs, block, query_terms):
     want = ranked([(r.doc_id, r.text) for r in every.collect()], items)
     flat = sorted(((i, rank, d, s) for (i, _), best in want.items() for rank, (s, d) in enumerate(best, 1)), key=repr)
     assert sorted(((r.item_id, r["rank"], r.doc_id, r.score) for r in got), key=repr) == flat
-    assert len(flat) > 60
+    assert len(flat) > 40
 
 
 def test_search_of_nothing(docs):
@@ -118,7 +118,7 @@ def test_search_of_nothing(docs):
 def test_blocks_hold_all_documents(docs):
     slots = impact_index.query_slots(docs.select(F.lit("cat mat").alias("text")).limit(1))
     got = impact_index.blocks(docs, slots, 64).collect()
-    assert sum(len(r.docs) for r in got) == sum(bool(impact_index.terms_of(pa.array([t]))[1].size) for _, t, *_ in ROWS)
+    assert sum(len(r.docs) for r in got) == sum(bool(impact_index.terms_of(pa.array([t], pa.string()))[1].size) for _, t, *_ in ROWS)
     assert all(t in (b"cat", b"mat") for r in got for t in r.terms)
 
 
