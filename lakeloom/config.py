@@ -52,6 +52,8 @@ class Environment(Strict):
     fail_threshold: float = Field(0.80, ge=0, le=1)
     warn_threshold: float = Field(0.95, ge=0, le=1)
     max_parallel: int = Field(2, ge=1, le=4)
+    #: Buckets of silver tables and dimensions, for their first version; a few hundred MB each is right.
+    buckets: int = Field(64, ge=1)
 
     @model_validator(mode="after")
     def _thresholds(self):

@@ -34,16 +34,28 @@ def merge(target: DataFrame, source: DataFrame, key: list[str], watermark: str |
     The source must have one row a key. Keys compare NULL-safely. New columns of the source are added;
     columns that only the target has are NULL in replaced and new rows.
     """
-    columns = list(dict.fromkeys([*target.columns, *source.columns]))
+    return merge_marked(target, source, key, watermark, always).drop("_merge_kind")
+
+
+def merge_marked(target: DataFrame, source: DataFrame, key: list[str], watermark: str | None = None, always: bool = False) -> DataFrame:
+    """As merge, and _merge_kind: what became of each row (inserted, updated, ignored for a source row that is too old, else NULL).
+
+    Columns of the source whose names begin with _merge_ go along with its rows.
+    """
+    own = [c for c in source.columns if not c.startswith("_merge_")]
+    columns = list(dict.fromkeys([*target.columns, *own]))
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_in_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_in_s"))
     same = reduce(lambda a, b: a & b, [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in key])
-    old, new = {c: F.col(f"t_{c}") for c in target.columns}, {c: F.col(f"s_{c}") for c in source.columns}
+    old, new = {c: F.col(f"t_{c}") for c in target.columns}, {c: F.col(f"s_{c}") for c in own}
     replaces = F.lit(True) if always else newer(new, old, watermark)
-    takes = F.col("_in_s").isNotNull() & (F.col("_in_t").isNull() | F.coalesce(replaces, F.lit(False)))
+    wins = F.coalesce(replaces, F.lit(False))
+    takes = F.col("_in_s").isNotNull() & (F.col("_in_t").isNull() | wins)
     kinds = dict(source.dtypes) | dict(target.dtypes)
     none = {c: F.lit(None).cast(k) for c, k in kinds.items()}
-    return t.join(s, same, "full").select(*[F.when(takes, new.get(c, none[c])).otherwise(old.get(c, none[c])).alias(c) for c in columns])
+    kind = F.when(F.col("_in_s").isNull(), None).when(F.col("_in_t").isNull(), "inserted").when(wins, "updated").otherwise("ignored")
+    extra = [F.col(f"s_{c}").alias(c) for c in source.columns if c not in own]
+    return t.join(s, same, "full").select(*[F.when(takes, new.get(c, none[c])).otherwise(old.get(c, none[c])).alias(c) for c in columns], kind.alias("_merge_kind"), *extra)
 
 
 def merge_metrics(target: DataFrame, source: DataFrame, key: list[str], watermark: str | None = None) -> DataFrame:
@@ -64,19 +76,20 @@ def snapshot_deletes(target: DataFrame, snapshot: DataFrame, key: list[str], as_
     return with_soft_delete(snapshot, as_of).unionByName(gone, allowMissingColumns=True).unionByName(before, allowMissingColumns=True)
 
 
-def carry_deletes(dimension: DataFrame, state: DataFrame, key: list[str]) -> DataFrame:
-    """The dimension with is_deleted on the current version of keys that are soft-deleted in the state."""
-    gone = state.where("is_deleted").select(*key, F.lit(True).alias("_gone")).distinct()
+def carry_deletes(dimension: DataFrame, gone: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """The dimension with is_deleted on the current version of deleted keys.
+
+    gone has the keys of which that is known now, and _gone; of others what `before` (the versions as they
+    were) says holds on.
+    """
+    key = [c for c in gone.columns if c != "_gone"]
     out = dimension.drop("is_deleted").join(gone, key, "left")
+    if before is not None and "is_deleted" in before.columns:
+        was = before.groupBy(*key).agg(F.bool_or(F.coalesce("is_deleted", F.lit(False))).alias("_was"))
+        out = out.join(was, key, "left").withColumn("_gone", F.coalesce("_gone", "_was")).drop("_was")
     return out.withColumn("is_deleted", F.coalesce("_gone", F.lit(False)) & F.col("is_current")).drop("_gone")
 
 
-def assert_unique(df: DataFrame, key: list[str]) -> None:
-    twice = df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"a merge's source has a key twice: {twice[0].asDict()}")
-
-
 def snapshot_diff(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
     """Changes between two versions of a table: rows of `after` that are new or differ, and rows that are gone."""
     columns = list(after.columns)

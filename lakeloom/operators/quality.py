@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeloom.config import Rule, Severity
@@ -15,6 +15,8 @@ from lakeloom.config import Rule, Severity
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(\+?\d{1,2}[\s.-]?)?\(?\d{3}\)?[\s.-]?\d{3}[\s.-]?\d{4}"
 
+#: Offending rows that a result shows.
+SAMPLES = 5
 SKIPPED, PASSED, FAILED = "SKIPPED", "PASSED", "FAILED"
 
 
@@ -127,6 +129,14 @@ def route(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.where(F.size("_dq_failed_rules") == 0).drop("_dq_failed_rules"), flagged.where(F.size("_dq_failed_rules") > 0)
 
 
+def counted(bad: DataFrame, samples: int = SAMPLES) -> tuple[int, list]:
+    """How many rows, and a few of them, in one job: no task sends more than `samples`."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # within the task
+    some = bad.select(F.when(place < samples, F.struct(*bad.columns)).alias("x"))
+    row = some.agg(F.count(F.lit(1)).alias("n"), F.slice(F.collect_list("x"), 1, samples).alias("some")).first()
+    return row["n"], row["some"]
+
+
 def bindable(rule: Rule, columns: list[str], df: DataFrame) -> bool:
     if not set(rule.columns) <= set(columns):
         return False
@@ -145,13 +155,24 @@ def evaluate(
     reference: Callable[[str], DataFrame | None] = lambda name: None,
     trailing_mean: float | None = None,
     as_of: dt.datetime | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> QualityOutcome:
-    """Flags and counts in one aggregate; a rule whose columns or reference are missing is SKIPPED."""
+    """Flags and counts in one pass; a rule whose columns or reference are missing is SKIPPED.
+
+    stage writes the flagged rows down and returns what it wrote: then the counts come from that write, and
+    valid rows, quarantine and batch rules read what is written.
+    """
     known = [r for r in rules if bindable(r, df.columns, df)]
     row_rules = [r for r in known if not r.is_batch]
     flagged = flag(df, row_rules)
     counts = [F.count_if(F.array_contains(F.concat("_dq_failed_rules", "_dq_warnings"), r.name)).alias(r.name) for r in row_rules]
-    totals = flagged.agg(F.count("*").alias("_rows"), F.count_if(F.size("_dq_failed_rules") > 0).alias("_bad"), *counts).first()
+    counts += [F.count(F.lit(1)).alias("_rows"), F.count_if(F.size("_dq_failed_rules") > 0).alias("_bad")]
+    if stage is None:
+        totals = flagged.agg(*counts).first().asDict()
+    else:
+        seen = Observation()
+        flagged = stage(flagged.observe(seen, *counts))
+        totals, df = seen.get, flagged.drop("_dq_failed_rules", "_dq_warnings")
     valid, bad = route(flagged)
     outcome = QualityOutcome(valid, bad, rows_in=totals["_rows"], rows_quarantined=totals["_bad"])
     for r in rules:
@@ -172,17 +193,15 @@ def evaluate(
 
 def _batch_rule(rule: Rule, df: DataFrame, rows: int, reference, trailing_mean, as_of) -> tuple[str, int, str]:
     if rule.type == "unique":
-        bad = unique_violations(df, list(rule.columns))
-        n = bad.count()
-        return (FAILED if n else PASSED), n, str([r.asDict() for r in bad.limit(5).collect()]) if n else ""
+        n, some = counted(unique_violations(df, list(rule.columns)))
+        return (FAILED if n else PASSED), n, str([r.asDict() for r in some]) if n else ""
     if rule.type == "referential":
         table, column = rule.reference.split(".")
         parent = reference(table)
         if parent is None:
             return SKIPPED, 0, f"no table {table}"
-        bad = orphans(df, rule.columns[0], parent, column)
-        n = bad.count()
-        return (FAILED if n else PASSED), n, str([r[0] for r in bad.select(rule.columns[0]).limit(5).collect()]) if n else ""
+        n, some = counted(orphans(df, rule.columns[0], parent, column).select(rule.columns[0]))
+        return (FAILED if n else PASSED), n, str([r[0] for r in some]) if n else ""
     if rule.type == "freshness":
         now = F.lit(as_of) if as_of else F.current_timestamp()
         age = age_hours(df, rule.columns[0], now).first()[0]

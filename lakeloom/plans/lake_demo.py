@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.config import Entity, Environment, Rule, Source
+from lakeloom.operators.scd import apply_scd2, scd2
 from lakeloom.plans import runner
 from lakeloom.plans.audit import Audit
+from lakeloom.sources.tablestore import Table
 from lakeloom.streaming.demo import shared_folder
 from lakeloom.streaming.ingest import ingest_entity
 
 RULES = [Rule(name="price_not_negative", type="range", severity="error", columns=["price"], min=0)]
 
 
-def two_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Silver products and their dimension. The second delivery lacks every 13th part, has a bad price for every 7th and a new one for every 5th."""
+def two_deliveries(spark: SparkSession, sf_dir: str, at_once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Silver products and their dimension. The second delivery lacks every 13th part, has a bad price for every 7th and a new one for every 5th.
+
+    at_once: both snapshots wait in one batch.
+    """
     root = shared_folder(spark, "deliveries")
-    env = Environment(name="demo", warehouse=f"{root}/warehouse", landing_root=f"{root}/landing", checkpoint_root=f"{root}/checkpoints", schema_root=f"{root}/schemas".removeprefix("file://"), fail_threshold=0.5)
+    env = Environment(name="demo", warehouse=f"{root}/warehouse", landing_root=f"{root}/landing", checkpoint_root=f"{root}/checkpoints", schema_root=f"{root}/schemas", fail_threshold=0.5, buckets=8)
     entity = Entity(name="products", source=Source(system="pim", format="parquet", path_glob="products/dt=*/*.parquet"), load_type="full", primary_key=["product_id"], watermark="updated_at", order_by=["updated_at"], scd_type="scd2", tracked=["price"])
     k = F.col("p_partkey")
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -26,15 +31,35 @@ def two_deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     second = parts.where(k % 13 != 0).select(k.alias("product_id"), price.alias("price"), F.lit("2024-03-01T00:00:00").alias("updated_at"), F.lit("2024-03-01").alias("dt"))
     for batch, landed in (("first", first), ("second", second)):
         landed.write.mode("append").partitionBy("dt").parquet(f"{root}/landing/products")
+        if at_once and batch == "first":
+            continue
         ingest_entity(spark, env, entity, batch, "demo")
         runner.process_silver(spark, env, entity, RULES, Audit(spark, env), batch)
     lake = runner.Lake(spark, env)
     return lake.silver("products"), lake.gold("dim_products")
 
 
-def full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return two_deliveries(spark, sf_dir)[0].select("product_id", "price", "is_deleted")
+def full_load(spark: SparkSession, sf_dir: str, at_once: bool = False) -> DataFrame:
+    return two_deliveries(spark, sf_dir, at_once)[0].select("product_id", "price", "is_deleted")
 
 
 def scd2_valid_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_deliveries(spark, sf_dir)[1].select("product_id", "price", "is_current", "is_deleted")
+
+
+def merged_orders(spark: SparkSession, state: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
+    """A table of state, with source merged in its buckets."""
+    table = Table(spark, f"{shared_folder(spark, 'merged')}/orders", key, buckets=16)
+    table.overwrite(state)
+    table.merge(source)
+    return table.read()
+
+
+def late_changes(spark: SparkSession, changes: DataFrame, late: DataFrame, key: list[str], tracked: list[str], changed_at: str, entity: str) -> DataFrame:
+    """A written dimension of changes after late ones: only the buckets of their keys are read and written again."""
+    table = Table(spark, f"{shared_folder(spark, 'dimension')}/{entity}", key, buckets=16)
+    table.overwrite(scd2(changes, key, tracked, changed_at, entity))
+    keys = late.select(*key).distinct()
+    near = table.read(buckets=table.touched(keys)).join(keys, key, "left_semi")
+    table.replace(keys, apply_scd2(near, late, key, tracked, changed_at, entity))
+    return table.read()

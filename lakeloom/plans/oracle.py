@@ -146,6 +146,7 @@ SQL = {
     "dq_failed_rules": f"""WITH {DEDUP} SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_quantity < 2 OR l_quantity > 49 THEN 'quantity_range' END, CASE WHEN l_discount >= 0.095 THEN 'discount_small' END) AS failed_rules,
       CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'flag_domain' ELSE '' END AS warnings FROM latest WHERE {BAD_LINE}""",
     "lake_full_load": "SELECT p_partkey AS product_id, CASE WHEN p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS price, p_partkey % 13 = 0 AS is_deleted FROM part",
+    "lake_two_snapshots": "SELECT p_partkey AS product_id, CASE WHEN p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS price, p_partkey % 13 = 0 AS is_deleted FROM part",
     "lake_scd2_valid_only": """SELECT p_partkey AS product_id, p_retailprice AS price, NOT (p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0) AS is_current, p_partkey % 13 = 0 AS is_deleted FROM part
       UNION ALL SELECT p_partkey, p_retailprice + 1, true, false FROM part WHERE p_partkey % 13 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 5 = 0""",
     "cdc_unwrap": f"""WITH {CHANGES} SELECT k AS order_id, status, total, op AS _op, lsn AS _source_lsn, op = 'd' AS _is_delete, false AS _is_snapshot FROM changes""",
@@ -235,8 +236,9 @@ SQL = {
     "mask_cost": f"SELECT p_partkey AS product_id, CAST(NULL AS {M}) AS hidden, {money('p_retailprice')} AS shown FROM part",
     "row_filter": f"WITH {CUSTOMERS} SELECT customer_id, substr(sha256(email), 1, 12) || '@' || split_part(email, '@', 2) AS email, substr(postal_code, 1, 3) || '**' AS postal_code FROM customers WHERE customer_id % 10 <> 0",
     "recon_row_flow": f"""WITH {DEDUP}, routed AS (SELECT l_orderkey, l_linenumber FROM latest WHERE NOT {BAD_LINE} UNION SELECT l_orderkey, l_linenumber FROM latest WHERE {BAD_LINE})
-      SELECT {recon('row_flow', 'order_items', 'a', 'b', 'b <= a')} FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS a, (SELECT count(*) FROM routed) AS b)
-      UNION ALL SELECT {recon('row_flow', 'orders', 'a', 'b', 'b <= a')} FROM (SELECT count(*) FILTER (WHERE o_orderkey % 2 = 0) AS a, count(*) AS b FROM orders)""",
+      SELECT {recon('row_flow', 'order_items', 'a', 'b', 'a = b')} FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS a, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem INTERSECT SELECT * FROM routed)) AS b)
+      UNION ALL SELECT {recon('row_flow', 'orders', 'a', 'b', 'a = b')} FROM (SELECT count(*) AS a, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS b FROM orders)
+      UNION ALL SELECT {recon('row_flow', 'orders_shifted', 'a', 'b', 'a = b')} FROM (SELECT count(*) AS a, count(*) FILTER (WHERE o_orderkey - 1 IN (SELECT o_orderkey FROM orders)) AS b FROM orders)""",
     "recon_money": f"""WITH {SALES}, silver AS (SELECT sum(gross_amount) - sum(discount_amount) AS a FROM lines JOIN orders ON order_id = o_orderkey WHERE o_orderstatus <> 'P')
       SELECT {recon('net_revenue', 'fact_sales', 'a', 'b', 'abs(a - b) <= 0.01')} FROM silver, (SELECT sum(net_amount) AS b FROM sold)
       UNION ALL SELECT {recon('net_revenue', 'fact_sales_cut', 'a', 'b', 'abs(a - b) <= 0.01')} FROM silver, (SELECT sum(net_amount) AS b FROM sold WHERE quantity < 40)""",

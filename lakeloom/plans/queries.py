@@ -11,7 +11,7 @@ from lakeloom.config import Rule
 from lakeloom.functions import keys, masks
 from lakeloom.operators import dedup, envelope, merge, paging, quality, scd
 from lakeloom.operators.standardise import standardise
-from lakeloom.plans import dims, facts, governance, marts, reconcile, views
+from lakeloom.plans import dims, facts, governance, lake_demo, marts, reconcile, views
 from lakeloom.plans.bindings import LINE_KEY, Tables
 
 AS_OF = dt.datetime(2024, 2, 1)
@@ -161,7 +161,7 @@ def cdc_unwrap(t: Tables) -> DataFrame:
 @query
 def cdc_apply(t: Tables) -> DataFrame:
     source = merge.with_soft_delete(_latest_changes(t), F.lit(AS_OF)).select("order_id", "status", "total", "_source_lsn", "is_deleted")
-    return merge.merge(_state(t), source, ["order_id"])
+    return lake_demo.merged_orders(t.spark, _state(t), source, ["order_id"])
 
 
 @query
@@ -238,9 +238,9 @@ def scd2_build(t: Tables) -> DataFrame:
 
 @query
 def scd2_late_change(t: Tables) -> DataFrame:
-    """A change that arrives late re-slices the versions of its key alone."""
+    """A change that arrives late, into a written dimension: versions near it are sliced again, without the changes before."""
     late = t.customer_history().where("customer_id % 6 = 0").groupBy("customer_id", "customer_segment").agg(F.lit("LATE").alias("region"), F.lit("1996-09-01").cast("timestamp_ntz").alias("changed_at"))
-    return scd.apply_scd2(_versions(t), late, ["customer_id"], ["region", "customer_segment"], "changed_at", "customers").select(*VERSION)
+    return lake_demo.late_changes(t.spark, t.customer_history(), late, ["customer_id"], ["region", "customer_segment"], "changed_at", "customers").select(*VERSION)
 
 
 @query
@@ -506,11 +506,12 @@ def row_filter(t: Tables) -> DataFrame:
 
 @query
 def recon_row_flow(t: Tables) -> DataFrame:
-    """As it should be, and a target with keys that never came."""
+    """As it should be; a target that has lost rows, also where keys that never came make up for them in number."""
     valid, bad = quality.route(quality.flag(t.latest_lines(), LINE_RULES))
     orders = t.raw("orders")
-    extra = reconcile.row_flow("orders", orders.where("o_orderkey % 2 = 0"), orders, orders.limit(0), ["o_orderkey"])
-    return reconcile.row_flow("order_items", t.raw("lineitem"), valid, bad, LINE_KEY).unionByName(extra)
+    lost = reconcile.row_flow("orders", orders, orders.where("o_orderkey % 2 = 0"), orders.limit(0), ["o_orderkey"])
+    shifted = reconcile.row_flow("orders_shifted", orders, orders.withColumn("o_orderkey", F.col("o_orderkey") + 1), orders.limit(0), ["o_orderkey"])
+    return reconcile.row_flow("order_items", t.raw("lineitem"), valid, bad, LINE_KEY).unionByName(lost).unionByName(shifted)
 
 
 @query
@@ -593,17 +594,18 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lake_full_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after two full loads through the runner: what the second lacks is soft-deleted, what it has wrong keeps its last valid state."""
-    from lakeloom.plans.lake_demo import full_load
+    return lake_demo.full_load(spark, sf_dir)
 
-    return full_load(spark, sf_dir)
+
+def lake_two_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two full loads, both waiting in one batch: each is applied in its turn."""
+    return lake_demo.full_load(spark, sf_dir, at_once=True)
 
 
 def lake_scd2_valid_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension after the same: quarantined rows make no version, deletions are carried."""
-    from lakeloom.plans.lake_demo import scd2_valid_only
-
-    return scd2_valid_only(spark, sf_dir)
+    return lake_demo.scd2_valid_only(spark, sf_dir)
 
 
-for _stage in (incremental_ingest, lake_full_load, lake_scd2_valid_only):
+for _stage in (incremental_ingest, lake_full_load, lake_two_snapshots, lake_scd2_valid_only):
     QUERIES[_stage.__name__] = _stage

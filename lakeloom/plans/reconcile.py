@@ -30,11 +30,14 @@ def result(one: DataFrame, check: str, entity: str, source: Column, target: Colu
 
 
 def row_flow(entity: str, bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, key: list[str]) -> DataFrame:
-    """Every key that came in is in silver or in quarantine: counted by distinct keys, so reruns don't add up."""
-    keys = lambda df: df.select(*key).distinct()
-    there = keys(silver).unionByName(keys(quarantine)).distinct()
-    a, b = keys(bronze).agg(F.count("*").alias("a")), there.agg(F.count("*").alias("b"))
-    return result(a.join(F.broadcast(b)), "row_flow", entity, F.col("a"), F.col("b"), F.col("b") <= F.col("a"))
+    """Every key that came in is in silver or in quarantine: how many came, and how many of those are there.
+
+    Distinct keys count (NULL is one), so reruns don't add up; keys that never came don't make up for lost ones.
+    """
+    side = lambda df, came, there: df.select(*key, F.lit(came).alias("_came"), F.lit(there).alias("_there"))
+    both = side(bronze, 1, 0).unionByName(side(silver, 0, 1)).unionByName(side(quarantine, 0, 1))
+    one = both.groupBy(*key).agg(F.max("_came").alias("_came"), F.max("_there").alias("_there")).where("_came = 1").agg(F.count("*").alias("a"), F.coalesce(F.sum("_there"), F.lit(0)).alias("b"))
+    return result(one, "row_flow", entity, F.col("a"), F.col("b"), F.col("a") == F.col("b"))
 
 
 def soft_delete_rate(entity: str, silver: DataFrame, limit: float = DELETE_LIMIT) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
@@ -59,7 +60,11 @@ def run_bronze(spark: SparkSession, env: Environment, entities: dict[str, Entity
 
 
 def silver_table(spark: SparkSession, env: Environment, entity: Entity) -> Table:
-    return Table(spark, env.table_path("silver", entity.name), list(entity.primary_key), list(entity.partition_by), list(entity.cluster_by))
+    return Table(spark, env.table_path("silver", entity.name), list(entity.primary_key), list(entity.partition_by), list(entity.cluster_by), buckets=env.buckets)
+
+
+def dimension_table(spark: SparkSession, env: Environment, entity: Entity) -> Table:
+    return Table(spark, env.table_path("gold", f"dim_{entity.name}"), list(entity.primary_key), buckets=env.buckets)
 
 
 def derive(df: DataFrame, name: str) -> DataFrame:
@@ -79,48 +84,87 @@ def derive(df: DataFrame, name: str) -> DataFrame:
 def process_silver(spark: SparkSession, env: Environment, entity: Entity, rules: list, audit: Audit, batch_id: str) -> dict:
     """Unwrap, standardise, deduplicate, check, merge, and write the dimension's history, of new batches alone.
 
-    A full load's state is its last batch that has rows: rows that it lacks are soft-deleted. The table's
-    version names the batches it holds, so a batch whose entity failed comes again with the next.
+    Each snapshot of a full load is applied in its turn, also where a batch brings several (dt folders) or
+    several batches wait: rows that one lacks are soft-deleted, and come back with the next that has them. The
+    table's notes name the batches it holds, so a batch whose entity failed comes again with the next.
     """
-    table, key = silver_table(spark, env, entity), list(entity.primary_key)
+    table = silver_table(spark, env, entity)
     done = table.metrics().get("batches", [])
-    new = [b for b in bronze_batches(spark, env, entity) if b not in done]
+    new = bronze_batches(spark, env, entity, done)
+    out = {"status": "SUCCESS", "rows": 0, "quarantined": 0}
     if not new:
-        return {"status": "SUCCESS", "rows": 0, "quarantined": 0}
-    full = entity.load_type is LoadType.FULL
-    tidy = tidied(spark, env, entity, new[-1:] if full else new)
-    latest = deduplicate(tidy, key, list(entity.order_by or (entity.watermark,)))
-    # checks, quarantine, merge and metrics all read what is written down here once
+        return out
+    if entity.load_type is not LoadType.FULL:
+        steps = [(tidied(spark, env, entity, new), new[-1], [*done, *new])]
+    else:
+        steps = []
+        for batch in new:
+            delivery, held = tidied(spark, env, entity, [batch]), done + new[: new.index(batch)]
+            # as many dates as the batch has folders
+            dates = sorted((r[0] for r in delivery.select("dt").distinct().collect()), key=str) if "dt" in delivery.columns else [None]
+            for k, date in enumerate(dates):
+                snapshot = delivery.where(F.col("dt").eqNullSafe(F.lit(date))) if "dt" in delivery.columns else delivery
+                steps.append((snapshot, f"{batch}-{date}" if date is not None else batch, [*held, batch] if k == len(dates) - 1 else held))
+    for delivery, name, batches in steps:
+        rows, quarantined = _silver_step(spark, env, entity, rules, audit, batch_id, delivery, name, batches)
+        out["rows"] += rows
+        out["quarantined"] += quarantined
+    return out
+
+
+def _silver_step(spark: SparkSession, env: Environment, entity: Entity, rules: list, audit: Audit, batch_id: str, delivery: DataFrame, name: str, batches: list[str]) -> tuple[int, int]:
+    """One delivery (of incremental batches, or one snapshot) into silver, quarantine and the dimension."""
+    table, key = silver_table(spark, env, entity), list(entity.primary_key)
     staged = f"{env.table_path('silver', entity.name)}_staged"
-    latest.write.mode("overwrite").parquet(staged)
-    latest = spark.read.schema(latest.schema).parquet(staged)
+
+    def stage(flagged: DataFrame) -> DataFrame:
+        # checks, quarantine and merge all read what is written down here once
+        flagged.write.mode("overwrite").parquet(staged)
+        return spark.read.schema(flagged.schema).parquet(staged)
 
     def reference(table: str) -> DataFrame | None:
         t = Table(spark, env.table_path("silver", table))
         return t.read() if t.exists() else None
 
-    quarantine = Table(spark, env.table_path("silver", f"{entity.name}_quarantine"))
+    latest = deduplicate(delivery, key, list(entity.order_by or (entity.watermark,)))
     with audit.task("silver", entity.name, batch_id) as record:
         try:
-            outcome = evaluate(latest, rules, env.fail_threshold, reference, audit.trailing_mean_rows(entity.name, "silver"))
+            outcome = evaluate(latest, rules, env.fail_threshold, reference, audit.trailing_mean_rows(entity.name, "silver"), stage=stage)
         except FatalQualityError as e:
             audit.quality(entity.name, "silver", batch_id, e.outcome)
-            quarantine.overwrite(e.outcome.quarantined.withColumn("_quarantined_at", F.current_timestamp()))
+            write_quarantine(env, entity, e.outcome.quarantined, name)
             raise
         audit.quality(entity.name, "silver", batch_id, outcome)
-        quarantine.overwrite(outcome.quarantined.withColumn("_quarantined_at", F.current_timestamp()))
-        valid = outcome.valid.drop("_dq_warnings")
-        now = F.current_timestamp()
-        if full and table.exists():
+        write_quarantine(env, entity, outcome.quarantined, name)
+        valid, before, now = outcome.valid.drop("_dq_warnings"), table.version(), F.current_timestamp()
+        if entity.load_type is LoadType.FULL and before >= 0:
             # a row that came but was quarantined isn't gone: its last valid state stays
-            kept = table.read().join(outcome.quarantined.select(*key).distinct(), key, "left_semi").select(*[c for c in valid.columns if c in table.read().columns])
-            table.overwrite(merge.snapshot_deletes(table.read(), valid.unionByName(kept, allowMissingColumns=True), key, now), batches=[*done, *new])
+            state = table.read()
+            kept = state.join(outcome.quarantined.select(*key).distinct(), key, "left_semi").select(*[c for c in valid.columns if c in state.columns])
+            table.overwrite(merge.snapshot_deletes(state, valid.unionByName(kept, allowMissingColumns=True), key, now), batches=batches)
         else:
-            table.merge(merge.with_soft_delete(valid, now), entity.watermark, batches=[*done, *new])
+            table.merge(merge.with_soft_delete(valid, now), entity.watermark, batches=batches)
         if entity.scd_type is not SCDType.NONE:
-            _write_dimension(spark, env, entity, new, rules, now)
+            _write_dimension(spark, env, entity, delivery, before, rules, now)
         record.rows_in, record.rows_out, record.rows_quarantined = outcome.rows_in, outcome.rows_valid, outcome.rows_quarantined
-    return {"status": "SUCCESS", "rows": outcome.rows_valid, "quarantined": outcome.rows_quarantined}
+    return outcome.rows_valid, outcome.rows_quarantined
+
+
+def quarantine_path(env: Environment, entity: Entity) -> str:
+    return f"{env.table_path('silver', entity.name)}_quarantine"
+
+
+def write_quarantine(env: Environment, entity: Entity, bad: DataFrame, step: str) -> None:
+    """A folder for each delivery: one that comes again replaces its own, all others stay."""
+    folder = re.sub(r"[^\w.-]", "_", step)
+    bad.withColumn("_quarantined_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{quarantine_path(env, entity)}/_delivery={folder}")
+
+
+def read_quarantine(spark: SparkSession, env: Environment, entity: Entity) -> DataFrame | None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(quarantine_path(env, entity))
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(quarantine_path(env, entity))
 
 
 def tidied(spark: SparkSession, env: Environment, entity: Entity, batches: list[str] | None = None) -> DataFrame:
@@ -131,25 +175,29 @@ def tidied(spark: SparkSession, env: Environment, entity: Entity, batches: list[
     return derive(standardise(bronze, entity.exclude), entity.name)
 
 
-def _write_dimension(spark: SparkSession, env: Environment, entity: Entity, new: list[str], rules: list, now) -> None:
-    """The dimension after new batches: only rows that pass their rules make versions; deletions are carried."""
-    table = Table(spark, env.table_path("gold", f"dim_{entity.name}"), list(entity.primary_key))
-    key, state = list(entity.primary_key), silver_table(spark, env, entity).read()
+def _write_dimension(spark: SparkSession, env: Environment, entity: Entity, delivery: DataFrame, before: int, rules: list, now) -> None:
+    """The dimension after one delivery, of that delivery and the dimension's own versions alone.
+
+    Only rows that pass their rules make versions. Deletions come from what has changed in silver since version
+    `before`. With buckets only those of the keys concerned are read and written.
+    """
+    table, silver, key = dimension_table(spark, env, entity), silver_table(spark, env, entity), list(entity.primary_key)
+    state = silver.changes(before).where("_change_type <> 'delete'").drop("_change_type") if before >= 0 else silver.read()
     if entity.scd_type is SCDType.SCD1:
         table.merge(scd1(state, entity.name, key, now), always=True)
         return
-
-    def valid(df: DataFrame) -> DataFrame:
-        return route(flag(df, [r for r in rules if not r.is_batch and bindable(r, df.columns, df)]))[0].drop("_dq_warnings")
-
-    changes = valid(tidied(spark, env, entity))
-    if table.exists():
-        # keys of the new batches, with all their deliveries, so a late change is sliced among those after it
-        changes = changes.join(tidied(spark, env, entity, new).select(*key).distinct(), key, "left_semi")
+    changes = route(flag(delivery, [r for r in rules if not r.is_batch and bindable(r, delivery.columns, delivery)]))[0].drop("_dq_warnings")
     when = entity.watermark if entity.watermark in changes.columns else "updated_at" if "updated_at" in changes.columns else "_ingest_ts"
     changes = changes.withColumn(when, F.col(when).cast("timestamp"))
-    sliced = apply_scd2(table.read(), changes, key, list(entity.tracked), when, entity.name) if table.exists() else scd2(changes, key, list(entity.tracked), when, entity.name)
-    table.overwrite(merge.carry_deletes(sliced, state, key))
+    gone = state.select(*key, F.col("is_deleted").alias("_gone"))
+    if not table.exists():
+        first = scd2(changes, key, list(entity.tracked), when, entity.name)
+        table.overwrite(merge.carry_deletes(first, gone))
+        return
+    keys = changes.select(*key).unionByName(gone.select(*key)).distinct()
+    near = table.read(buckets=table.touched(keys) if table.buckets else None).join(keys, key, "left_semi")
+    sliced = apply_scd2(near, changes, key, list(entity.tracked), when, entity.name)
+    table.replace(keys, merge.carry_deletes(sliced, gone, near))
 
 
 def run_silver(spark: SparkSession, env: Environment, entities: dict[str, Entity], batch_id: str) -> dict[str, dict]:
@@ -212,9 +260,10 @@ def infer_members(lake: Lake) -> dict[str, int]:
         source = NAMED_BY.get(dimension)
         if source and lake.there(dimension, "gold") and lake.there(source) and key in lake.silver(source).columns:
             now = lake.gold(dimension)
-            more = add_inferred_members(now, lake.silver(source), key, dimension.removeprefix("dim_"))
-            if missing := more.where("is_inferred").join(now.where("is_inferred").select(key), key, "left_anti").count():
-                lake.table("gold", dimension).overwrite(more)
+            placeholders = add_inferred_members(now.limit(0), lake.silver(source).join(now.select(key).distinct(), key, "left_anti"), key, dimension.removeprefix("dim_"))
+            table = lake.table("gold", dimension)
+            table.append(placeholders)
+            if missing := table.history()[-1]["metrics"]["rows"]:
                 out[dimension] = missing
     return out
 
@@ -275,8 +324,8 @@ def run_reconcile(spark: SparkSession, env: Environment) -> list[dict]:
         if lake.there(name):
             key = list(entity.primary_key)
             bronze = tidied(spark, env, entity, lake.table("silver", name).metrics().get("batches"))
-            quarantine = lake.silver(f"{name}_quarantine") if lake.there(f"{name}_quarantine") else bronze.limit(0)
-            checks += [reconcile.row_flow(name, bronze, lake.silver(name), quarantine, key), reconcile.soft_delete_rate(name, lake.silver(name))]
+            quarantine = read_quarantine(spark, env, entity)
+            checks += [reconcile.row_flow(name, bronze, lake.silver(name), bronze.limit(0) if quarantine is None else quarantine, key), reconcile.soft_delete_rate(name, lake.silver(name))]
     checks += [reconcile.grain(name, lake.gold(name), key) for name, key in GRAIN.items() if lake.there(name, "gold")]
     if lake.there("fact_sales", "gold"):
         sales = lake.gold("fact_sales")

@@ -15,6 +15,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder where all executors see it: under spark.checkpoint.dir, else (one machine) a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="lake-")
@@ -23,7 +25,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "ingest")
-    env = Environment(name="demo", warehouse=f"{root}/warehouse", landing_root=f"{root}/landing", checkpoint_root=f"{root}/checkpoints", schema_root=f"{root}/schemas".removeprefix("file://"))
+    env = Environment(name="demo", warehouse=f"{root}/warehouse", landing_root=f"{root}/landing", checkpoint_root=f"{root}/checkpoints", schema_root=f"{root}/schemas")
     entity = Entity(name="events", source=Source(system="clickstream", format="parquet", path_glob="events/dt=*/*.parquet"), load_type="incremental", primary_key=["event_id"], watermark="ts", order_by=["ts"])
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
     parts = {"first": events.where("dt < '2024-01-16'"), "second": events.where("dt >= '2024-01-16'")}

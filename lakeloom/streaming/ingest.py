@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import threading
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from lakeloom.config import Entity, Environment
 from lakeloom.functions.keys import record_hash
-from lakeloom.sources.files import RESCUED, read_stream
+from lakeloom.sources.files import FILE, FOLDER_COLUMNS, RESCUED, read_stream
 
-#: Folder columns of the landing zone; a redelivery under another date is the same record.
-FOLDER_COLUMNS = ("dt",)
 BATCH_FOLDER = "_batch"
+#: Name of the counts that a stream reports.
+METRICS = "bronze"
 
 
-def add_ingest_metadata(df: DataFrame, system: str, batch_id: str, run_id: str, file_name: bool = True) -> DataFrame:
+def add_ingest_metadata(df: DataFrame, system: str, batch_id: str, run_id: str) -> DataFrame:
     """Adds provenance; the hash covers source columns alone, without folder columns."""
     own = sorted(c for c in df.columns if not c.startswith("_") and c not in FOLDER_COLUMNS)
-    # the file's path comes first: it is known at the scan alone
-    out = df.withColumn("_file_name", F.col("_metadata.file_path")) if file_name else df.withColumn("_file_name", F.lit(None).cast("string"))
+    out = df if FILE in df.columns else df.withColumn(FILE, F.lit(None).cast("string"))
     return out.withColumns(
         {
             "_ingest_ts": F.current_timestamp(),
@@ -31,11 +34,71 @@ def add_ingest_metadata(df: DataFrame, system: str, batch_id: str, run_id: str,
     )
 
 
-def write_bronze(df: DataFrame, target: str, checkpoint: str) -> None:
-    """Runs the stream over what is there now. A folder for each batch, so that a batch is read alone."""
-    folder = df.withColumn(BATCH_FOLDER, F.concat(F.lit("b-"), F.col("_batch_id")))
+class Progress(StreamingQueryListener):
+    """What queries have counted over all their micro-batches: rows, rows that didn't parse, micro-batches."""
+
+    def __init__(self):
+        self.totals: dict[str, dict] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def expect(self, run: str) -> None:
+        self.totals.setdefault(run, {"rows": 0, "rescued": 0, "micro_batches": 0})
+        self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self.expect(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        run, seen = str(event.progress.runId), event.progress.observedMetrics
+        self.expect(run)
+        if METRICS in seen:
+            row = seen[METRICS].asDict()
+            self.totals[run]["micro_batches"] += 1
+            for k in ("rows", "rescued"):
+                self.totals[run][k] += row[k] or 0
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.expect(str(event.runId))
+        self.ended[str(event.runId)].set()
+
+    def of(self, run: str, wait: float = 60) -> dict:
+        """A finished query's totals; events come a little after its end."""
+        self.expect(run)
+        if not self.ended[run].wait(wait):
+            raise TimeoutError("the query's progress didn't come")
+        self.ended.pop(run)
+        return self.totals.pop(run)
+
+
+_LISTENERS: dict[tuple, Progress] = {}
+_REGISTER = threading.Lock()
+
+
+def progress_of(spark: SparkSession) -> Progress:
+    """The session's listener; the first caller adds it."""
+    with _REGISTER:
+        session = (spark.sparkContext.applicationId, id(spark))
+        if session not in _LISTENERS:
+            _LISTENERS.clear()  # of sessions that have ended
+            _LISTENERS[session] = Progress()
+            spark.streams.addListener(_LISTENERS[session])
+        return _LISTENERS[session]
+
+
+def write_bronze(df: DataFrame, target: str, checkpoint: str) -> dict:
+    """Runs the stream over what is there now; its counts come from the pass that writes.
+
+    A folder for each batch, so that a batch is read alone.
+    """
+    progress = progress_of(df.sparkSession)
+    bad = F.count_if(F.col(RESCUED).isNotNull()) if RESCUED in df.columns else F.sum(F.lit(0))
+    folder = df.withColumn(BATCH_FOLDER, F.concat(F.lit("b-"), F.col("_batch_id"))).observe(METRICS, F.count(F.lit(1)).alias("rows"), bad.alias("rescued"))
     query = folder.writeStream.format("parquet").partitionBy(BATCH_FOLDER).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
     query.awaitTermination()
+    return progress.of(str(query.runId))
 
 
 def read_bronze(spark: SparkSession, env: Environment, entity: Entity, batches: list[str] | None = None) -> DataFrame:
@@ -46,10 +109,17 @@ def read_bronze(spark: SparkSession, env: Environment, entity: Entity, batches:
     return df.drop(BATCH_FOLDER)
 
 
-def bronze_batches(spark: SparkSession, env: Environment, entity: Entity) -> list[str]:
-    """Batch ids in the order they came."""
-    df = spark.read.option("mergeSchema", "true").parquet(bronze_path(env, entity))
-    rows = df.groupBy("_batch_id").agg(F.min("_ingest_ts").alias("at")).orderBy("at", "_batch_id").collect()
+def bronze_batches(spark: SparkSession, env: Environment, entity: Entity, but: list[str] | tuple[str, ...] = ()) -> list[str]:
+    """Batch ids in the order they came, without those named; only the batches that are left are read."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(bronze_path(env, entity))
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
+    there = {unquote(n.removeprefix(f"{BATCH_FOLDER}=b-")) for n in names if n.startswith(f"{BATCH_FOLDER}=b-")} - set(but)
+    if len(there) < 2:
+        return sorted(there)
+    rows = read_bronze(spark, env, entity, sorted(there)).groupBy("_batch_id").agg(F.min("_ingest_ts").alias("at")).orderBy("at", "_batch_id").collect()
     return [r["_batch_id"] for r in rows]
 
 
@@ -58,10 +128,9 @@ def bronze_path(env: Environment, entity: Entity) -> str:
 
 
 def ingest_entity(spark: SparkSession, env: Environment, entity: Entity, batch_id: str, run_id: str) -> dict:
-    """One entity's new files into Bronze, and the report on this batch (counted from the table)."""
+    """One entity's new files into Bronze, and what the pass that wrote them counted."""
     stream = add_ingest_metadata(read_stream(spark, env, entity), entity.source.system, batch_id, run_id)
-    write_bronze(stream, bronze_path(env, entity), env.checkpoint_path(entity.name))
-    return validate_bronze(read_bronze(spark, env, entity, [batch_id]))
+    return write_bronze(stream, bronze_path(env, entity), env.checkpoint_path(entity.name))
 
 
 def validate_bronze(batch: DataFrame) -> dict:

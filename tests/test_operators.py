@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,8 +119,8 @@ def test_merge_is_idempotent_and_ignores_old(spark):
     assert rows(once, "id", "v") == sorted([(1, "A"), (2, "B"), (3, "c"), (4, "D"), (None, "N")], key=repr)
     assert rows(merge.merge(once, source, ["id"]), "*") == rows(once, "*")
     assert merge.merge_metrics(target, source, ["id"]).first().asDict() == {"inserted": 1, "updated": 3, "ignored": 1}
-    with pytest.raises(ValueError):
-        merge.assert_unique(source.unionAll(source), ["id"])
+    marked = merge.merge_marked(target, source.withColumn("_merge_copies", F.lit(1)), ["id"])
+    assert rows(marked.where("_merge_kind is not null"), "id", "_merge_kind", "_merge_copies") == sorted([(1, "updated", 1), (2, "updated", 1), (3, "ignored", 1), (4, "inserted", 1), (None, "updated", 1)], key=repr)
 
 
 HISTORY = "id int, c string, at timestamp"
@@ -139,6 +140,44 @@ def test_scd2_intervals(spark):
     assert rows(late, "id", "c", "effective_end_ts", "is_current") == rows(dim, "id", "c", "effective_end_ts", "is_current")
 
 
+def test_late_changes_equal_a_full_rebuild(spark):
+    """Random histories with ties and unchanged deliveries, in random batches: as if all had come at once."""
+    random.seed(4)
+    changes = [(k, random.choice("aab") if k % 3 else random.choice("ab"), T(2020, 1, random.randint(1, 28))) for k in range(60) for _ in range(random.randint(1, 14))]
+    frame = lambda part: spark.createDataFrame(part, HISTORY)
+    random.shuffle(changes)
+    dim = scd.scd2(frame(changes[:150]), ["id"], ["c"], "at", "things")
+    for a, b in ((150, 157), (157, 300), (300, len(changes))):
+        kept = dim.toArrow()  # cuts the plan, as a written table does
+        dim = scd.apply_scd2(spark.createDataFrame(kept, dim.schema), frame(changes[a:b]), ["id"], ["c"], "at", "things")
+    whole = scd.scd2(frame(changes), ["id"], ["c"], "at", "things")
+    seen = F.array_sort("_seen").cast("string").alias("seen")
+    columns = ("id", "c", "at", "effective_start_ts", "effective_end_ts", "is_current", "things_sk", seen)
+    assert rows(dim, *columns) == rows(whole, *columns)
+
+
+def test_as_of_join_of_a_hot_key(spark):
+    """10,000 versions of one key and as many facts: every operator's output stays linear."""
+    n = 10_000
+    dim = spark.range(n).selectExpr("1 as id", "cast(id as string) as c", "timestamp_seconds(id * 3600) as effective_start_ts", "timestamp_seconds((id + 1) * 3600) as effective_end_ts")
+    facts = spark.range(n).selectExpr("1 as id", "id as f", "timestamp_seconds(id * 3601) as t")
+    got = scd.as_of_join(facts, dim, "id", "t", ["c"])
+    assert {r.f: r.c for r in got.collect()} == {f: str(f * 3601 // 3600) if f * 3601 < n * 3600 else None for f in range(n)}
+    metrics, nodes = [], [got._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.metrics().contains("numOutputRows"):
+            metrics.append(node.metrics().apply("numOutputRows").value())
+        for get in ("executedPlan", "plan"):
+            try:
+                nodes.append(getattr(node, get)())
+            except Exception:
+                pass
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    assert metrics and max(metrics) <= 3 * n
+
+
 def test_as_of_join_and_inferred(spark):
     dim = scd.scd2(spark.createDataFrame([(1, "a", T(2020, 1, 1)), (1, "b", T(2020, 3, 1))], HISTORY), ["id"], ["c"], "at", "things")
     facts = spark.createDataFrame([(1, T(2019, 1, 1)), (1, T(2020, 3, 1)), (1, T(2020, 2, 29, 23, 59, 59, 999999)), (7, T(2020, 1, 1)), (None, None)], "id int, t timestamp")
