@@ -241,6 +241,8 @@ def rescued(raw: DataFrame, schema: T.StructType, broken: str | None = None) ->
             kept.append(F.from_json(F.to_json(value), f.dataType).alias(f.name))
             continue
         cast = F.from_json(value, f.dataType) if nested else value.try_cast(f.dataType)
+        if kinds[f.name] not in ("string", "binary"):  # numbers that would be cut don't fit
+            cast = F.when(cast.try_cast(kinds[f.name]).eqNullSafe(value), cast)
         kept.append(cast.alias(f.name))
         left[f.name] = F.when(cast.isNull() & value.isNotNull(), value.cast("string"))
     for c in raw.columns:

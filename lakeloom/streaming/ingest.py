@@ -102,24 +102,38 @@ def write_bronze(df: DataFrame, target: str, checkpoint: str) -> dict:
 
 
 def read_bronze(spark: SparkSession, env: Environment, entity: Entity, batches: list[str] | None = None) -> DataFrame:
-    """Bronze rows, of the named batches alone if given (other folders aren't read)."""
-    df = spark.read.option("mergeSchema", "true").parquet(bronze_path(env, entity))
-    if batches is not None:
-        df = df.where(F.col(BATCH_FOLDER).isin([f"b-{b}" for b in batches]))
-    return df.drop(BATCH_FOLDER)
+    """Bronze rows, of the named batches alone if given: no file of others is opened, not even for its schema.
 
-
-def bronze_batches(spark: SparkSession, env: Environment, entity: Entity, but: list[str] | tuple[str, ...] = ()) -> list[str]:
-    """Batch ids in the order they came, without those named; only the batches that are left are read."""
+    Which files count is told by the stream's own log, so what a failed run left isn't read.
+    """
+    path = bronze_path(env, entity)
+    if batches is None:
+        return spark.read.option("mergeSchema", "true").parquet(path).drop(BATCH_FOLDER)
+    folders = batch_folders(spark, env, entity)
+    if not batches:
+        return spark.read.parquet(path).drop(BATCH_FOLDER).limit(0)
+    kinds = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*[folders[b] for b in batches]).schema
+    df = spark.read.schema(kinds).parquet(path)
+    return df.where(F.col(BATCH_FOLDER).isin([f"b-{b}" for b in batches])).drop(BATCH_FOLDER)
+
+
+def batch_folders(spark: SparkSession, env: Environment, entity: Entity) -> dict[str, str]:
+    """Batch ids and their folders, by listing alone."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(bronze_path(env, entity))
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(where):
-        return []
-    names = [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory()]
-    there = {unquote(n.removeprefix(f"{BATCH_FOLDER}=b-")) for n in names if n.startswith(f"{BATCH_FOLDER}=b-")} - set(but)
+        return {}
+    found = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(where) if f.isDirectory()}
+    head = f"{BATCH_FOLDER}=b-"
+    return {unquote(n.removeprefix(head)): p for n, p in found.items() if n.startswith(head)}
+
+
+def bronze_batches(spark: SparkSession, env: Environment, entity: Entity, but: list[str] | tuple[str, ...] = ()) -> list[str]:
+    """Batch ids in the order they came, without those named; only the batches that are left are read."""
+    there = sorted(set(batch_folders(spark, env, entity)) - set(but))
     if len(there) < 2:
-        return sorted(there)
-    rows = read_bronze(spark, env, entity, sorted(there)).groupBy("_batch_id").agg(F.min("_ingest_ts").alias("at")).orderBy("at", "_batch_id").collect()
+        return there
+    rows = read_bronze(spark, env, entity, there).groupBy("_batch_id").agg(F.min("_ingest_ts").alias("at")).orderBy("at", "_batch_id").collect()
     return [r["_batch_id"] for r in rows]
 
 
