@@ -9,9 +9,9 @@ from lakeloom.config import Entity, Environment, Rule, Source
 from lakeloom.operators.scd import apply_scd2, scd2
 from lakeloom.plans import runner
 from lakeloom.plans.audit import Audit
+from lakeloom.sources.staging import shared_folder
 from lakeloom.sources.tablestore import Table
-from lakeloom.streaming.demo import shared_folder
-from lakeloom.streaming.ingest import ingest_entity
+from lakeloom.streaming.ingest import ingest_entity, read_bronze
 
 RULES = [Rule(name="price_not_negative", type="range", severity="error", columns=["price"], min=0)]
 
@@ -63,3 +63,39 @@ def late_changes(spark: SparkSession, changes: DataFrame, late: DataFrame, key:
     near = table.read(buckets=table.touched(keys)).join(keys, key, "left_semi")
     table.replace(keys, apply_scd2(near, late, key, tracked, changed_at, entity))
     return table.read()
+
+
+def merge_counts(spark: SparkSession, state: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
+    """What a merge into buckets counted while it wrote, beside the rows that are then there."""
+    table = Table(spark, f"{shared_folder(spark, 'counted')}/orders", key, buckets=16)
+    table.overwrite(state)
+    counts = table.merge(source)
+    return table.read().agg(F.count("*").alias("rows")).select(*[F.lit(v).cast("long").alias(k) for k, v in counts.items()], "rows")
+
+
+def changed_orders(spark: SparkSession, state: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
+    """The change feed of a merge: of the buckets that it wrote alone."""
+    table = Table(spark, f"{shared_folder(spark, 'feed')}/orders", key, buckets=16)
+    table.overwrite(state)
+    table.merge(source)
+    return table.changes(0)
+
+
+def evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of three deliveries of orders as json lines: the second has longer keys and a column more, the third
+    a column less; every 10th line of it has a total that is no number, every 11th isn't json."""
+    root = shared_folder(spark, "evolved")
+    env = Environment(name="demo", warehouse=f"{root}/warehouse", landing_root=f"{root}/landing", checkpoint_root=f"{root}/checkpoints", schema_root=f"{root}/schemas")
+    entity = Entity(name="orders", source=Source(system="erp", format="json", path_glob="orders/dt=*/*.txt"), load_type="incremental", primary_key=["id"], watermark="id", order_by=["id"])
+    k, total = F.col("o_orderkey"), F.col("o_custkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    odd = F.when(k % 10 == 0, F.concat(F.lit("about "), total.cast("string"))).otherwise(total.cast("string"))
+    deliveries = {
+        "2024-01-01": orders.where(k % 3 == 0).select(F.to_json(F.struct(k.alias("id"), total.alias("total")))),
+        "2024-01-02": orders.where(k % 3 == 1).select(F.to_json(F.struct((k + 3_000_000_000).alias("id"), total.alias("total"), F.col("o_orderstatus").alias("status")))),
+        "2024-01-03": orders.where(k % 3 == 2).select(F.when(k % 11 == 0, F.concat(F.lit("order "), k.cast("string"))).otherwise(F.to_json(F.struct(k.alias("id"), odd.alias("total"))))),
+    }
+    for date, lines in deliveries.items():
+        lines.write.text(f"{root}/landing/orders/dt={date}")
+        ingest_entity(spark, env, entity, date, "demo")
+    return read_bronze(spark, env, entity)

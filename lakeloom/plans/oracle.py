@@ -155,6 +155,14 @@ SQL = {
       FROM (SELECT k, op, lsn, status, total FROM latest_changes) c FULL JOIN state s ON c.k = s.k, LATERAL (SELECT c.k IS NOT NULL AND (s.k IS NULL OR s.lsn IS NULL OR c.lsn >= s.lsn) AS takes)""",
     "merge_metrics": f"""WITH {CHANGES}, {STATE} SELECT count(*) FILTER (WHERE s.k IS NULL) AS inserted, count(*) FILTER (WHERE s.k IS NOT NULL AND (s.lsn IS NULL OR c.lsn >= s.lsn)) AS updated,
       count(*) FILTER (WHERE s.k IS NOT NULL AND c.lsn < s.lsn) AS ignored FROM latest_changes c LEFT JOIN state s ON c.k = s.k""",
+    "lake_merge_counts": f"""WITH {CHANGES}, {STATE} SELECT count(*) FILTER (WHERE c.k IS NOT NULL AND s.k IS NULL) AS inserted, count(*) FILTER (WHERE c.k IS NOT NULL AND s.k IS NOT NULL AND (s.lsn IS NULL OR c.lsn >= s.lsn)) AS updated,
+      count(*) FILTER (WHERE s.k IS NOT NULL AND c.lsn < s.lsn) AS ignored, count(*) AS rows FROM latest_changes c FULL JOIN state s ON c.k = s.k""",
+    "lake_change_feed": f"""WITH {CHANGES}, {STATE} SELECT c.k AS order_id, c.status, c.lsn AS _source_lsn, CASE WHEN s.k IS NULL THEN 'insert' ELSE 'update' END AS change_type
+      FROM latest_changes c LEFT JOIN state s ON c.k = s.k WHERE c.k % 5 = 0 AND (s.k IS NULL OR s.lsn IS NULL OR c.lsn >= s.lsn) AND (s.k IS NULL OR c.status IS DISTINCT FROM s.status OR c.total IS DISTINCT FROM s.total OR c.lsn IS DISTINCT FROM s.lsn)""",
+    "lake_rescued_data": """SELECT o_orderkey AS id, o_custkey AS total, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS rescued, '2024-01-01' AS batch FROM orders WHERE o_orderkey % 3 = 0
+      UNION ALL SELECT o_orderkey + 3000000000, o_custkey, o_orderstatus, NULL, '2024-01-02' FROM orders WHERE o_orderkey % 3 = 1
+      UNION ALL SELECT CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey END, CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 10 <> 0 THEN o_custkey END, NULL,
+        CASE WHEN o_orderkey % 11 = 0 THEN '{"_broken":"order ' || o_orderkey || '"}' WHEN o_orderkey % 10 = 0 THEN '{"total":"about ' || o_custkey || '"}' END, '2024-01-03' FROM orders WHERE o_orderkey % 3 = 2""",
     "cdc_soft_delete": f"WITH {CHANGES} SELECT k AS order_id, true AS is_deleted, TIMESTAMP '2024-02-01' AS deleted_at FROM latest_changes WHERE op = 'd'",
     "cdc_changed_columns": """SELECT o_orderkey AS order_id, o_orderkey * 10 + 5 AS lsn, 'status' || CASE WHEN o_totalprice * 2 <> o_totalprice THEN ',total' ELSE '' END AS changed FROM orders WHERE o_orderkey % 3 = 0
       UNION ALL SELECT o_orderkey, o_orderkey * 10 - 1, 'status' FROM orders WHERE o_orderkey % 4 = 0""",

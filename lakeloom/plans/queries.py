@@ -164,6 +164,24 @@ def cdc_apply(t: Tables) -> DataFrame:
     return lake_demo.merged_orders(t.spark, _state(t), source, ["order_id"])
 
 
+@query
+def lake_merge_counts(t: Tables) -> DataFrame:
+    source = _latest_changes(t).select("order_id", "status", "total", "_source_lsn").withColumn("is_deleted", F.lit(False))
+    return lake_demo.merge_counts(t.spark, _state(t), source, ["order_id"])
+
+
+@query
+def lake_change_feed(t: Tables) -> DataFrame:
+    source = _latest_changes(t).where("order_id % 5 = 0").select("order_id", "status", "total", "_source_lsn").withColumn("is_deleted", F.lit(False))
+    return lake_demo.changed_orders(t.spark, _state(t), source, ["order_id"]).select("order_id", "status", "_source_lsn", F.col("_change_type").alias("change_type"))
+
+
+@query
+def lake_rescued_data(t: Tables) -> DataFrame:
+    """Deliveries whose schema changes: what is read, and what of a line didn't fit."""
+    return lake_demo.evolved(t.spark, t.dir).select("id", "total", "status", F.col("_rescued_data").alias("rescued"), F.col("_batch_id").alias("batch"))
+
+
 @query
 def merge_metrics(t: Tables) -> DataFrame:
     source = _latest_changes(t).select("order_id", "status", "total", "_source_lsn")

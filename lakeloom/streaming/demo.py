@@ -2,27 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.config import Entity, Environment, Source
+from lakeloom.sources.staging import shared_folder
 from lakeloom.streaming.ingest import bronze_path, ingest_entity
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors see it: under spark.checkpoint.dir, else (one machine) a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="lake-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "ingest")
     env = Environment(name="demo", warehouse=f"{root}/warehouse", landing_root=f"{root}/landing", checkpoint_root=f"{root}/checkpoints", schema_root=f"{root}/schemas")
