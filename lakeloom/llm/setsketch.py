@@ -16,7 +16,9 @@ n + M log M points instead of n * M.
    there, as long as they join something.
 3. Rest: in buckets that are still open, members of different components meet if their sizes allow a link,
    they share at least two bands, and at most UNLIKE of their registers differ in the last bit (10 % do at 0.8;
-   the limit is 6 standard deviations above). Each such pair is made once, then estimated and verified likewise.
+   the limit is 6 standard deviations above). N-grams that no other member of open buckets has are in no
+   intersection, and hashed bitmaps of the others bound what two sets share from above, so copies that differ
+   much from each other never make a pair. Each pair that is left is made once, then estimated and verified.
 
 So a large group of near copies costs as many pairs as it has members. No bucket is capped.
 
@@ -51,11 +53,13 @@ BAND = 5
 SLACK = 0.15
 #: Last bits of M registers that may differ.
 UNLIKE = 55
+#: Words of 64 bits of a bitmap of n-grams.
+WORDS = 16
 #: A task sketches this many n-grams at once.
 AT_ONCE = 1_000_000
 _TOP = 65_535
 #: Rounds of stars at most; what they leave open goes to the rest.
-STARS = 4
+STARS = 2
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -161,15 +165,8 @@ def link(docs: DataFrame, n: int = 2, num: int = 80, den: int = 100, scratch: Sc
     docs = docs.select("doc_id", "text")
     rows = scratch.save(sketched(docs, n), "rows")
     nodes = scratch.save(rows.where("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("bits").alias("bits")), "distinct")
-    ids = rows.drop("registers", "bits")
-
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        hopeful = scratch.save(likely(pairs, nodes, num / den - SLACK), f"hopeful{name}")
-        wanted = hopeful.select(F.col("a").alias("k")).unionByName(hopeful.select(F.col("b").alias("k"))).distinct()
-        sets = scratch.save(whole_sets(docs, ids, wanted, n), f"sets{name}")
-        edges = scratch.save(verified(hopeful, sets, num, den), f"edges{name}")
-        scratch.drop(f"sets{name}", f"hopeful{name}")
-        return edges
+    ids = scratch.save(rows.drop("registers", "bits"), "ids")
+    scratch.drop("rows")
 
     def sizes_fit(a: str, b: str):
         return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
@@ -178,9 +175,18 @@ def link(docs: DataFrame, n: int = 2, num: int = 80, den: int = 100, scratch: Sc
     places = nodes.select("k", "n", F.explode(bands).alias("s"))
     shared = scratch.save(places.groupBy("s").agg(F.count("*").alias("c")).where("c > 1"), "shared")
     places = scratch.save(places.join(shared, "s"), "places")
+    # from here on only nodes that share a band with another: their registers and whole sets
+    nodes = scratch.save(nodes.join(places.select("k").distinct(), "k"), "active")
+    sets = scratch.save(whole_sets(docs, ids, nodes.select("k"), n), "sets")
     weights = places.groupBy("k").agg(F.sum("c").alias("weight"))
     buckets = scratch.save(places.drop("c").join(weights, "k").withColumn("component", F.col("k")), "buckets0")
-    scratch.drop("shared", "places")
+    scratch.drop("shared", "places", "distinct")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        hopeful = scratch.save(likely(pairs, nodes, num / den - SLACK), f"hopeful{name}")
+        edges = scratch.save(verified(hopeful, sets, num, den), f"edges{name}")
+        scratch.drop(f"hopeful{name}")
+        return edges
 
     edges, led, joined = None, None, None
     for r in range(STARS):
@@ -205,18 +211,37 @@ def link(docs: DataFrame, n: int = 2, num: int = 80, den: int = 100, scratch: Sc
         led = led_now if led is None else led_now.unionByName(led).distinct()
         scratch.drop(f"now{r}", f"buckets{r}")
 
-    # the rest: two bands or more in common, in different components, and most registers' last bits alike
+    # the rest: two bands or more in common, in different components, most registers' last bits alike, and room for
+    # a link among the n-grams that others in open buckets have too
     once = buckets.groupBy("k").agg(F.sort_array(F.collect_set("s")).alias("bands"), F.first("n").alias("n"), F.first("component").alias("component")).where("size(bands) > 1")
-    once = once.join(nodes.select("k", "bits"), "k")
+    once = scratch.save(once, "once")
+    elements = sets.join(once.select("k"), "k").select("k", F.explode("s").alias("e"))
+    common = elements.groupBy("e").agg(F.count("*").alias("c")).where("c > 1").select("e")
+    # of those a bitmap: a bit that one set has and the other lacks is an element that they don't share
+    slot = F.pmod(F.xxhash64("e"), F.lit(64 * WORDS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot % 64)
+    words = [F.bit_or(F.when(F.floor(slot / 64) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(WORDS)]
+    room = elements.join(common, "e").groupBy("k").agg(F.count("*").alias("room"), *words)
+    once = once.join(scratch.save(room, "room"), "k").where(F.col("room") * den >= F.col("n") * num).join(nodes.select("k", *[F.col("bits")[i].alias(f"v{i}") for i in range(M // 64)]), "k")
     couples = once.withColumn("s", F.explode("bands"))
-    left = couples.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("s")
-    couples = scratch.save(couples.join(left, "s"), "couples")
-    other = couples.select("s", *[F.col(c).alias(f"{c}_b") for c in ("k", "n", "component", "bits", "bands")])
-    unlike = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(M // 64)), F.lit(0))
-    both = F.array_intersect("bands", "bands_b")
-    # a pair is made where its first common band is
-    apart = (F.col("k") < F.col("k_b")) & (F.col("component") != F.col("component_b")) & sizes_fit("n", "n_b") & (unlike <= UNLIKE) & (F.size(both) > 1) & (F.try_element_at(both, F.lit(1)) == F.col("s"))
-    apart = couples.join(other, "s").where(apart).select(F.col("k").alias("a"), F.col("k_b").alias("b"))
+    # members of a bucket's largest component meet the others, but not each other
+    each = couples.groupBy("s", "component").agg(F.count("*").alias("c"))
+    main = each.groupBy("s").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("components")).where("components > 1")
+    couples = couples.join(main.select("s", F.col("m.component").alias("main")), "s").withColumn("is_main", F.col("component") == F.col("main")).drop("bands", "main")
+    couples = scratch.save(couples, "couples")
+    # plain columns that are never NULL keep the join's test short enough to be compiled
+    plain = ["component", "n", "room", "is_main", *[f"w{i}" for i in range(WORDS)], *[f"v{i}" for i in range(M // 64)]]
+    zero = lambda c: F.lit(False) if c == "is_main" else F.lit(b"") if c == "component" else F.lit(0).cast("long")
+    couples = couples.select("s", "k", *[F.coalesce(c, zero(c)).alias(c) for c in plain])
+    other = couples.select("s", *[F.col(c).alias(f"{c}_b") for c in ("k", *plain)])
+    unlike = sum((F.bit_count(F.col(f"v{i}").bitwiseXOR(F.col(f"v{i}_b"))) for i in range(M // 64)), F.lit(0))
+    lacks = lambda x, y: sum((F.bit_count(F.col(f"w{i}{x}").bitwiseAND(F.bitwise_not(F.col(f"w{i}{y}")))) for i in range(WORDS)), F.lit(0))
+    shared_at_most = F.least(F.col("room") - lacks("", "_b"), F.col("room_b") - lacks("_b", ""))
+    enough = shared_at_most * (num + den) >= (F.col("n") + F.col("n_b")) * num
+    apart = (F.col("component") != F.col("component_b")) & (F.col("is_main_b") | (F.col("k") < F.col("k_b"))) & sizes_fit("n", "n_b") & (unlike <= UNLIKE) & enough
+    apart = couples.where("not is_main").join(other, "s").where(apart)
+    # a row for each band in common
+    apart = apart.groupBy(F.least("k", "k_b").alias("a"), F.greatest("k", "k_b").alias("b")).agg(F.count("*").alias("c")).where("c > 1").select("a", "b")
     more = confirmed(apart, "rest")
     if more.limit(1).count():
         stars = more if joined is None else more.unionByName(joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
