@@ -231,7 +231,9 @@ GRAIN = {
     "fact_customer_events": ["event_id"],
     "fact_payment": ["payment_id"],
 }
-CLUSTER = {"fact_sales": ["date_key", "product_sk"], "fact_order_fulfillment": ["date_key"], "fact_payment": ["date_key"], "fact_returns": ["date_key"], "fact_customer_events": ["date_key"], "fact_inventory_snapshot": ["date_key"]}
+CLUSTER = {"fact_sales": ["date_key", "product_sk"], "fact_order_fulfillment": ["date_key"], "fact_payment": ["date_key"], "fact_returns": ["date_key"]}
+#: Facts of which whole days are read and replaced: a folder for each.
+PARTITIONED = {"fact_customer_events": ["date_key"], "fact_inventory_snapshot": ["date_key"]}
 
 
 class Lake:
@@ -240,8 +242,8 @@ class Lake:
     def __init__(self, spark: SparkSession, env: Environment):
         self.spark, self.env = spark, env
 
-    def table(self, layer: str, name: str, cluster_by: list[str] | None = None) -> Table:
-        return Table(self.spark, self.env.table_path(layer, name), cluster_by=cluster_by)
+    def table(self, layer: str, name: str, cluster_by: list[str] | None = None, partition_by: list[str] | None = None) -> Table:
+        return Table(self.spark, self.env.table_path(layer, name), partition_by=partition_by, cluster_by=cluster_by)
 
     def silver(self, name: str) -> DataFrame:
         return self.table("silver", name).read()
@@ -310,7 +312,7 @@ def run_gold(spark: SparkSession, env: Environment, batch_id: str, only: list[st
             continue
         with audit.task("gold", name, batch_id) as record:
             frame = build()
-            table = lake.table("gold", name, [c for c in CLUSTER.get(name, ()) if c in frame.columns])
+            table = lake.table("gold", name, [c for c in CLUSTER.get(name, ()) if c in frame.columns], PARTITIONED.get(name))
             table.overwrite(frame)
             out[name] = record.rows_out = table.metrics()["rows"]
     return out

@@ -167,6 +167,8 @@ class Table:
         if n:
             # adaptive execution splits a large bucket and puts small ones together
             df = df.withColumn(BUCKET, self.bucket_of(n)).hint("rebalance", BUCKET)
+        elif self.partition_by and not self.cluster_by:
+            df = df.hint("rebalance", *self.partition_by)
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]).drop(*extra)
         df.write.partitionBy(*[BUCKET] * bool(n), *self.partition_by).parquet(f"{self.path}/{folder}")
         got = {k: v or 0 for k, v in seen.get.items()}

@@ -19,8 +19,14 @@ def test_declarations_are_consistent():
 
 
 @pytest.mark.parametrize("name", ["local", "dev", "test", "prod"])
-def test_environments(name):
+def test_environments(name, monkeypatch):
+    monkeypatch.delenv("LAKE_ROOT", raising=False)
+    if name != "local":  # no tables in a machine's own folder by default
+        with pytest.raises(C.UnsetVariable):
+            C.load_environment(name)
+    monkeypatch.setenv("LAKE_ROOT", "s3a://lake")
     env = C.load_environment(name)
+    assert env.warehouse == "s3a://lake/warehouse"
     assert env.fail_threshold < env.warn_threshold
     assert env.table("gold", "t") == ("gold.t" if name == "local" else f"{name}.gold.t")
 

@@ -68,6 +68,14 @@ def test_counts_come_from_the_write(spark, tmp_path):
     assert quality.counted(df.where("id < 17"))[0] == 17 and len(quality.counted(df)[1]) == quality.SAMPLES
 
 
+def test_partitions_prune(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "t"), partition_by=["day"])
+    t.overwrite(spark.range(0, 300, 1, 5).selectExpr("id", "cast(20240101 + id % 3 as int) as day"))
+    assert sorted(p.name for p in tmp_path.glob("t/v=*/day=*")) == [f"day=2024010{i}" for i in (1, 2, 3)]
+    assert t.read().where("day = 20240102").count() == 100 and dict(t.read().dtypes)["day"] == "int"
+    assert "PartitionFilters: [isnotnull(day" in t.read().where("day = 20240102")._jdf.queryExecution().toString()
+
+
 def test_torn_manifests_and_orphans(spark, tmp_path):
     t = Table(spark, str(tmp_path / "t"), ["id"])
     one = spark.createDataFrame([(1,)], "id int")
