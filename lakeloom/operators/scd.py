@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.functions.keys import BEGINNING, OPEN_END, record_hash, surrogate_key, versioned_key
+from lakeloom.functions.keys import BEGINNING, OPEN_END, record_hash, surrogate_key, unknown_member, versioned_key
 
 #: Column of a dimension: the instants of all deliveries of a version.
 SEEN = "_seen"
@@ -158,5 +158,5 @@ def resolve_keys(facts: DataFrame, dimensions: dict[str, tuple[DataFrame, str, s
             facts = as_of_join(facts, dimension, key, event_time, [column])
         else:
             facts = facts.join(dimension.select(F.col(key).alias("_key"), column), F.col(key) == F.col("_key"), "left").drop("_key")
-        facts = facts.withColumn(column, F.coalesce(column, F.lit(-1).cast("bigint"))).withColumnRenamed(column, name)
+        facts = facts.withColumn(column, F.coalesce(column, unknown_member())).withColumnRenamed(column, name)
     return facts

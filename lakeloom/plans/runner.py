@@ -18,10 +18,10 @@ from lakeloom.operators.dedup import deduplicate
 from lakeloom.operators.quality import FatalQualityError, bindable, evaluate, flag, route
 from lakeloom.operators.scd import add_inferred_members, apply_scd2, scd1, scd2
 from lakeloom.operators.standardise import standardise
-from lakeloom.plans import dims, facts, marts, reconcile, session_views
+from lakeloom.plans import catalog, dims, facts, marts, reconcile, session_views
 from lakeloom.plans.audit import Audit, get_logger, log_event, run_id
 from lakeloom.sources.files import control_totals
-from lakeloom.sources.session import get_spark
+from lakeloom.sources.session import get_spark, table_exists
 from lakeloom.sources.tablestore import Table
 from lakeloom.streaming.ingest import bronze_batches, ingest_entity, read_bronze
 
@@ -344,7 +344,7 @@ def run_reconcile(spark: SparkSession, env: Environment) -> list[dict]:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("stage", choices=("bronze", "silver", "gold", "reconcile", "optimize", "all"))
+    parser.add_argument("stage", choices=("bronze", "silver", "gold", "reconcile", "optimize", "publish", "all"))
     parser.add_argument("--env", default="local")
     parser.add_argument("--entity")
     parser.add_argument("--system")
@@ -372,6 +372,9 @@ def main(argv: list[str] | None = None) -> int:
             if silver_table(spark, env, e).exists():
                 silver_table(spark, env, e).optimize()
                 silver_table(spark, env, e).vacuum()
+    if args.stage == "publish":
+        lake = Lake(spark, env)
+        print(json.dumps(catalog.publish(lake) + (catalog.secure(lake) if table_exists(spark, catalog.ROLES) else [])))
     return 0 if ok else 1
 
 

@@ -37,10 +37,6 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def run_sql(spark: SparkSession, query: str) -> DataFrame:
-    return spark.sql(query)
-
-
 def rows_to_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """Driver rows under an explicit schema; keys that a row lacks are NULL."""
     names = T.StructType.fromDDL(schema).names
