@@ -13,6 +13,9 @@ their prefix elements:
 
 So a large group of near copies costs as many pairs as it has members, not their square.
 
+With sketches, pairs that can't link are left out before their whole sets travel: a bit that one sketch has and
+the other lacks is an element that the sets don't share, so no link is lost.
+
 With parts=True a bucket is one length partition of an element: partition p holds the sizes between two
 powers of the ratio, and each set also stands in the next, so sets whose sizes rule out a link never meet.
 """
@@ -28,6 +31,9 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import Scratch
 from lakeloom.llm.components import components
 
+#: Words of 64 bits of a sketch.
+SKETCH = 16
+
 
 def size_class(n: str, num: int, den: int) -> Column:
     """Sizes of one class differ by less than den / num; sets that link are in one class or in neighbours."""
@@ -42,12 +48,27 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return got.where(both * (num + den) >= num * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def linked_components(nodes: DataFrame, whole_sets: Callable[[DataFrame], DataFrame], num: int, den: int, scratch: Scratch, parts: bool = False) -> DataFrame:
+def sketch(s: str) -> Column:
+    """A bitmap of a column of sets of 32-bit hashes: the first four bits of a hash name one of SKETCH words, the last six its bit."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    word = lambda w: F.aggregate(F.filter(s, lambda h: F.shiftright(h, 28) == w), F.lit(0).cast("long"), lambda a, h: a.bitwiseOR(bit(h)))
+    return F.transform(F.sequence(F.lit(0), F.lit(SKETCH - 1)), word)
+
+
+def plausible(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that may link: sets that do differ in few elements, and so do their sketches (k, n, sketch)."""
+    x, y = (sketches.select(F.col("k").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"sketch{k}")) for k in "ab")
+    unlike = F.aggregate(F.zip_with("sketcha", "sketchb", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda c, d: c + d)
+    got = pairs.join(x, "a").join(y, "b")
+    return got.where(unlike * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)).select("a", "b")
+
+
+def linked_components(nodes: DataFrame, whole_sets: Callable[[DataFrame], DataFrame], num: int, den: int, scratch: Scratch, parts: bool = False, sketches: DataFrame | None = None) -> DataFrame:
     """(k, component) of the nodes that link with another; a component is its smallest k.
 
     nodes: k, n (size, at least 1), weight (how frequent the prefix is), prefix (elements of the set, the
-    first in the global order). whole_sets gives (k, s) for a frame of k. Two sets link when
-    den * intersection >= num * union.
+    first in the global order). whole_sets gives (k, s) for a frame of k. sketches: k, n, sketch of every node. Two
+    sets link when den * intersection >= num * union.
     """
     on = ["s", "p"] if parts else ["s"]
     # groups: nodes with one prefix and one size, named after their least node
@@ -76,10 +97,12 @@ def linked_components(nodes: DataFrame, whole_sets: Callable[[DataFrame], DataFr
     star = star.join(mine, "gb").select("a", "b")
     within = members.where((F.col("members") > 1) & (F.col("k") != F.col("g"))).select(F.col("g").alias("a"), F.col("k").alias("b"))
     star = scratch.save(star.unionByName(within), "star")
+    if sketches is not None:
+        star = scratch.save(plausible(star, sketches, num, den), "star_left")
     wanted = star.select(F.col("a").alias("k")).unionByName(star.select(F.col("b").alias("k"))).distinct()
     sets = scratch.save(whole_sets(wanted), "sets")
     edges = scratch.save(verified(star, sets, num, den), "edges")
-    scratch.drop("sets", "star")
+    scratch.drop("sets", *[n for n in ("star", "star_left") if n in scratch.paths])
     joined = scratch.save(components(edges, scratch), "joined")
 
     # the rest: pairs of groups that aren't all in one component
@@ -102,9 +125,11 @@ def linked_components(nodes: DataFrame, whole_sets: Callable[[DataFrame], DataFr
     rest = pairs.join(left, "g1").join(right, "g2").where((F.col("ca") != F.col("cb")) & ((F.col("g1") != F.col("g2")) | (F.col("a") < F.col("b")))).select("a", "b")
     rest = scratch.save(rest, "rest")
     scratch.drop("buckets", "spread", "lead")
+    if sketches is not None:
+        rest = scratch.save(plausible(rest, sketches, num, den), "rest_left")
     wanted = rest.select(F.col("a").alias("k")).unionByName(rest.select(F.col("b").alias("k"))).distinct()
     sets = scratch.save(whole_sets(wanted), "sets")
     more = scratch.save(verified(rest, sets, num, den), "more")
-    scratch.drop("sets", "rest")
+    scratch.drop("sets", *[n for n in ("rest", "rest_left") if n in scratch.paths])
     stars = joined.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     return scratch.save(components(stars.unionByName(more), scratch), "final").select(F.col("node").alias("k"), "component")

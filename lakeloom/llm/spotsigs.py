@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import Scratch, read
-from lakeloom.llm.setjoin import linked_components
+from lakeloom.llm.setjoin import linked_components, sketch
 
 CHAIN = 2
 #: Anchors: common words of the languages at hand. A parameter of signatures().
@@ -148,33 +148,34 @@ def frequencies(sets: DataFrame) -> Column:
     return F.split(F.lit(",".join(str(levels.get(i, 0)) for i in range(COUNTED))), ",").cast("array<int>")
 
 
-def near_groups(signed: DataFrame, scratch: Scratch, hundredths: int = THRESHOLD) -> DataFrame:
+def near_groups(sets: DataFrame, scratch: Scratch, hundredths: int = THRESHOLD) -> DataFrame:
     """(k, near) of the fingerprints k that are near another; near is the least k of what hangs together.
 
-    signed: k (a fingerprint's key) and sigs of every row that has any.
+    sets: k (a fingerprint's key) and s (its signatures), one row a fingerprint that has any.
     """
-    sets = signed.groupBy("k").agg(F.first("sigs").alias("s"))
-    sets = scratch.save(sets, "distinct")
     levels = frequencies(sets)
     n = F.size("s")
     order = F.sort_array(F.transform("s", lambda h: F.struct(F.get(levels, h.bitwiseAND(COUNTED - 1).cast("int")).alias("level"), h.alias("h"))))
     keep = n - F.ceil(n * hundredths / 100 - 1e-9).cast("int") + 1
     nodes = sets.select("k", n.cast("long").alias("n"), F.slice(order, F.lit(1), keep).alias("first"))
     nodes = nodes.select("k", "n", F.aggregate("first", F.lit(0), lambda a, x: a + x["level"]).alias("weight"), F.transform("first", lambda x: x["h"]).alias("prefix"))
-    return linked_components(nodes, lambda wanted: sets.join(wanted, "k", "left_semi"), hundredths, 100, scratch, parts=True).withColumnRenamed("component", "near")
+    sketches = scratch.save(sets.select("k", n.cast("long").alias("n"), sketch("s").alias("sketch")), "sketches")
+    found = linked_components(nodes, lambda wanted: sets.join(wanted, "k", "left_semi"), hundredths, 100, scratch, parts=True, sketches=sketches)
+    return found.withColumnRenamed("component", "near")
 
 
 def with_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The contract's columns of every row, class_id (least doc_id of an equal fingerprint) and near_id (least reachable through near copies).
 
-    Fingerprints are made twice, once to group them and once for the result, so that only signatures are written down.
+    Fingerprints are made twice, once to group them and once for the result, so that only the signatures of each distinct one are written down.
     """
     key = F.unhex(F.md5(as_string(F.col("sigs"))))
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    signed = scratch.save(with_signatures(base, "text", "sigs").select("doc_id", "sigs", key.alias("k")), "signed")
-    signed = signed.where(F.size("sigs") > 0)  # read back: a filter on the expression itself would make signatures twice
-    near = near_groups(signed, scratch)
-    classes = signed.groupBy("k").agg(F.min("doc_id").alias("class_id"))
+    signed = with_signatures(base, "text", "sigs").select("doc_id", "sigs", key.alias("k"))
+    sets = scratch.save(signed.groupBy("k").agg(F.first("sigs").alias("s"), F.min("doc_id").alias("class_id")), "distinct")
+    sets = sets.where(F.size("s") > 0)
+    near = near_groups(sets.select("k", "s"), scratch)
+    classes = sets.select("k", "class_id")
     classes = scratch.save(classes.join(near, "k", "left").select("k", "class_id", F.coalesce("near", "k").alias("near")), "classes")
     named = classes.join(classes.groupBy("near").agg(F.min("class_id").alias("near_id")), "near").select("k", "class_id", "near_id")
     named = scratch.save(named, "named")

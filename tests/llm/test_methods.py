@@ -424,3 +424,32 @@ def test_links_by_brute_force(spark, n, num, den):
 
 
 WORDS = [f"w{i}" for i in range(400)]
+
+
+def test_unlike_candidates_send_no_whole_sets(spark):
+    """Fingerprints that share some rare signatures and little else meet in a bucket; their sketches tell them apart,
+    so the sets that are fetched are those of near copies alone, and no near copy is lost."""
+    rng = random.Random(9)
+    draw = lambda n: [rng.randrange(1 << 32) for _ in range(n)]
+    near, rows = [], []
+    for i in range(40):
+        base = draw(60)
+        near.append((f"n{i}a", f"n{i}b"))
+        rows += [(f"n{i}a", sorted(base)), (f"n{i}b", sorted(base[:-4] + draw(4)))]
+    pool = draw(1000)
+    unlike = [(f"u{i}", sorted(rng.sample(pool, 50))) for i in range(60)]
+    sets = spark.createDataFrame([(k.encode(), s) for k, s in rows + unlike], "k binary, s array<long>")
+    met, fetched = set(), set()
+
+    class Seen(Scratch):
+        def save(self, df, name, *by):
+            out = super().save(df, name, *by)
+            if name in ("star", "rest"):
+                met.update(bytes(x).decode() for r in out.collect() for x in r)
+            if name == "sets":
+                fetched.update(bytes(r.k).decode() for r in out.select("k").collect())
+            return out
+
+    got = {bytes(r.k).decode(): bytes(r.near).decode() for r in spotsigs.near_groups(sets, Seen(spark, "test", shuffled=True)).collect()}
+    assert got == {k: a for a, b in near for k in (a, b)}
+    assert fetched == set(got) and len(met - fetched) > 30
