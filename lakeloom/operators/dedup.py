@@ -36,7 +36,10 @@ def exact_duplicates(df: DataFrame, columns: list[str]) -> DataFrame:
 def dedup_report(df: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """Rows, distinct keys, and what was repeated by key and exactly: one row, one scan.
 
-    A key with a NULL part counts as a key, so counts come from hashes.
+    Distinct rows are counted as they are, then by key; NULLs are equal to each other. Both steps aggregate before
+    their shuffles, so neither a row nor a key that comes very often makes a large task.
     """
-    one = df.agg(F.count("*").alias("rows_in"), F.countDistinct(record_hash(key)).alias("distinct_keys"), F.countDistinct(record_hash(columns)).alias("distinct_rows"))
+    rows = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    keys = rows.groupBy(*key).agg(F.count("*").alias("_rows"), F.sum("_copies").alias("_copies"))
+    one = keys.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_in"), F.count("*").alias("distinct_keys"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("distinct_rows"))
     return one.select("rows_in", "distinct_keys", (F.col("rows_in") - F.col("distinct_keys")).alias("duplicate_rows"), (F.col("rows_in") - F.col("distinct_rows")).alias("exact_duplicates"))

@@ -197,3 +197,10 @@ def test_governance(spark):
     df = spark.createDataFrame([("a@b.c", "12345", False), ("d@e.f", "1", True)], "email string, postal_code string, is_deleted boolean")
     assert governance.secured(df, "dim_customers", ("pii_reader",)).where("email = 'a@b.c'").count() == 1
     assert rows(governance.secured(df, "dim_customers", ("analyst",)), "postal_code") == [("123**",)]
+
+
+def test_dedup_report_counts_rows_as_they_are(spark):
+    """NULLs are equal to each other; values that differ in blanks alone are not equal."""
+    df = spark.createDataFrame([(1, "a"), (1, "a "), (1, "a"), (None, "b"), (None, "b"), (2, None)], "k int, v string")
+    assert dedup.dedup_report(df, ["k"], ["k", "v"]).first().asDict() == {"rows_in": 6, "distinct_keys": 3, "duplicate_rows": 3, "exact_duplicates": 2}
+    assert dedup.dedup_report(df.limit(0), ["k"], ["k", "v"]).first().asDict() == {"rows_in": 0, "distinct_keys": 0, "duplicate_rows": 0, "exact_duplicates": 0}
