@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 #: Bits of a key's range number.
 BITS = 8
+#: Rows that a task takes where they are sorted by key.
+ROWS_A_TASK = 40_000
+
+
+def dealt(df: DataFrame, key: list[str] | tuple[str, ...], rows: int | None = None, a_task: int | None = None) -> DataFrame:
+    """df by a hash of the key in as many partitions as its rows need; few rows stay as they lie.
+
+    Windows and joins by key that follow keep to these partitions, so what a task sorts doesn't grow with the
+    input. Spark's own partitions go by compressed bytes, and rows of provenance are many times longer in memory.
+    rows: how many df has at most; not given, they are counted, which for a table takes its footers alone.
+    """
+    n = -(-(df.count() if rows is None else rows) // (a_task or ROWS_A_TASK))
+    return df.repartition(n, *[F.col(k) for k in key]) if n > 1 else df
 
 
 def range_number(df: DataFrame, column: str, bits: int = BITS) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.config import Entity, Environment, LoadType, SCDType, load_entities, load_environment, load_rules
 from lakeloom.operators import envelope, merge
+from lakeloom.operators.clustering import dealt
 from lakeloom.operators.dedup import deduplicate
 from lakeloom.operators.quality import FatalQualityError, bindable, evaluate, flag, route
 from lakeloom.operators.scd import add_inferred_members, apply_scd2, scd1, scd2
@@ -95,7 +96,7 @@ def process_silver(spark: SparkSession, env: Environment, entity: Entity, rules:
     if not new:
         return out
     if entity.load_type is not LoadType.FULL:
-        steps = [(tidied(spark, env, entity, new), new[-1], [*done, *new])]
+        steps = [(tidied(spark, env, entity, new), new[-1], [*done, *new], new)]
     else:
         steps = []
         for batch in new:
@@ -104,8 +105,10 @@ def process_silver(spark: SparkSession, env: Environment, entity: Entity, rules:
             dates = sorted((r[0] for r in delivery.select("dt").distinct().collect()), key=str) if "dt" in delivery.columns else [None]
             for k, date in enumerate(dates):
                 snapshot = delivery.where(F.col("dt").eqNullSafe(F.lit(date))) if "dt" in delivery.columns else delivery
-                steps.append((snapshot, f"{batch}-{date}" if date is not None else batch, [*held, batch] if k == len(dates) - 1 else held))
-    for delivery, name, batches in steps:
+                steps.append((snapshot, f"{batch}-{date}" if date is not None else batch, [*held, batch] if k == len(dates) - 1 else held, [batch]))
+    for delivery, name, batches, read in steps:
+        # footers tell how many rows there are
+        delivery = dealt(delivery, entity.primary_key, read_bronze(spark, env, entity, read).count())
         rows, quarantined = _silver_step(spark, env, entity, rules, audit, batch_id, delivery, name, batches)
         out["rows"] += rows
         out["quarantined"] += quarantined
@@ -113,7 +116,7 @@ def process_silver(spark: SparkSession, env: Environment, entity: Entity, rules:
 
 
 def _silver_step(spark: SparkSession, env: Environment, entity: Entity, rules: list, audit: Audit, batch_id: str, delivery: DataFrame, name: str, batches: list[str]) -> tuple[int, int]:
-    """One delivery (of incremental batches, or one snapshot) into silver, quarantine and the dimension."""
+    """One delivery (of incremental batches, or one snapshot), dealt by key, into silver, quarantine and the dimension."""
     table, key = silver_table(spark, env, entity), list(entity.primary_key)
     staged = f"{env.table_path('silver', entity.name)}_staged"
 
@@ -136,10 +139,10 @@ def _silver_step(spark: SparkSession, env: Environment, entity: Entity, rules: l
             raise
         audit.quality(entity.name, "silver", batch_id, outcome)
         write_quarantine(env, entity, outcome.quarantined, name)
-        valid, before, now = outcome.valid.drop("_dq_warnings"), table.version(), F.current_timestamp()
+        valid, before, now = dealt(outcome.valid.drop("_dq_warnings"), key, outcome.rows_in), table.version(), F.current_timestamp()
         if entity.load_type is LoadType.FULL and before >= 0:
             # a row that came but was quarantined isn't gone: its last valid state stays
-            state = table.read()
+            state = dealt(table.read(), key)
             kept = state.join(outcome.quarantined.select(*key).distinct(), key, "left_semi").select(*[c for c in valid.columns if c in state.columns])
             table.overwrite(merge.snapshot_deletes(state, valid.unionByName(kept, allowMissingColumns=True), key, now), batches=batches)
         else:
@@ -195,7 +198,7 @@ def _write_dimension(spark: SparkSession, env: Environment, entity: Entity, deli
         table.overwrite(merge.carry_deletes(first, gone))
         return
     keys = changes.select(*key).unionByName(gone.select(*key)).distinct()
-    near = table.read(buckets=table.touched(keys) if table.buckets else None).join(keys, key, "left_semi")
+    near = dealt(table.read(buckets=table.touched(keys) if table.buckets else None), key).join(keys, key, "left_semi")
     sliced = apply_scd2(near, changes, key, list(entity.tracked), when, entity.name)
     table.replace(keys, merge.carry_deletes(sliced, gone, near))
 

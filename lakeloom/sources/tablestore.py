@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators.clustering import clustered
+from lakeloom.operators.clustering import clustered, dealt
 from lakeloom.operators.merge import merge_marked, snapshot_diff
 
 RETAIN_HOURS = 168
@@ -253,7 +253,7 @@ class Table:
         touched = self.touched(keys.select(*self.key).unionByName(rows.select(*self.key))) if self.buckets else None
         now = self.read(buckets=touched)
         kept = [f for f in self._entry(based_on)["folders"] if touched is not None and int(f.rpartition("=")[2]) not in touched]
-        out = now.join(keys.select(*self.key).distinct(), self.key, "left_anti").select(*now.columns).unionByName(rows, allowMissingColumns=True)
+        out = dealt(now, self.key).join(keys.select(*self.key).distinct(), self.key, "left_anti").select(*now.columns).unionByName(rows, allowMissingColumns=True)
         folders, counts = self._write(out, folder)
         return self._commit("replace", [*kept, *folders], counts, based_on, out.schema, notes)
 

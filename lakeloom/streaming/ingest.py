@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from lakeloom.sources.files import FILE, FOLDER_COLUMNS, RESCUED, read_stream
 BATCH_FOLDER = "_batch"
 #: Name of the counts that a stream reports.
 METRICS = "bronze"
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def add_ingest_metadata(df: DataFrame, system: str, batch_id: str, run_id: str) -> DataFrame:
@@ -40,6 +43,23 @@ class Progress(StreamingQueryListener):
     def __init__(self):
         self.totals: dict[str, dict] = {}
         self.ended: dict[str, threading.Event] = {}
+        self.writing, self.open_before = 0, None
+
+    @contextmanager
+    def files_open(self, spark: SparkSession) -> Iterator[None]:
+        """While any stream of the session writes, tasks keep a file open; sinks read the setting when they write."""
+        with _REGISTER:
+            if not self.writing:
+                self.open_before = spark.conf.get(OPEN_FILES, None)
+                spark.conf.set(OPEN_FILES, "1")
+            self.writing += 1
+        try:
+            yield
+        finally:
+            with _REGISTER:
+                self.writing -= 1
+                if not self.writing:
+                    spark.conf.unset(OPEN_FILES) if self.open_before is None else spark.conf.set(OPEN_FILES, self.open_before)
 
     def expect(self, run: str) -> None:
         self.totals.setdefault(run, {"rows": 0, "rescued": 0, "micro_batches": 0})
@@ -91,13 +111,15 @@ def progress_of(spark: SparkSession) -> Progress:
 def write_bronze(df: DataFrame, target: str, checkpoint: str) -> dict:
     """Runs the stream over what is there now; its counts come from the pass that writes.
 
-    A folder for each batch, so that a batch is read alone.
+    A folder for each batch, so that a batch is read alone. A run has one batch, so a task keeps one file open
+    and needn't sort its rows by folder.
     """
     progress = progress_of(df.sparkSession)
     bad = F.count_if(F.col(RESCUED).isNotNull()) if RESCUED in df.columns else F.sum(F.lit(0))
     folder = df.withColumn(BATCH_FOLDER, F.concat(F.lit("b-"), F.col("_batch_id"))).observe(METRICS, F.count(F.lit(1)).alias("rows"), bad.alias("rescued"))
-    query = folder.writeStream.format("parquet").partitionBy(BATCH_FOLDER).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
-    query.awaitTermination()
+    with progress.files_open(df.sparkSession):
+        query = folder.writeStream.format("parquet").partitionBy(BATCH_FOLDER).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
+        query.awaitTermination()
     return progress.of(str(query.runId))
 
 

@@ -16,7 +16,7 @@ from lakeloom.plans import reconcile, runner
 from lakeloom.plans.audit import Audit
 from lakeloom.sources import files
 from lakeloom.sources.tablestore import ATTEMPTS, CommitConflict, Table
-from lakeloom.streaming.ingest import bronze_batches, ingest_entity, read_bronze, validate_bronze
+from lakeloom.streaming.ingest import OPEN_FILES, bronze_batches, ingest_entity, read_bronze, validate_bronze
 
 
 def stamps(root):
@@ -155,6 +155,22 @@ def test_each_snapshot_in_its_turn(spark, products, tmp_path):
     assert (flow.status, int(flow.source_value)) == ("PASSED", 5)
 
 
+def test_tasks_dont_grow_with_a_delivery(spark, products, tmp_path, monkeypatch):
+    """More rows are more tasks, whatever their compressed bytes; before, one task sorted all that fit in 64 MB of a shuffle."""
+    env, entity, land, run = products
+    monkeypatch.setattr("lakeloom.operators.clustering.ROWS_A_TASK", 3)
+    land("2024-01-01", *((f"p{i:02}", i) for i in range(60)))
+    assert run("b1") == {"status": "SUCCESS", "rows": 60, "quarantined": 0}
+    land("2024-02-01", *((f"p{i:02}", i + i % 2) for i in range(59)))
+    run("b2")
+    parts = [f for f in os.listdir(tmp_path / "w/silver/products_staged") if f.endswith(".parquet")]
+    assert len(parts) > 10
+    assert {r.id: (r.price, r.is_deleted) for r in Table(spark, env.table_path("silver", "products")).read().collect()} == {f"p{i:02}": (i + i % 2 * (i < 59), i == 59) for i in range(60)}
+    versions = Table(spark, env.table_path("gold", "dim_products")).read()
+    assert versions.count() == 60 + 29 and versions.where("is_current").count() == 60 and versions.where("is_deleted").count() == 1
+    assert spark.conf.get(OPEN_FILES, None) is None
+
+
 def test_dimension_of_a_late_delivery(spark, tmp_path):
     """Incremental batches out of order give the dimension that all at once give; Bronze of earlier batches isn't read."""
     made = {}
