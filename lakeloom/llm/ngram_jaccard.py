@@ -22,47 +22,59 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import Scratch, any_order, chunks, fresh, map_arrow, mix64, quoted, read
+from lakeloom.llm.common import Scratch, any_order, chunks, fresh, map_arrow, mix64, quoted, read, text_bytes
 from lakeloom.llm.setjoin import linked_components
 
 MAX_HEAVY = 1_000_000
 #: A task counts this many n-grams at once.
 COUNTED = 4_000_000
-REMEMBERED = 500_000
-
-
-class _Words(dict):
-    """64-bit hashes of words; forgets when it is full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_WORDS = _Words()
-
-
-def forget_words() -> None:
-    """At a task's end: its worker may serve another operator next."""
-    _WORDS.clear()
-
-
-def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
+#: Bytes of a word beyond which it is hashed by itself.
+LONG_WORD = 256
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: ASCII letters alone.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: Masks of the first 0 to 8 bytes of a word of memory, which are its lowest.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of UTF-8 texts that lie one after another, and how many each text has."""
+    word = ~_BLANK[data]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    filled = np.flatnonzero(np.diff(offsets))  # words end where texts do
+    first[offsets[filled]] = word[offsets[filled]]
+    last[offsets[filled + 1] - 1] = word[offsets[filled + 1] - 1]
+    starts = np.flatnonzero(first)
+    lengths = np.flatnonzero(last) + 1 - starts
+    padded = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,))  # the 8 bytes from each place on
+    h = mix64(lengths.astype(np.uint64))
+    at = np.flatnonzero(lengths <= LONG_WORD)
+    for done in range(0, LONG_WORD, 8):
+        at = at[lengths[at] > done]
+        if not len(at):
+            break
+        h[at] = mix64(h[at] * np.uint64(0x9E3779B97F4A7C15) + (eight[starts[at] + done] & _FIRST[np.minimum(lengths[at] - done, 8)]))
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(padded[starts[i] : starts[i] + lengths[i]])
+    return h, np.diff(np.searchsorted(starts, offsets))
+
+
+def shingle_sets(texts: list[str | None] | pa.Array, n: int) -> list[np.ndarray]:
     """For each text its distinct n-gram hashes, in order."""
-    if len(_WORDS) > REMEMBERED:
-        _WORDS.clear()
-    words = [(t or "").encode().lower().split() for t in texts]  # bytes: ASCII letters and blanks alone
-    counts = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((_WORDS[w] for ws in words for w in ws), np.uint64, int(counts.sum()))
+    data, offsets = text_bytes(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
+    flat, counts = _word_hashes(data, offsets)
     h = mix64(flat + np.uint64(n))
     for k in range(1, n):
         h = mix64(h[: len(flat) - k] * np.uint64(0x9E3779B97F4A7C15) + flat[k:]) if len(flat) > k else h[:0]
     out, at = [], 0
     for c in counts.tolist():
         if c >= n:
-            out.append(np.unique(h[at : at + c - n + 1]))
+            own = np.sort(h[at : at + c - n + 1])
+            new = own[1:] != own[:-1]
+            out.append(own if new.all() else np.concatenate([own[:1], own[1:][new]]))
         elif c:
             out.append(mix64(np.array([xxhash.xxh3_64_intdigest(flat[at : at + c].tobytes(), seed=c)], np.uint64)))
         else:
@@ -84,12 +96,14 @@ def heavy_counts(docs: DataFrame, n: int, most: int = MAX_HEAVY) -> tuple[np.nda
         held, size = [], 0
 
         def flush():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            values = np.sort(np.concatenate(held))
+            starts = np.flatnonzero(np.concatenate([[True] * bool(len(values)), values[1:] != values[:-1], [True]]))
+            counts = np.diff(starts)
             keep = counts > 1
-            return pa.RecordBatch.from_arrays([pa.array(values[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], ["s", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(values[starts[:-1][keep]].view(np.int64)), pa.array(counts[keep].astype(np.int64))], ["s", "n"])
 
         for b in chunks(batches, "text"):
-            own = shingle_sets(b.column("text").to_pylist(), n)
+            own = shingle_sets(b.column("text"), n)
             held += own
             size += sum(map(len, own))
             if size > COUNTED:
@@ -97,7 +111,6 @@ def heavy_counts(docs: DataFrame, n: int, most: int = MAX_HEAVY) -> tuple[np.nda
                 held, size = [], 0
         if held:
             yield flush()
-        forget_words()
 
     counts = map_arrow(docs.select("text"), count, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n > 4")
     counts = counts.persist()
@@ -124,7 +137,7 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, heavy: tuple[np.ndarra
         tokens, counts = sent.value
         for b in chunks(batches, "text"):
             keys, sizes, weights, cut = [], [], [], []
-            for own in shingle_sets(b.column("text").to_pylist(), n):
+            for own in shingle_sets(b.column("text"), n):
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(len(own))
                 p = len(own) - (-(-num * len(own) // den)) + 1 if len(own) else 0
@@ -132,13 +145,15 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, heavy: tuple[np.ndarra
                 if len(tokens) and len(own):
                     at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
                     df = np.where(tokens[at] == own, counts[at], 0)
-                    if df.any():
-                        order = np.lexsort((own, df))[:p]
+                    rare = own[df == 0]
+                    if len(rare) >= p:
+                        own = rare
+                    else:
+                        order = np.argsort(df, kind="stable")[:p]  # own is in order already
                         own, weight = own[order], int(df[order].sum())
                 cut.append(own[:p])
                 weights.append(weight)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int64()), _long_lists(cut)], ["doc_id", "text_hash", "k", "n", "weight", "prefix"])
-        forget_words()
 
     return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id long, text_hash long, k binary, n long, weight long, prefix array<long>")
 
@@ -155,10 +170,9 @@ def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> D
             keys = b.column("wanted_k").to_pylist()
             # rows equal in doc_id and text: once a chunk
             at = list({k: i for i, k in enumerate(keys)}.values())
-            own = shingle_sets(b.column("text").take(pa.array(at, pa.int64())).to_pylist(), n)
+            own = shingle_sets(b.column("text").take(pa.array(at, pa.int64())), n)
             good = [i for i, (s, j) in enumerate(zip(own, at)) if xxhash.xxh3_128_digest(s.tobytes()) == keys[j]]
             yield pa.RecordBatch.from_arrays([pa.array([keys[at[i]] for i in good], pa.binary()), _long_lists([own[i] for i in good])], ["k", "s"])
-        forget_words()
 
     got = map_arrow(found.select("text", "wanted_k"), run, "k binary, s array<long>")
     return got.groupBy("k").agg(F.first("s").alias("s"))

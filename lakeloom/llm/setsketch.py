@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import Scratch, chunks, map_arrow, mix64, read
 from lakeloom.llm.components import components
-from lakeloom.llm.ngram_jaccard import forget_words, shingle_sets, whole_sets
+from lakeloom.llm.ngram_jaccard import shingle_sets, whole_sets
 from lakeloom.llm.setjoin import verified
 
 #: Registers of a sketch: a power of two.
@@ -129,7 +129,7 @@ def sketched(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, "text"):
-            own = shingle_sets(b.column("text").to_pylist(), n)
+            own = shingle_sets(b.column("text"), n)
             sizes = np.array([len(s) for s in own], np.int64)
             registers, bits = [], []
             for part in np.split(np.arange(len(own)), np.flatnonzero(np.diff(np.cumsum(sizes) // AT_ONCE)) + 1):
@@ -139,7 +139,6 @@ def sketched(docs: DataFrame, n: int) -> DataFrame:
                 bits += np.packbits((rows & 1).astype(np.uint8), axis=1).view(np.int64).tolist()
             keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in own]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(registers, pa.binary()), pa.array(bits, pa.list_(pa.int64()))], ["doc_id", "text_hash", "k", "n", "registers", "bits"])
-        forget_words()
 
     return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id long, text_hash long, k binary, n long, registers binary, bits array<long>")
 

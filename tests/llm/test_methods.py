@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 
 from lakeloom.llm import language_id, media, mixture, ngram_jaccard, pieces, registry, repeats, spotsigs, toxicity
-from lakeloom.llm.common import Scratch
+from lakeloom.llm.common import Scratch, text_bytes
 from lakeloom.llm.components import components
 
 
@@ -423,6 +423,19 @@ def test_links_by_brute_force(spark, n, num, den):
     assert got == ngram_jaccard.brute_force(rows, n, num, den)
 
 
+def test_words_are_hashed_without_a_python_step_each():
+    """Hashes from the bytes of all texts at once tell the same words apart as split and lower do."""
+    random.seed(6)
+    letters = ["a", "B", "b", "A", "\u00e9", "\u3000", "\x85", "\x1c", "\x00", "\u1e9e", *" \t\n\x0b\x0c\r"]
+    texts = ["".join(random.choice(letters) for _ in range(random.randrange(30))) for _ in range(2000)]
+    texts += [None, "", "  ", *("x" * k for k in (7, 8, 9, 255, 256, 257)), "X" * 257, "y" * 5000 + " z"]
+    hashes, counts = ngram_jaccard._word_hashes(*text_bytes(pa.array(texts, pa.string())))
+    words = [(t or "").encode().lower().split() for t in texts]
+    assert counts.tolist() == [len(w) for w in words]
+    flat = [w for ws in words for w in ws]
+    assert len(set(flat)) == len(set(hashes.tolist())) == len(set(zip(flat, hashes.tolist())))
+
+
 WORDS = [f"w{i}" for i in range(400)]
 
 
