@@ -39,6 +39,7 @@ REMEMBERED_EDGES = 4_000_000
 
 _SEGMENT = re.compile(r"\n| *[^ \n]+| +")
 _PRIME = np.uint64(0x100000001B3)
+_NO_PIECE = -(2**31)
 
 
 def default_model() -> str:
@@ -76,15 +77,17 @@ class Vocabulary:
         for b, i in enumerate(self.byte_ids.tolist()):
             raw[i] = bytes([b])
         self.raw = pa.array(raw, pa.large_binary())
+        # by length: keys of the beginnings of pieces, and the piece that a beginning is, or -1
         self.tables = []
+        piece_of = {text[i]: i for i in reversed(normal)}
         for k in range(1, self.longest + 1):
-            own = [i for i in normal if len(text[i]) == k]
-            chars = np.array([[ord(c) for c in text[i]] for i in own], np.uint64).reshape(len(own), k)
-            keys = np.zeros(len(own), np.uint64)
+            starts = sorted({p[:k] for p in piece_of if len(p) >= k})
+            chars = np.frombuffer("".join(starts).encode("utf-32-le"), np.uint32).reshape(len(starts), k)
+            keys = np.zeros(len(starts), np.uint64)
             for j in range(k):
-                keys = extend(keys, chars[:, j])
+                keys = extend(keys, chars[:, j].astype(np.uint64))
             by = np.argsort(keys)
-            self.tables.append((keys[by], np.array(own, np.int32)[by]))
+            self.tables.append((keys[by], np.array([piece_of.get(p, -1) for p in starts], np.int32)[by]))
 
     def decode(self, ids: pa.Array) -> list[bytes]:
         """The text, as UTF-8, of each list of ids; null: null."""
@@ -128,7 +131,7 @@ class Lattices:
         for w in words:
             by_length.setdefault(len(w), []).append(w)
         for length, group in by_length.items():
-            step = max(1, 300_000 // length)
+            step = max(1, 100_000 // length)
             for i in range(0, len(group), step):
                 self._add(group[i : i + step], length)
 
@@ -137,25 +140,30 @@ class Lattices:
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
         wide = chars.astype(np.uint64)
         base = self.nodes + np.arange(n) * (length + 1)
-        spans, keys = [], np.zeros((n, length), np.uint64)
-        for k in range(1, min(length, v.longest) + 1):
-            keys = extend(keys[:, : length - k + 1], wide[:, k - 1 :])
-            table, ids = v.tables[k - 1]
-            if len(table):
-                at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-                hit = table[at] == keys
-                row, start = np.nonzero(hit)
-                spans.append((row, start, np.full(len(row), k), ids[at[hit]], v.log_weight[ids[at[hit]]]))
-            else:
-                hit = np.zeros(keys.shape, bool)
-            if k == 1:  # characters without a piece
-                row, start = np.nonzero(~hit)
-                if len(row):
-                    spans.append((row, start, np.ones(len(row), int), -1 - chars[row, start].astype(np.int64), np.full(len(row), v.floor)))
-        row, start, size, piece, weight = (np.concatenate(x) for x in zip(*spans))
-        end = start + size
-        by = np.lexsort((row, end))
-        row, start, piece, weight, end = row[by], start[by], piece[by], weight[by], end[by]
+        most = min(length, v.longest)
+        # by the place where a piece ends, word and length, which is the order of edges
+        found = np.full(length * n * most, _NO_PIECE, np.int32)
+        wide, at, keys = wide.ravel(), np.arange(n * length), np.zeros(n * length, np.uint64)
+        start = at % length
+        cell = (start * n + at // length) * most
+        for k in range(most):  # only what begins a piece is made longer
+            keys = extend(keys, wide[at + k])
+            table, ids = v.tables[k]
+            place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+            begins, piece = table[place] == keys, ids[place]
+            whole = begins & (piece >= 0)
+            found[cell[whole] + k * (n * most + 1)] = piece[whole]
+            if k == 0:  # characters without a piece
+                found[cell[~whole]] = -1 - chars.ravel()[~whole].astype(np.int64)
+            go = begins & (start + k + 1 < length)
+            at, start, cell, keys = at[go], start[go], cell[go], keys[go]
+        which = np.flatnonzero(found != _NO_PIECE)
+        piece = found[which]
+        which, size = np.divmod(which, most)
+        count = np.bincount(which, minlength=n * length)  # of edges to a place; each has one
+        end, row = np.divmod(which, n)
+        start, end = end - size, end + 1
+        weight = np.where(piece < 0, v.floor, v.log_weight[np.maximum(piece, 0)])
         bounds = np.searchsorted(end, np.arange(length + 2))
         forward = np.full((n, length + 1), -np.inf)
         forward[:, 0] = 0
@@ -164,29 +172,33 @@ class Lattices:
             a, b = bounds[e], bounds[e + 1]
             r = row[a:b]
             s = score[a:b] = forward[r, start[a:b]] + weight[a:b]
-            cut = np.flatnonzero(np.append(True, r[1:] != r[:-1]))
+            cut = np.cumsum(count[(e - 1) * n : e * n]) - count[(e - 1) * n : e * n]
             most = np.maximum.reduceat(s, cut)
-            count = np.diff(np.append(cut, b - a))
-            total = np.add.reduceat(np.exp(s - np.repeat(most, count)), cut)
+            total = np.add.reduceat(np.exp(s - np.repeat(most, count[(e - 1) * n : e * n])), cut)
             forward[r[cut], e] = most + np.log(total)
         chance = np.exp(score - forward[row, end])
-        node = base[row] + end
-        by = np.lexsort((-chance, node))
-        node, chance = node[by], chance[by]
-        cut = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        by, first = np.arange(len(row)), np.cumsum(count) - count
+        for k in range(2, int(count.max()) + 1):  # the likeliest first among a place's edges
+            own = first[count == k][:, None] + np.arange(k)
+            by[own] = np.take_along_axis(own, np.argsort(-chance[own], axis=1, kind="stable"), axis=1)
+        # word by word instead of place by place
+        first, count = first.reshape(length, n).T.ravel(), count.reshape(length, n).T.ravel()
+        cut = np.cumsum(count) - count
+        by = by[np.repeat(first - cut, count) + np.arange(len(row))]
+        chance = chance[by]
         total = np.cumsum(chance)
-        cumulative = total - np.repeat((total - chance)[cut], np.diff(np.append(cut, len(node))))
-        cumulative[np.append(cut[1:] - 1, len(node) - 1)] = 2.0  # a node's last edge takes what is left
+        cumulative = total - np.repeat((total - chance)[cut], count)
+        cumulative[cut + count - 1] = 2.0  # a place's last edge takes what is left
         self._grow("first", self.nodes + n * (length + 1))
         for name in ("source", "piece", "cumulative"):
-            self._grow(name, self.edges + len(node))
+            self._grow(name, self.edges + len(row))
         self.first[base] = -1
-        self.first[node[cut]] = self.edges + cut
-        own = slice(self.edges, self.edges + len(node))
+        self.first[(base[:, None] + np.arange(1, length + 1)).ravel()] = self.edges + cut
+        own = slice(self.edges, self.edges + len(row))
         self.source[own], self.piece[own], self.cumulative[own] = (base[row] + start)[by], piece[by], cumulative
         self.ends.update(zip(words, (base + length).tolist()))
         self.nodes += n * (length + 1)
-        self.edges += len(node)
+        self.edges += len(row)
 
     def sample(self, texts: list[str], keys: list[int], seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts end to end, and where each text starts."""

@@ -72,6 +72,21 @@ def test_encoding_is_lossless_and_repeatable(spark, sf, documents):
     assert texts.text.tolist() == documents.sort_values("doc_id").text.tolist()
 
 
+def test_lattices_follow_beginnings_of_pieces_alone(monkeypatch):
+    """Strings that begin no piece aren't made longer; bytes decode to the text still, and short groups give the same ids."""
+    vocabulary = pieces.Vocabulary(open(pieces.default_model(), "rb").read())
+    texts = ["qzxjqzxjqzxjqzxjqzxj", "the thing 漢字 of it", "\ud7ff▁\n\n x   y"]
+    asked, extend = [], pieces.extend
+    monkeypatch.setattr(pieces, "extend", lambda keys, chars: asked.append(keys.size) or extend(keys, chars))
+    flat, edges = pieces.Lattices(vocabulary).sample(texts, [1, 2, 3], 5)
+    n = sum(len(w) for t in texts for w in set(pieces._SEGMENT.findall(" " + t)))
+    assert sum(asked) < 6 * n
+    ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat))
+    assert [t.decode() for t in vocabulary.decode(ids)] == texts
+    alone = [pieces.Lattices(vocabulary).sample([t], [k], 5)[0].tolist() for k, t in enumerate(texts, 1)]
+    assert ids.to_pylist() == alone
+
+
 # --- 2
 
 
