@@ -45,7 +45,9 @@ K = 32
 #: Runs of one anchor that are compared with one another; beyond that, window by window.
 MAX_RUNS = 2_000
 #: Bytes of runs in one array, unless one anchor has more.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 1 << 18
+#: Bytes that are hashed at once; what they need stays in a core's cache.
+HASHED_BYTES = 1 << 15
 #: Rows of runs (four longs each) that are handled at once.
 DEALT_ROWS = 1 << 16
 #: Bytes of looked-up runs among which a task settles copies.
@@ -108,7 +110,7 @@ _WORD = 7
 
 def _rank(keys: np.ndarray) -> np.ndarray:
     """The place of each key among the distinct ones."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     out = np.empty(len(keys), np.int64)
     out[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1]))
@@ -118,17 +120,16 @@ def _rank(keys: np.ndarray) -> np.ndarray:
 def _scan(common: np.ndarray, before: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The common-prefix intervals whose left extensions differ: length, first and last suffix."""
     found: list[tuple[int, int, int]] = []
+    pairs = np.zeros(0, np.int64)
     hits = np.flatnonzero(common >= least)
     if len(hits):
-        # stretches of neighbours that share enough
-        cut = np.flatnonzero(np.diff(hits) > 1) + 1
-        for stretch in np.split(hits, cut):
-            first, last = int(stretch[0]), int(stretch[-1]) + 1
+        # stretches of neighbours that share enough; most are one pair
+        lead = np.append(True, np.diff(hits) > 1)
+        firsts, lasts = hits[lead], hits[np.append(lead[1:], True)] + 1
+        pair = firsts + 1 == lasts
+        pairs = firsts[pair][before[firsts[pair]] != before[lasts[pair]]]
+        for first, last in zip(firsts[~pair].tolist(), lasts[~pair].tolist()):
             values, left = common[first:last].tolist(), before[first : last + 1].tolist()
-            if len(values) == 1:
-                if left[0] != left[1]:
-                    found.append((values[0], first, last))
-                continue
             stack: list[list[int]] = []  # length, first suffix, left byte, whether left bytes differ
             for i, value in enumerate(values):
                 begin, byte, mixed = i, left[i], 0
@@ -151,7 +152,7 @@ def _scan(common: np.ndarray, before: np.ndarray, least: int) -> tuple[np.ndarra
                     found.append((length, first + begin, end))
                 byte, mixed = own, own_mixed
     out = np.array(found, np.int64).reshape(-1, 3)
-    return out[:, 0], out[:, 1], out[:, 2]
+    return np.append(common[pairs], out[:, 0]), np.append(pairs, out[:, 1]), np.append(pairs + 1, out[:, 2])
 
 
 # --- windows, anchors, runs --------------------------------------------------------------------------
@@ -159,11 +160,29 @@ def _scan(common: np.ndarray, before: np.ndarray, least: int) -> tuple[np.ndarra
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """64-bit hashes of all K-byte strings (K a power of 2)."""
-    h, size = _BYTE[data], 1
-    while size < K:
-        h = mix64(h[:-size] * np.uint64(0xD1342543DE82EF95) + h[size:]) if len(h) > size else h[:0]
-        size *= 2
-    return h
+    out = np.empty(max(len(data) - K + 1, 0), np.uint64)
+    for a in range(0, len(out), HASHED_BYTES):
+        h, size = _BYTE[data[a : a + HASHED_BYTES + K - 1]], 1
+        while size < K:
+            h = mix64(h[:-size] * np.uint64(0xD1342543DE82EF95) + h[size:])
+            size *= 2
+        out[a : a + HASHED_BYTES] = h
+    return out
+
+
+def anchors(h: np.ndarray, span: int) -> np.ndarray:
+    """The place of the least of `span` hashes (their upper halves) from each place on; the leftmost of equal ones."""
+    out = np.empty(max(len(h) - span + 1, 0), np.int64)
+    for a in range(0, len(out), HASHED_BYTES):
+        low = h[a : a + HASHED_BYTES + span - 1]
+        low, size = ((low >> np.uint64(32)) << np.uint64(32)) | np.arange(len(low), dtype=np.uint64), 1
+        while size * 2 <= span:
+            low = np.minimum(low[:-size], low[size:])
+            size *= 2
+        if size < span:
+            low = np.minimum(low[: len(low) - (span - size)], low[span - size :])
+        out[a : a + HASHED_BYTES] = (low & np.uint64(0xFFFFFFFF)).astype(np.int64) + a
+    return out
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -173,31 +192,23 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if len(data) < WIDTH:
         return none
-    low = ((h >> np.uint64(32)) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
-    size = 1
-    while size * 2 <= span:
-        low = np.minimum(low[:-size], low[size:])
-        size *= 2
-    if size < span:
-        low = np.minimum(low[: len(low) - (span - size)], low[span - size :])
-    anchor = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)  # of the window at each place
-    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(anchor)]
-    valid = np.arange(len(anchor)) + WIDTH <= offsets[1:][owner]
-    place = np.flatnonzero(valid)
-    if not len(place):
+    anchor = anchors(h, span)  # of the window at each place
+    sizes = np.diff(offsets)
+    own = np.maximum(sizes - WIDTH + 1, 0)  # windows of each document
+    new = np.append(True, anchor[1:] != anchor[:-1])
+    new[offsets[:-1][own > 0]] = True
+    new &= np.repeat(np.tile([True, False], len(own)), np.stack([own, sizes - own], 1).ravel())[: len(new)]
+    p0 = np.flatnonzero(new)
+    if not len(p0):
         return none
-    new = np.ones(len(place), bool)
-    new[1:] = (anchor[place[1:]] != anchor[place[:-1]]) | (owner[place[1:]] != owner[place[:-1]])
-    first = np.flatnonzero(new)
-    p0 = place[first]
-    more = np.diff(np.append(first, len(place))) - 1
+    row = np.searchsorted(offsets, p0, side="right") - 1
+    more = np.minimum(np.append(p0[1:], len(data)), offsets[row] + own[row]) - p0 - 1
     at = anchor[p0]
     end = p0 + more + WIDTH
     content = (more * 256 + (at - p0)).astype(np.uint64)
     for j in range((span + WIDTH) // K):
         content = mix64(content * np.uint64(0x9E3779B97F4A7C15) + h[np.minimum(p0 + K * j, end - K)])
     content = mix64(content + h[end - K])
-    row = owner[p0]
     return row, p0 - offsets[row], more, at - p0, h[at], content
 
 

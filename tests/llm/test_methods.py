@@ -199,6 +199,28 @@ def test_equal_hashes_settle_nothing(monkeypatch):
     assert {r["id"] for r in got if r["packed"] & 1} == {3}
 
 
+@pytest.mark.parametrize("size", [0, 31, 99, 100, 101, 1000])
+def test_runs_hashed_in_parts(size, monkeypatch):
+    """Anchors and runs as if all were hashed at once, and never more than a part at once."""
+    random.seed(size)
+    texts = ["".join(random.choices("ab", k=size)), "", "x" * size, "".join(random.choices("ab", k=150)), ""]
+    data, offsets = text_bytes(pa.array(texts))
+    whole = repeats.runs(data, offsets)
+    h = repeats.gram_hashes(data)
+    span = repeats.WIDTH - repeats.K + 1
+    assert repeats.anchors(h, span).tolist() == [min(range(i, i + span), key=lambda j: (int(h[j]) >> 32, j)) for i in range(len(h) - span + 1)]
+    monkeypatch.setattr(repeats, "HASHED_BYTES", 64)
+    most, mix64 = [], repeats.mix64
+    monkeypatch.setattr(repeats, "mix64", lambda x: most.append(len(x)) or mix64(x))
+    assert repeats.gram_hashes(data).tolist() == h.tolist() and max(most) < 64 + repeats.K
+    monkeypatch.undo()
+    monkeypatch.setattr(repeats, "HASHED_BYTES", 64)
+    assert all((a == b).all() for a, b in zip(repeats.runs(data, offsets), whole))
+    windows = [(i, k) for i, t in enumerate(texts) for k in range(len(t) - repeats.WIDTH + 1)]
+    row, start, more = whole[:3]
+    assert [(r, k) for r, s, m in zip(row.tolist(), start.tolist(), more.tolist()) for k in range(s, s + m + 1)] == windows
+
+
 # --- 4
 
 
