@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 BITS = 8
 #: Rows that a task takes where they are sorted by key.
 ROWS_A_TASK = 40_000
+#: The same for the narrower rows of facts and marts, which are sorted and aggregated.
+FACT_ROWS_A_TASK = 100_000
 
 
 def dealt(df: DataFrame, key: list[str] | tuple[str, ...], rows: int | None = None, a_task: int | None = None) -> DataFrame:

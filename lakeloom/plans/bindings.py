@@ -97,7 +97,7 @@ class Tables:
 
     def sales(self) -> DataFrame:
         """fact_sales with the product's category."""
-        return facts.fact_sales(self.lines(), self.orders(), products=self.products())
+        return facts.fact_sales(self.lines(), self.orders(), products=self.products(), rows=self.raw("lineitem").count())
 
     def star(self) -> DataFrame:
         return views.star(self.sales(), self.dates(), self.customers(), self.products(), self.places(), self.promotions())

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import date_key, surrogate_key
+from lakeloom.operators.clustering import FACT_ROWS_A_TASK, dealt
 from lakeloom.operators.scd import resolve_keys
 
 CANCELLED = "CANCELLED"
@@ -28,11 +29,12 @@ def _resolved(df: DataFrame, dimensions: Dimensions | None, event_time: str) ->
     return resolve_keys(df, {n: d for n, d in (dimensions or {}).items() if d[1] in df.columns}, event_time)
 
 
-def fact_sales(lines: DataFrame, orders: DataFrame, dimensions: Dimensions | None = None, products: DataFrame | None = None) -> DataFrame:
+def fact_sales(lines: DataFrame, orders: DataFrame, dimensions: Dimensions | None = None, products: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """One order line. Cancelled orders stay, marked; metrics leave them out.
 
     Gross is quantity * unit_price unless the lines bring gross_amount; net is gross less discount. products
-    (product_id, category_id) bring the category that neither lines nor orders have.
+    (product_id, category_id) bring the category that neither lines nor orders have. rows: how many lines there
+    are at most, if known; they are dealt by order accordingly, so what a task joins doesn't grow with the input.
     """
     brought = [c for c in ("store_id", "region", "customer_segment", "promotion_id", "payment_status") if c in orders.columns and c not in lines.columns]
     o = active(orders).select("order_id", "customer_id", "order_date", "order_status", *brought)
@@ -43,6 +45,8 @@ def fact_sales(lines: DataFrame, orders: DataFrame, dimensions: Dimensions | Non
     if products is not None:
         df = df.join(products.select("product_id", "category_id"), "product_id", "left")
     df = df.withColumn("net_amount", money(F.col("gross_amount") - F.col("discount_amount")))
+    if rows is not None:
+        df = dealt(df, ["order_id"], rows, FACT_ROWS_A_TASK)
     df = df.join(o, "order_id").withColumn("date_key", date_key("order_date")).withColumn("is_cancelled", F.col("order_status") == CANCELLED)
     return _resolved(df, dimensions, "order_date")
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.clustering import FACT_ROWS_A_TASK, dealt
+
 MONEY = "decimal(18,2)"
 CALENDAR = ("full_date", "year", "month_number")
 
@@ -68,19 +70,25 @@ def customer_cohort(sales: DataFrame, customers: DataFrame) -> DataFrame:
     return one.groupBy(*by).agg(F.count("*").alias("active_customers"), F.sum("orders").cast("bigint").alias("orders"), F.sum("net").cast(MONEY).alias("net_revenue"))
 
 
-def product_performance(sales: DataFrame, returns: DataFrame, products: DataFrame | None = None) -> DataFrame:
+def product_performance(sales: DataFrame, returns: DataFrame, products: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """Sales and returns of a product a day; a return counts on the day its order was placed, so rates are of what was sold.
 
-    Revenue on promotion is that of lines whose order names a campaign.
+    Revenue on promotion is that of lines whose order names a campaign. rows: how many sales there are at most, if
+    known; groups, which can be as many, are then dealt accordingly.
     """
+
+    def spread(df: DataFrame, *key: str) -> DataFrame:
+        return df if rows is None else dealt(df, key, rows, FACT_ROWS_A_TASK)
+
     zero = F.lit(0).cast(MONEY)
     promoted = F.when(F.col("promotion_id").isNotNull(), F.col("net_amount")).otherwise(zero) if "promotion_id" in sales.columns else zero
     orders = sold(sales).groupBy("date_key", "product_id", "order_id").agg(F.sum("quantity").alias("quantity"), F.sum("net_amount").alias("net"), F.sum(promoted).alias("promoted"))
-    s = orders.groupBy("date_key", "product_id").agg(
+    s = spread(orders, "date_key", "product_id").groupBy("date_key", "product_id").agg(
         F.sum("quantity").cast("bigint").alias("units_sold"), F.sum("net").cast(MONEY).alias("net_revenue"), F.count("*").alias("orders"), F.sum("promoted").cast(MONEY).alias("promo_revenue")
     )
-    r = returns.groupBy(F.date_format("order_date", "yyyyMMdd").cast("int").alias("date_key"), "product_id").agg(F.sum("quantity").cast("bigint").alias("units_returned"))
+    back = returns.select(F.date_format("order_date", "yyyyMMdd").cast("int").alias("date_key"), "product_id", "quantity")
+    r = spread(back, "date_key", "product_id").groupBy("date_key", "product_id").agg(F.sum("quantity").cast("bigint").alias("units_returned"))
     df = s.join(r, ["date_key", "product_id"], "full").fillna(0, ["units_sold", "orders", "units_returned"])
     df = df.withColumns({"net_revenue": F.coalesce("net_revenue", zero), "promo_revenue": F.coalesce("promo_revenue", zero)})
     df = df.withColumn("return_rate", ratio(F.col("units_returned"), F.col("units_sold")))
-    return df if products is None else df.join(products.select("product_id", "product_name", "brand"), "product_id", "left")
+    return df if products is None else spread(df, "product_id").join(products.select("product_id", "product_name", "brand"), "product_id", "left")

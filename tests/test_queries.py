@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakeloom.plans import facts, marts
 from lakeloom.plans.oracle import SQL
 from lakeloom.plans.queries import QUERIES
 
@@ -46,3 +47,14 @@ def test_snapshot_diff_where_new_keys_meet_old_ones(spark, sf, duck, tmp_path):
     c.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet'")
     got = rows(QUERIES["snapshot_diff"](spark, str(tmp_path)).toArrow())
     assert got == rows(c.sql(SQL["snapshot_diff"]).to_arrow_table())
+
+
+def test_product_performance_deals_by_rows(spark, sf, duck, monkeypatch):
+    """Joins and groups of the mart lie in as many partitions as there are rows for, whatever the session's number."""
+    monkeypatch.setattr(marts, "FACT_ROWS_A_TASK", 500)
+    monkeypatch.setattr(facts, "FACT_ROWS_A_TASK", 500)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    df = QUERIES["agg_product"](spark, sf)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 4 and plan.count(f", {-(-lines // 500)}") >= 4
+    assert rows(df.toArrow()) == rows(duck.sql(SQL["agg_product"]).to_arrow_table())
