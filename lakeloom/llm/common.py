@@ -119,6 +119,7 @@ class Scratch:
 
     Writing cuts lineage: an executor lost later costs no recomputation before the last table. The
     folder is spark.checkpoint.dir; only on one machine (a local master) may that be unset, for a temporary one.
+    No _SUCCESS file is made: nobody asks for it, and on a local disk the driver starts a process for each.
     Shuffle files of a finished write go at once, so disk holds one phase of an operator, not all. With
     shuffled=True, joins of the written plan are sort-merge joins at every size, but for those that ask
     for a broadcast: such a plan costs in proportion to its input.
@@ -143,7 +144,7 @@ class Scratch:
         try:
             for k, v in wanted.items():
                 conf.set(k, v)
-            df.write.partitionBy(*partition_by).parquet(path)
+            df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy(*partition_by).parquet(path)
         finally:
             for k, v in before.items():
                 conf.unset(k) if v is None else conf.set(k, v)

@@ -87,6 +87,13 @@ def test_lattices_follow_beginnings_of_pieces_alone(monkeypatch):
     assert ids.to_pylist() == alone
 
 
+def test_scratch_tables_have_no_marker(spark, tmp_path, monkeypatch):
+    scratch = Scratch(spark, "marker")
+    monkeypatch.setattr(scratch, "base", f"file://{tmp_path}/scratch")
+    assert scratch.save(spark.range(5), "numbers").count() == 5
+    assert not list(tmp_path.rglob("*_SUCCESS*")) and list(tmp_path.rglob("part-*.parquet"))
+
+
 # --- 2
 
 
