@@ -11,7 +11,8 @@ become UTF-8 byte pieces, as does a literal U+2581, so decoding gives the very t
 put before a text (the model's dummy prefix) and taken off when decoding.
 
 No piece has a blank after another character or a line feed beside one, so the lattice falls apart at
-those places, and words are sampled one by one; their forward sums are remembered.
+those places, and words are sampled one by one. A forward sum depends on the characters before its place alone,
+so words added together share the places of the beginnings they have in common; sums are remembered.
 
 Edge cases: null and empty texts have no ids, and decode to ""; null ids to null; equal rows get equal ids; one
 very long word is a lattice of its own; an empty table gives no rows.
@@ -19,6 +20,7 @@ very long word is a lattice of its own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -28,16 +30,22 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm.common import chunks, map_arrow, mix64, read
+from lakeloom.llm.common import chunks, map_arrow, mix64, read, text_bytes
 
 ALPHA = 1.0
 ZIPF = 10.0
 SEED = 11
 ENCODE_BYTES = 1 << 20
+#: Characters of a word that is a lattice of its own.
+LONG = 400
+#: Characters of words that are added at once.
+ADDED_CHARS = 1_000_000
 #: Lattice edges that a task remembers before it starts anew.
 REMEMBERED_EDGES = 4_000_000
 
+#: A word. `segments` finds the same places in bytes.
 _SEGMENT = re.compile(r"\n| *[^ \n]+| +")
+_SLOTS = 19  # bits of a slot in the table of beginnings
 _PRIME = np.uint64(0x100000001B3)
 _NO_PIECE = -(2**31)
 
@@ -70,24 +78,40 @@ class Vocabulary:
         self.log_weight = np.zeros(n)
         self.log_weight[order] = -alpha * np.log(np.arange(len(order)) + ZIPF)
         self.floor = -alpha * np.log(len(order) + ZIPF)  # of a character's bytes
-        self.longest = max(map(len, text.values()))
         raw = [b""] * n
         for i, p in text.items():
             raw[i] = p.encode()
         for b, i in enumerate(self.byte_ids.tolist()):
             raw[i] = bytes([b])
         self.raw = pa.array(raw, pa.large_binary())
-        # by length: keys of the beginnings of pieces, and the piece that a beginning is, or -1
-        self.tables = []
+        # the beginnings of pieces by the hash of their keys: the piece that each is, or -1, and whether longer ones go on from it
         piece_of = {text[i]: i for i in reversed(normal)}
-        for k in range(1, self.longest + 1):
+        inner = {p[:k] for p in piece_of for k in range(1, len(p))}
+        self.bits = max(_SLOTS, (2 * len(inner | piece_of.keys())).bit_length())
+        self.slot_key = np.zeros(1 << self.bits, np.uint64)
+        self.slot_piece = np.full(1 << self.bits, _NO_PIECE, np.int32)  # of no beginning
+        self.slot_inner = np.zeros(1 << self.bits, bool)
+        for k in range(1, max(map(len, piece_of)) + 1):
             starts = sorted({p[:k] for p in piece_of if len(p) >= k})
             chars = np.frombuffer("".join(starts).encode("utf-32-le"), np.uint32).reshape(len(starts), k)
             keys = np.zeros(len(starts), np.uint64)
             for j in range(k):
                 keys = extend(keys, chars[:, j].astype(np.uint64))
-            by = np.argsort(keys)
-            self.tables.append((keys[by], np.array([piece_of.get(p, -1) for p in starts], np.int32)[by]))
+            for key, slot, p in zip(keys.tolist(), (keys >> np.uint64(64 - self.bits)).tolist(), starts):
+                while self.slot_piece[slot] != _NO_PIECE:
+                    if self.slot_key[slot] == key:
+                        raise ValueError("two beginnings of pieces have one key")
+                    slot = (slot + 1) & ((1 << self.bits) - 1)
+                self.slot_key[slot], self.slot_piece[slot], self.slot_inner[slot] = key, piece_of.get(p, -1), p in inner
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slots of keys; those that aren't there get an empty one."""
+        slot = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        more = np.flatnonzero((self.slot_key[slot] != keys) & (self.slot_piece[slot] != _NO_PIECE))
+        while len(more):
+            slot[more] = at = (slot[more] + 1) & ((1 << self.bits) - 1)
+            more = more[(self.slot_key[at] != keys[more]) & (self.slot_piece[at] != _NO_PIECE)]
+        return slot
 
     def decode(self, ids: pa.Array) -> list[bytes]:
         """The text, as UTF-8, of each list of ids; null: null."""
@@ -103,12 +127,26 @@ def extend(keys: np.ndarray, chars: np.ndarray) -> np.ndarray:
     return mix64((keys + chars + np.uint64(1)) * _PRIME)
 
 
+def segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts end to end, each text with the dummy blank, and how many each has. Null: none."""
+    texts = texts.cast(pa.large_string())
+    blank = pc.if_else(pc.greater(pc.binary_length(texts), 0), pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string()))
+    data, offsets = text_bytes(pc.binary_join_element_wise(blank, texts, pa.scalar("", pa.large_string())))
+    line, space = data == 10, data == 32
+    begins = line.copy()
+    begins[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begins)
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
+    return words, np.diff(np.searchsorted(starts, offsets))
+
+
 class Lattices:
     """Forward-filtered lattices of words, in flat arrays that grow.
 
-    Node b + i is the place after i characters of the word that starts at node b. Its edges, best first,
-    have cumulative probabilities, the piece and the node they come from. A negative piece -1 - c stands
-    for the bytes of character c.
+    A node is a place in the words added together that begin alike up to there, and is known by its first
+    edge. Its edges, best first, have cumulative probabilities, the piece and the node they come from (-1:
+    the place before all). A negative piece -1 - c stands for the bytes of character c.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -117,9 +155,8 @@ class Lattices:
 
     def clear(self) -> None:
         self.ends: dict[str, int] = {}
-        self.nodes = self.edges = 0
-        self.first = np.zeros(1 << 16, np.int64)
-        self.source, self.piece, self.cumulative = (np.zeros(1 << 17, t) for t in (np.int64, np.int32, np.float64))
+        self.edges = 0
+        self.source, self.piece, self.cumulative = (np.zeros(1 << 17, t) for t in (np.int32, np.int32, np.float64))
 
     def _grow(self, name: str, need: int) -> None:
         a = getattr(self, name)
@@ -127,93 +164,132 @@ class Lattices:
             setattr(self, name, np.concatenate([a, np.zeros(max(need - len(a), len(a)), a.dtype)]))
 
     def add(self, words: list[str]) -> None:
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
-        for length, group in by_length.items():
-            step = max(1, 100_000 // length)
-            for i in range(0, len(group), step):
-                self._add(group[i : i + step], length)
-
-    def _add(self, words: list[str], length: int) -> None:
-        v, n = self.vocabulary, len(words)
-        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
-        wide = chars.astype(np.uint64)
-        base = self.nodes + np.arange(n) * (length + 1)
-        most = min(length, v.longest)
-        # by the place where a piece ends, word and length, which is the order of edges
-        found = np.full(length * n * most, _NO_PIECE, np.int32)
-        wide, at, keys = wide.ravel(), np.arange(n * length), np.zeros(n * length, np.uint64)
-        start = at % length
-        cell = (start * n + at // length) * most
-        for k in range(most):  # only what begins a piece is made longer
-            keys = extend(keys, wide[at + k])
-            table, ids = v.tables[k]
-            place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-            begins, piece = table[place] == keys, ids[place]
-            whole = begins & (piece >= 0)
-            found[cell[whole] + k * (n * most + 1)] = piece[whole]
+        """Adds words that aren't there yet."""
+        for w in [w for w in words if len(w) > LONG]:
+            self._add_long(w)
+        words = sorted(w for w in words if len(w) <= LONG)
+        part = np.cumsum([len(w) for w in words]) // ADDED_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(words)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                self._add(words[a:b])
+
+    def _add_long(self, word: str) -> None:
+        """Adds one word: its edges from all places at once, then their sums."""
+        v, length = self.vocabulary, len(word)
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+        start, key, k = np.arange(length), np.zeros(length, np.uint64), 0
+        starts, ends, pieces = [], [], []
+        while len(start):
+            key = extend(key, chars[start + k].astype(np.uint64))
+            slot = v.find(key)
+            piece, begun = v.slot_piece[slot], v.slot_inner[slot]
             if k == 0:  # characters without a piece
-                found[cell[~whole]] = -1 - chars.ravel()[~whole].astype(np.int64)
-            go = begins & (start + k + 1 < length)
-            at, start, cell, keys = at[go], start[go], cell[go], keys[go]
-        which = np.flatnonzero(found != _NO_PIECE)
-        piece = found[which]
-        which, size = np.divmod(which, most)
-        count = np.bincount(which, minlength=n * length)  # of edges to a place; each has one
-        end, row = np.divmod(which, n)
-        start, end = end - size, end + 1
-        weight = np.where(piece < 0, v.floor, v.log_weight[np.maximum(piece, 0)])
-        bounds = np.searchsorted(end, np.arange(length + 2))
-        forward = np.full((n, length + 1), -np.inf)
-        forward[:, 0] = 0
-        score = np.empty(len(row))
-        for e in range(1, length + 1):  # every place is reached: each character has an edge
-            a, b = bounds[e], bounds[e + 1]
-            r = row[a:b]
-            s = score[a:b] = forward[r, start[a:b]] + weight[a:b]
-            cut = np.cumsum(count[(e - 1) * n : e * n]) - count[(e - 1) * n : e * n]
-            most = np.maximum.reduceat(s, cut)
-            total = np.add.reduceat(np.exp(s - np.repeat(most, count[(e - 1) * n : e * n])), cut)
-            forward[r[cut], e] = most + np.log(total)
-        chance = np.exp(score - forward[row, end])
-        by, first = np.arange(len(row)), np.cumsum(count) - count
-        for k in range(2, int(count.max()) + 1):  # the likeliest first among a place's edges
-            own = first[count == k][:, None] + np.arange(k)
+                piece = np.where(piece < 0, -1 - chars.astype(np.int32), piece)
+            whole = (piece >= 0) | (k == 0)
+            k += 1
+            starts.append(start[whole])
+            ends.append(start[whole] + k)
+            pieces.append(piece[whole])
+            go = begun & (start + k < length)
+            start, key = start[go], key[go]
+        source, end, piece = map(np.concatenate, (starts, ends, pieces))
+        by = np.argsort(end, kind="stable")
+        source, end, piece = source[by], end[by], piece[by]
+        size = np.bincount(end, minlength=length + 1)[1:]
+        weights, sources, forward, b = np.where(piece < 0, v.floor, v.log_weight[np.maximum(piece, 0)]).tolist(), source.tolist(), [0.0], 0
+        for n in size.tolist():
+            a, b = b, b + n
+            score = [forward[i] + w for i, w in zip(sources[a:b], weights[a:b])]
+            most = max(score)
+            forward.append(most + math.log(sum(math.exp(x - most) for x in score)))
+        forward = np.array(forward)
+        self._keep([word], np.array([length]), source, piece, np.exp(forward[source] + np.array(weights) - forward[end]), size)
+
+    def _add(self, words: list[str]) -> None:
+        """Adds words in order, all at once, place by place."""
+        v, length = self.vocabulary, np.array([len(w) for w in words])
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        at = np.cumsum(length) - length
+        forward = np.zeros(1 + len(chars))  # by node; node 0 is the place before all
+        nodes = 1
+        word, end = np.arange(len(words)), np.empty(len(words), np.int64)
+        node = np.zeros(len(words), np.int64)  # of each word, by its number among those of its place
+        # for each node of a place, the pieces that may go on from there: where they start and the key of what there is
+        counts, starts, keys = np.ones(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.uint64)
+        sources, pieces, chances, sizes = [], [], [], []
+        place = 0
+        while len(word):
+            char = chars[at[word] + place]
+            new = np.ones(len(word), bool)  # words are in order, so those that begin alike are neighbours
+            new[1:] = (node[1:] != node[:-1]) | (char[1:] != char[:-1])
+            above, node, char = node[new], np.cumsum(new) - 1, char[new]
+            n, place = len(char), place + 1
+            had = counts[above]
+            owner = np.repeat(np.arange(n), had)
+            which = np.arange(len(owner)) + np.repeat((np.cumsum(counts) - counts)[above] - (np.cumsum(had) - had), had)
+            start, key = starts[which], extend(keys[which], char[owner].astype(np.uint64))
+            slot = v.find(key)
+            piece, begun = v.slot_piece[slot], v.slot_inner[slot]
+            lone = np.cumsum(had) - had  # the shortest of a node's comes first: its last character
+            lone = lone[piece[lone] < 0]
+            piece[lone] = -1 - char[owner[lone]].astype(np.int32)  # characters without a piece
+            whole = piece >= 0
+            whole[lone] = True
+            source, piece, row = start[whole], piece[whole], owner[whole]
+            size = np.bincount(row, minlength=n)  # each has one
+            score = forward[source] + np.where(piece < 0, v.floor, v.log_weight[np.maximum(piece, 0)])
+            cut = np.cumsum(size) - size
+            most = np.maximum.reduceat(score, cut)
+            own = most + np.log(np.add.reduceat(np.exp(score - most[row]), cut))
+            forward[nodes : nodes + n] = own
+            sources.append(source)
+            pieces.append(piece)
+            chances.append(np.exp(score - own[row]))
+            sizes.append(size)
+            done = length[word] == place
+            end[word[done]] = nodes + node[done]
+            word, node = word[~done], node[~done]
+            # the next place: a piece may start here, and those begun go on
+            counts = np.bincount(owner[begun], minlength=n) + 1
+            fresh = np.cumsum(counts) - counts
+            goes = np.ones(int(counts.sum()), bool)
+            goes[fresh] = False
+            starts, keys = np.empty(len(goes), np.int64), np.zeros(len(goes), np.uint64)
+            starts[fresh], starts[goes], keys[goes] = nodes + np.arange(n), start[begun], key[begun]
+            nodes += n
+        self._keep(words, end, *map(np.concatenate, (sources, pieces, chances, sizes)))
+
+    def _keep(self, words: list[str], end: np.ndarray, source: np.ndarray, piece: np.ndarray, chance: np.ndarray, size: np.ndarray) -> None:
+        """Remembers edges, which come node by node; size: of each node but node 0; end: each word's last node."""
+        cut = np.cumsum(size) - size
+        by = np.arange(len(source))
+        for k in range(2, int(size.max()) + 1):  # the likeliest first among a node's edges
+            own = cut[size == k][:, None] + np.arange(k)
             by[own] = np.take_along_axis(own, np.argsort(-chance[own], axis=1, kind="stable"), axis=1)
-        # word by word instead of place by place
-        first, count = first.reshape(length, n).T.ravel(), count.reshape(length, n).T.ravel()
-        cut = np.cumsum(count) - count
-        by = by[np.repeat(first - cut, count) + np.arange(len(row))]
         chance = chance[by]
         total = np.cumsum(chance)
-        cumulative = total - np.repeat((total - chance)[cut], count)
-        cumulative[cut + count - 1] = 2.0  # a place's last edge takes what is left
-        self._grow("first", self.nodes + n * (length + 1))
+        cumulative = total - np.repeat((total - chance)[cut], size)
+        cumulative[cut + size - 1] = 2.0  # a node's last edge takes what is left
         for name in ("source", "piece", "cumulative"):
-            self._grow(name, self.edges + len(row))
-        self.first[base] = -1
-        self.first[(base[:, None] + np.arange(1, length + 1)).ravel()] = self.edges + cut
-        own = slice(self.edges, self.edges + len(row))
-        self.source[own], self.piece[own], self.cumulative[own] = (base[row] + start)[by], piece[by], cumulative
-        self.ends.update(zip(words, (base + length).tolist()))
-        self.nodes += n * (length + 1)
-        self.edges += len(row)
-
-    def sample(self, texts: list[str], keys: list[int], seed: int) -> tuple[np.ndarray, np.ndarray]:
+            self._grow(name, self.edges + len(by))
+        first = np.append(-1, self.edges + cut)  # edge of each node
+        own = slice(self.edges, self.edges + len(by))
+        self.source[own], self.piece[own], self.cumulative[own] = first[source[by]], piece[by], cumulative
+        self.ends.update(zip(words, first[end].tolist()))
+        self.edges += len(by)
+
+    def sample(self, texts: pa.Array | list[str], keys: list[int], seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts end to end, and where each text starts."""
-        words, counts = [], []
-        for t in texts:
-            own = _SEGMENT.findall(" " + t) if t else []
-            words += own
-            counts.append(len(own))
+        words, counts = segments(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        coded = words.dictionary_encode()
         if self.edges > REMEMBERED_EDGES:
             self.clear()
-        new = set(words) - self.ends.keys()
+        known = coded.dictionary.to_pylist()
+        new = [w for w in known if w not in self.ends]
         if new:
-            self.add(sorted(new))
-        counts = np.array(counts, np.int64)
-        node = np.fromiter(map(self.ends.__getitem__, words), np.int64, len(words))
+            self.add(new)
+        edge = np.array([self.ends[w] for w in known], np.int64)[coded.indices.to_numpy()]
         base = mix64(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], np.uint64) + np.uint64(seed * 0x9E3779B9 & 0xFFFFFFFFFFFFFFFF))
         nth = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
         state = mix64(np.repeat(base, counts) + nth.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -223,16 +299,15 @@ class Lattices:
         while len(at):
             step += 1
             u = (mix64(state + np.uint64(step * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            edge = self.first[node]
             more = np.flatnonzero(self.cumulative[edge] <= u)
             while len(more):
                 edge[more] += 1
                 more = more[self.cumulative[edge[more]] <= u[more]]
             drawn.append(self.piece[edge])
             owners.append(at)
-            node = self.source[edge]
-            go = self.first[node] >= 0
-            at, node, state = at[go], node[go], state[go]
+            edge = self.source[edge]
+            go = edge >= 0
+            at, edge, state = at[go], edge[go], state[go]
         n = np.zeros(len(words), np.int64)
         for own in owners:
             n[own] += 1
@@ -288,7 +363,7 @@ def encode(docs: DataFrame, model_path: str | None = None, alpha: float = ALPHA,
         try:
             for b in chunks(batches, "text", ENCODE_BYTES):
                 texts = b.column("text").to_pylist()
-                flat, edges = own.sample([t or "" for t in texts], row_keys(b), seed)
+                flat, edges = own.sample(b.column("text"), row_keys(b), seed)
                 ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat))
                 same = [back == (t or "").encode() for back, t in zip(own.vocabulary.decode(ids), texts)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(edges)), ids, pa.array(same)], ["doc_id", "n_pieces", "ids", "lossless"])

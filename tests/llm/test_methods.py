@@ -87,6 +87,28 @@ def test_lattices_follow_beginnings_of_pieces_alone(monkeypatch):
     assert ids.to_pylist() == alone
 
 
+def test_beginnings_in_common_are_one_lattice(monkeypatch):
+    """Words that begin alike share places; the places that cut texts into words, and long words, give what words alone give."""
+    vocabulary = pieces.Vocabulary(open(pieces.default_model(), "rb").read())
+    lattices = pieces.Lattices(vocabulary)
+    word = "internationalisation"
+    lattices.add([f" {word}{c}" for c in "abcdefghijklmnopqrstuvwxyz"])
+    alone = pieces.Lattices(vocabulary)
+    alone.add([f" {word}a"])
+    assert lattices.edges < 3 * alone.edges
+    texts = [None, "", " ", "\n", "a\n\n b  c \n", "  x", "é 漢  字\r\n y\t", "end ", "the thing"]
+    words, counts = pieces.segments(pa.array(texts))
+    assert words.to_pylist() == [w for t in texts if t for w in pieces._SEGMENT.findall(" " + t)]
+    assert counts.tolist() == [len(pieces._SEGMENT.findall(" " + t)) if t else 0 for t in texts]
+    assert len(pieces.segments(pa.array([None, ""], pa.string()))[0]) == 0
+    rows = ["internationally the internal things", "the thing 漢字of it" * 9]
+    flat, edges = lattices.sample(rows, [1, 2], 5)
+    for name, limit in (("LONG", 3), ("ADDED_CHARS", 1)):
+        monkeypatch.setattr(pieces, name, limit)
+        again, at = pieces.Lattices(vocabulary).sample(rows, [1, 2], 5)
+        assert again.tolist() == flat.tolist() and at.tolist() == edges.tolist()
+
+
 def test_scratch_tables_have_no_marker(spark, tmp_path, monkeypatch):
     scratch = Scratch(spark, "marker")
     monkeypatch.setattr(scratch, "base", f"file://{tmp_path}/scratch")
