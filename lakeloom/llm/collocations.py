@@ -5,7 +5,7 @@ Texts are cut into pieces at punctuation and line ends, pieces into words; phras
 1. Identical pieces become one piece with a multiplicity, per task first and then over all tasks, so a line
    that a third of all documents share is read once from there on.
 2. Pieces give their n-grams, added up within a chunk of pieces and dealt to hash buckets as packed Arrow
-   blobs: a phrase is one row a chunk at most, however frequent. Each bucket is counted by DuckDB within
+   blobs: a phrase is one row a chunk at most, however frequent. Lengths are made one after another. Each bucket is counted by DuckDB within
    DUCK_MB of memory; what is more goes to a private folder of the task, deleted when the bucket is done
    (a lost executor's buckets are counted again elsewhere; nobody else reads that folder).
    Phrases and parts under `least` occurrences go there: a part is at least as frequent as the phrase.
@@ -42,9 +42,11 @@ from lakeloom.llm.common import CHUNK_BYTES, Scratch, chunks, map_arrow, mix64,
 LEAST = 10
 KEPT = 2000
 #: Memory of a bucket's counting, MB; what is more is spilled.
-DUCK_MB = 192
+DUCK_MB = 128
 #: Bytes of pieces a bucket.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+#: Bytes of blobs that go to Python at once; a larger blob goes alone.
+BATCH_BYTES = 4 << 20
 #: Words of the longest phrase.
 LONGEST = 3
 #: Lower-case letters, piece ends as line ends, tabs as blanks: one byte each, so UTF-8 stays whole.
@@ -85,8 +87,8 @@ def _by_bytes(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
         yield pa.concat_batches(held)
 
 
-def ngrams(batch: pa.RecordBatch, longest: int = LONGEST) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
-    """Language, n-gram, count and hash of the n-grams of a batch of pieces, each once; "" counts all words."""
+def ngrams(batch: pa.RecordBatch, longest: int = LONGEST) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]]:
+    """By length, language, n-gram, count and hash of the n-grams of a batch of pieces, each once; first "", which counts all words."""
     split = pc.split_pattern(batch.column("piece"), " ")
     parent, flat = pc.list_parent_indices(split).to_numpy(), split.flatten()
     real = pc.not_equal(flat, "")
@@ -107,12 +109,8 @@ def ngrams(batch: pa.RecordBatch, longest: int = LONGEST) -> tuple[pa.Array, pa.
         np.add.at(total, code, c)
         return first, total
 
-    all_langs, all_grams, all_counts, all_hashes = [], [], [], []
     first, total = added(lang, count)
-    all_langs.append(names.take(pa.array(lang[first])))
-    all_grams.append(pa.array([""] * len(first), pa.string()))
-    all_counts.append(total)
-    all_hashes.append(mix64(name_hash[lang[first]]))
+    yield names.take(pa.array(lang[first])), pa.array([""] * len(first), pa.string()), total, mix64(name_hash[lang[first]])
     # the code of the n-gram that starts at each word, and where there is one
     start, code = np.arange(len(ids)), lang
     for k in range(1, longest + 1):
@@ -130,11 +128,7 @@ def ngrams(batch: pa.RecordBatch, longest: int = LONGEST) -> tuple[pa.Array, pa.
         for j in range(1, k):
             grams = pc.binary_join_element_wise(grams, words.take(pa.array(ids[at + j])), " ")
             h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + word_hash[ids[at + j]])
-        all_langs.append(names.take(pa.array(lang[at])))
-        all_grams.append(grams)
-        all_counts.append(total)
-        all_hashes.append(h)
-    return pa.concat_arrays(all_langs), pa.concat_arrays(all_grams), np.concatenate(all_counts), np.concatenate(all_hashes)
+        yield names.take(pa.array(lang[at])), grams, total, h
 
 
 def counted(distinct: DataFrame, buckets: int, least: int = LEAST, longest: int = LONGEST, duck_mb: int = DUCK_MB) -> DataFrame:
@@ -143,16 +137,21 @@ def counted(distinct: DataFrame, buckets: int, least: int = LEAST, longest: int
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for b in _by_bytes(batches, CHUNK_BYTES):
-            lang, grams, counts, hashes = ngrams(b, longest)
-            bucket = (hashes % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            table = pa.table([lang, grams, pa.array(counts)], schema=_BLOB).take(pa.array(order)).combine_chunks()
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for i in np.flatnonzero(np.diff(edges)).tolist():
+            tables, edges = [], []  # one for each length, in order of buckets
+            for lang, grams, counts, hashes in ngrams(b, longest):
+                bucket = (hashes % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                tables.append(pa.table([lang, grams, pa.array(counts)], schema=_BLOB).take(pa.array(order)))
+                edges.append(np.searchsorted(bucket[order], np.arange(buckets + 1)))
+            del lang, grams, counts, hashes, bucket, order
+            for i in np.flatnonzero(np.diff(edges).sum(axis=0)).tolist():
+                own = [t.slice(e[i], e[i + 1] - e[i]) for t, e in zip(tables, edges) if e[i + 1] > e[i]]
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, _BLOB, options=options) as out:
-                    out.write_table(table.slice(edges[i], edges[i + 1] - edges[i]))
+                    out.write_table(pa.concat_tables(own).combine_chunks())
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["bucket", "blob"])
+            del tables
+            pa.default_memory_pool().release_unused()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def unpacked():
@@ -164,7 +163,8 @@ def counted(distinct: DataFrame, buckets: int, least: int = LEAST, longest: int
         with tempfile.TemporaryDirectory() as spill, duckdb.connect(config={"threads": 1, "memory_limit": f"{duck_mb}MB", "temp_directory": spill, "preserve_insertion_order": False}) as duck:
             duck.register("grams", pa.RecordBatchReader.from_batches(_BLOB, unpacked()))
             got = duck.sql(f"SELECT lang, g, sum(c)::BIGINT AS f FROM grams GROUP BY ALL HAVING sum(c) >= {int(least)}")
-            yield from got.to_arrow_reader(65_536)
+            yield from got.to_arrow_reader(16_384)
+        pa.default_memory_pool().release_unused()
 
     blobs = map_arrow(distinct.select("lang", "piece", "c"), deal, "bucket int, blob binary")
     return map_arrow(blobs.repartitionById(buckets, "bucket"), count, "lang string, g string, f long")
@@ -180,7 +180,13 @@ def mine(docs: DataFrame, least: int = LEAST, kept: int = KEPT, covered: int = 5
     distinct = scratch.save(pieces(docs), "pieces")
     size = distinct.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    counts = scratch.save(counted(distinct, buckets, least), "counts")
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"  # a bucket's blobs are few rows, so their number alone bounds nothing
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, BATCH_BYTES)
+    try:
+        counts = scratch.save(counted(distinct, buckets, least), "counts")
+    finally:
+        spark.conf.set(limit, before)
     scratch.drop("pieces")
 
     words = F.split("g", " ")

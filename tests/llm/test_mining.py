@@ -57,6 +57,19 @@ def test_collocations_spill(spark):
     assert got.where("g <> ''").agg(F.count("*"), F.sum("f")).first()[:] == (60_000, 60_000 * 18)
 
 
+def test_collocations_hold_one_length_and_few_blobs(spark, docs, monkeypatch):
+    """N-grams come length by length; a bucket's blobs go to Python a few megabytes at a time, and no other step's rows do."""
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "en"], "piece": ["a b a", "b"], "c": pa.array([2, 3], pa.int64())})
+    made = collocations.ngrams(batch)
+    assert iter(made) is made
+    assert [sorted(zip(g.to_pylist(), c.tolist())) for _, g, c, _ in made] == [[("", 9)], [("a", 4), ("b", 5)], [("a b", 2), ("b a", 2)], [("a b a", 2)]]
+    limit, seen, save = "spark.sql.execution.arrow.maxBytesPerBatch", {}, Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name, *by: seen.update({name: spark.conf.get(limit)}) or save(self, df, name, *by))
+    before = spark.conf.get(limit)
+    collocations.mine(docs)
+    assert seen["counts"] == str(collocations.BATCH_BYTES) != before == seen["pieces"] and spark.conf.get(limit) == before
+
+
 def test_collocations_of_nothing(docs):
     assert collocations.mine(docs.limit(0)).count() == 0
     assert collocations.mine(docs.where("text is null or trim(text) = ''")).count() == 0
